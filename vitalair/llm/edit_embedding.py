@@ -139,18 +139,21 @@ def hex_likeness(a, b):
     return pd.Series(likeness(from_hex(a), from_hex(b)))
 
 
-def band_keys(n_bands: int = 24, bits: int = 24):
-    """A pandas UDF: fingerprint -> band keys, each of `bits` bits sampled at places shared by all texts."""
-    rng = np.random.default_rng(20_24)
-    places = np.stack([rng.choice(CELLS * 8, bits, replace=False) for _ in range(n_bands)])
-    weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+def band_keys(n_bands: int = 24, cells: int = 4):
+    """A pandas UDF: fingerprint -> band keys, each of the bits of `cells` (at most 4) cells sampled for all texts alike.
+
+    At a likeness of 0.8 two thirds of the cells agree, so a band of four does in
+    a fifth of all cases and at least one of 24 bands in 99.5 %.
+    """
+    rng = np.random.default_rng(2024)
+    places = np.stack([rng.choice(CELLS, cells, replace=False) for _ in range(n_bands)])
+    shifts = np.arange(0, 8 * cells, 8, dtype=np.uint64)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def keys(fp):
         import pandas as pd
 
-        on = np.unpackbits(from_hex(fp), axis=1)
-        k = (on[:, places].astype(np.uint64) * weights).sum(axis=2) | (np.arange(n_bands, dtype=np.uint64) << np.uint64(bits))
+        k = (from_hex(fp)[:, places].astype(np.uint64) << shifts).sum(axis=2) | (np.arange(n_bands, dtype=np.uint64) << np.uint64(8 * cells))
         return pd.Series(list(k.astype(np.int64)))
 
     return keys

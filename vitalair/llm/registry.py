@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from vitalair.llm.q01_fingerprints import op1_fingerprints
+from vitalair.llm.q03_packing import op3_packing
+from vitalair.llm.q06_simhash import op6_simhash
+from vitalair.llm.q08_decontamination import op8_decontamination
 
-QUERIES = [op1_fingerprints]
+QUERIES = [op1_fingerprints, op3_packing, op6_simhash, op8_decontamination]
 
 
 def queries():
