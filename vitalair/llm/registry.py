@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from vitalair.llm import q02_licences
 from vitalair.llm.q01_fingerprints import op1_fingerprints
+from vitalair.llm.q02_licences import op2_licences
 from vitalair.llm.q03_packing import op3_packing
+from vitalair.llm.q04_line_dedup import op4_line_dedup
+from vitalair.llm.q05_chats import op5_chats
 from vitalair.llm.q06_simhash import op6_simhash
 from vitalair.llm.q08_decontamination import op8_decontamination
+from vitalair.llm.q09_urls import op9_urls
 
-QUERIES = [op1_fingerprints, op3_packing, op6_simhash, op8_decontamination]
+QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op8_decontamination, op9_urls]
 
 
 def queries():
@@ -15,4 +20,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_licences": q02_licences.SQL}
