@@ -9,10 +9,11 @@ from vitalair.llm.q03_packing import op3_packing
 from vitalair.llm.q04_line_dedup import op4_line_dedup
 from vitalair.llm.q05_chats import op5_chats
 from vitalair.llm.q06_simhash import op6_simhash
+from vitalair.llm.q07_quality import op7_quality
 from vitalair.llm.q08_decontamination import op8_decontamination
 from vitalair.llm.q09_urls import op9_urls
 
-QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op8_decontamination, op9_urls]
+QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op7_quality, op8_decontamination, op9_urls]
 
 
 def queries():
