@@ -12,8 +12,9 @@ from vitalair.llm.q06_simhash import op6_simhash
 from vitalair.llm.q07_quality import op7_quality
 from vitalair.llm.q08_decontamination import op8_decontamination
 from vitalair.llm.q09_urls import op9_urls
+from vitalair.llm.q10_extraction import op10_extraction
 
-QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op7_quality, op8_decontamination, op9_urls]
+QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op7_quality, op8_decontamination, op9_urls, op10_extraction]
 
 
 def queries():
