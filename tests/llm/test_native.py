@@ -87,7 +87,7 @@ def test_line_dedup(which, request):
 
 def test_shared_passages_go_and_shifts_do_not_matter(spark):
     passage = " ".join(f"word{i}" for i in range(60))
-    block = [f"line {i} of a passage that some documents share" for i in range(12)]
+    block = [f"line {i} of a passage that some documents share" for i in range(40)]
     texts = [f"opening {k} of this text\n{passage}\nclosing {k}\n" + "\n".join([f"inserted {j}" for j in range(k)] + block) for k in range(5)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.text for r in q4.deduplicated(df).collect()}

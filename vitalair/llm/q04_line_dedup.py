@@ -68,14 +68,15 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     # A document is asked for the text of its own repeated chunks: no more entries than it has chunks.
     asked = materialise(asked.groupBy("_id").agg(F.collect_set(F.struct("_no", "h", "extra")).alias("asks")), "asked")
     full = rows.withColumn("_id", F.col("doc_id"))
-    held = with_chunks(full.select("_id", "text").join(asked, "_id")).select("_id", F.explode("asks").alias("a"), "_lines", "_chunks")
+    held = with_chunks(full.select("_id", "text").join(asked.hint("merge"), "_id")).select("_id", F.explode("asks").alias("a"), "_lines", "_chunks")
     held = held.select("_id", "a.*", "_lines", F.get("_chunks", F.col("a._no")).alias("c")).where("c.h = h")
     held = held.select("_id", "_no", "h", "extra", chunk_text(F.col("_lines"), F.col("c.first"), F.col("c.last")).alias("body"))
     first = held.where("not extra").select("h", F.col("body").alias("first_body")).distinct()
-    same = held.where("extra").join(materialise(first, "first-bodies"), "h").where("body = first_body")
+    # Both sides come from one shuffle of the texts, as they are in one plan; merge joins keep that plan at every size.
+    same = held.where("extra").join(first.hint("merge"), "h").where("body = first_body")
     gone = materialise(same.select("_id", "_no", "h").distinct(), "gone")
     gone = materialise(gone.groupBy("_id").agg(F.collect_list(F.struct("_no", "h")).alias("gone")), "gone-lists")
-    met = with_chunks(full.join(gone, "_id", "left"))
+    met = with_chunks(full.join(gone.hint("merge"), "_id", "left"))
     numbered = F.transform("_chunks", lambda c, k: F.struct(k.alias("k"), c.alias("c")))
     out = lambda x: F.exists("gone", lambda g: (g["_no"] == x["k"]) & (g["h"] == x["c"]["h"]))
     keep = F.filter(numbered, lambda x: ~out(x))
