@@ -1,11 +1,251 @@
-"""Registered queries and the DuckDB SQL they are checked against."""
+"""Registered queries and the DuckDB SQL they are checked against.
+
+A name begins with the family of the operation: en (exposure), vv (visits), mp
+(mapping), in (integration), bn (binning), sp (places), wh (warehouse), co
+(co-occurrence), py (patient years), st (statistics), ml (models), pf (profiles),
+fh (bundles).
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vitalair.operators import binning, exposure, spatial, visits, warehouse
+from vitalair.plans import views
+
+_QUERIES, _SQL = {}, {}
+BOUNDS, PERIODS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"], ["early", "middle", "late"]
+PATTERNS = [(r"PROMO.*", True, "promo"), (r".*\.(1|2|3)", True, "small"), (r"ECONOMY\.7", False, "economy7"), (r"[A-M].*", True, "first_half"), (r".*[05]", True, "fives")]
+FEATURES = ["economy7", "first_half", "fives", "promo", "small"]
+
+
+def query(sql: str, day: str = ""):
+    """Register a query; the column named by day is given as yyyy-MM-dd text, as days are in this library's outputs."""
+
+    def add(f):
+        text = f"WITH {views.SQL.strip()} {sql}"
+        _QUERIES[f.__name__] = (lambda spark, sf: f(spark, sf).withColumn(day, F.col(day).cast("string"))) if day else f
+        _SQL[f.__name__] = f"SELECT * REPLACE ({day}::DATE::VARCHAR AS {day}) FROM ({text})" if day else text
+        return f
+
+    return add
+
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(_SQL)
+
+
+def r(c, digits: int = 6):
+    return F.round(c, digits)
+
+
+@query("SELECT cell, measure, ts::DATE AS day, round(avg(value),6) AS avg, max(value) AS max, min(value) AS min, round(stddev(value),6) AS stddev FROM readings GROUP BY ALL", day="day")
+def en_daily(spark, sf):
+    d = exposure.daily(views.readings(spark, sf), ["cell", "measure"], "ts", "value")
+    return d.select("cell", "measure", "day", r("avg").alias("avg"), "max", "min", r("stddev").alias("stddev"))
+
+
+_SCORE = "CASE WHEN v IS NULL THEN NULL ELSE 1+(v>=20)::INT+(v>=40)::INT+(v>=80)::INT+(v>=120)::INT END"
+
+
+@query(f""", d AS (SELECT cell, ts::DATE AS day, max(value) AS v FROM readings GROUP BY ALL), s AS (SELECT cell, day, {_SCORE} AS score FROM d)
+SELECT cell, day, score, round(avg(score) OVER (PARTITION BY cell ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),6) AS score7 FROM s""", day="day")
+def en_score_trailing(spark, sf):
+    d = exposure.daily(views.readings(spark, sf), ["cell"], "ts", "value")
+    s = d.select("cell", "day", exposure.step_score(F.col("max"), [20, 40, 80, 120]).cast("int").alias("score"))
+    return s.withColumn("score7", r(exposure.trailing_average(s, ["cell"], "day", "score")))
+
+
+_PERIOD = "CASE WHEN day >= date '2024-01-01' AND day < date '2024-01-11' THEN 'early' WHEN day >= date '2024-01-11' AND day < date '2024-01-21' THEN 'middle' WHEN day >= date '2024-01-21' AND day < date '2024-02-01' THEN 'late' END"
+_DAILY = f", d AS (SELECT cell, ts::DATE AS day, avg(value) AS m FROM readings GROUP BY ALL), p AS (SELECT *, {_PERIOD} AS study_period FROM d)"
+
+
+def _series(spark, sf) -> DataFrame:
+    d = exposure.daily(views.readings(spark, sf), ["cell"], "ts", "value").select("cell", "day", F.col("avg").alias("m"))
+    d = d.withColumn("study_period", exposure.study_period(F.col("day"), BOUNDS, PERIODS))
+    return exposure.with_period_statistics(d, ["cell"], "day", "study_period", ["m"])
+
+
+@query(f"""{_DAILY} SELECT cell, day, study_period, round(m,6) AS m, round(avg(m) OVER (PARTITION BY cell, study_period),6) AS m_avg, round(max(m) OVER (PARTITION BY cell, study_period),6) AS m_max,
+round(max(m) OVER (PARTITION BY cell ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING),6) AS m_prev_date FROM p""", day="day")
+def en_period_statistics(spark, sf):
+    return _series(spark, sf).select("cell", "day", "study_period", *[r(c).alias(c) for c in ("m", "m_avg", "m_max", "m_prev_date")])
+
+
+@query("""SELECT patient_num, start_date, string_agg(encounter_num::VARCHAR, '|' ORDER BY encounter_num::VARCHAR) AS encounter_num, array_to_string(list_sort(list_distinct(list(visit_type))), '|') AS visit_type FROM encounters GROUP BY ALL""")
+def vv_merged_visits(spark, sf):
+    return visits.merged_visits(views.encounters(spark, sf))
+
+
+@query("SELECT encounter_num, date_sub('year', birth_date, start_date::DATE)::INT AS age FROM encounters JOIN patients USING (patient_num)")
+def vv_age(spark, sf):
+    both = views.encounters(spark, sf).join(views.patients(spark, sf), "patient_num")
+    return both.select("encounter_num", visits.age_years(F.col("birth_date"), F.col("start_date")).alias("age"))
+
+
+_RACE = "CASE WHEN race='Unknown' THEN 'Unknown' " + " ".join(f"WHEN race='{k}' THEN '{v}'" for k, v in visits.RACES.items()) + " ELSE 'Other('||race||')' END"
+
+
+@query(f"SELECT patient_num, birth_date, {_RACE} AS race, CASE gender WHEN 'male' THEN 'Male' WHEN 'female' THEN 'Female' END AS sex FROM patients", day="birth_date")
+def mp_demographics(spark, sf):
+    return views.patients(spark, sf).select("patient_num", "birth_date", visits.race(F.col("race")).alias("race"), visits.sex(F.col("gender")).alias("sex"))
+
+
+_HITS = " UNION ALL ".join(f"SELECT encounter_num, '{f}' AS feature FROM observations WHERE " + (f"regexp_full_match(concept_cd, '{p}')" if x else f"concept_cd='{p}'") for p, x, f in PATTERNS)
+
+
+@query(f", h AS ({_HITS}) SELECT encounter_num, {', '.join(f'count(*) FILTER (feature={f!r}) AS {f}' for f in FEATURES)} FROM h GROUP BY 1")
+def vv_feature_counts(spark, sf):
+    return visits.feature_counts(views.observations(spark, sf), ["encounter_num"], "concept_cd", PATTERNS, FEATURES)
+
+
+@query(f"""{_DAILY} SELECT e.encounter_num, e.patient_num, e.day, p.study_period, round(p.m,6) AS m FROM encounters e LEFT JOIN p ON p.cell = e.patient_num % 100 AND p.day = e.day""", day="day")
+def in_visit_exposure(spark, sf):
+    v = views.encounters(spark, sf).withColumn("cell", F.col("patient_num") % 100)
+    return visits.with_exposure(v, _series(spark, sf), ["cell", "day"]).select("encounter_num", "patient_num", "day", "study_period", r("m").alias("m"))
+
+
+def flagship(spark, sf) -> DataFrame:
+    v = views.encounters(spark, sf).withColumn("cell", F.col("patient_num") % 100)
+    joined = visits.with_exposure(v, _series(spark, sf), ["cell", "day"]).where("study_period is not null")
+    p = visits.patient_periods(joined, ["m"])
+    return p.select("patient_num", "study_period", "visits", "ed_visits", "inpatient_visits", "all_visits", *[r(c).alias(c) for c in ("m_avg", "m_max", "m_first")])
+
+
+@query(f"""{_DAILY} SELECT e.patient_num, p.study_period, count(*) AS visits, count(*) FILTER (visit_type IN ('AMB','EMER')) AS ed_visits, count(*) FILTER (visit_type='IMP') AS inpatient_visits,
+count(*) FILTER (visit_type IN ('AMB','EMER','IMP')) AS all_visits, round(avg(m),6) AS m_avg, round(max(m),6) AS m_max, round(arg_min(m, (start_date, encounter_num)),6) AS m_first
+FROM encounters e JOIN p ON p.cell = e.patient_num % 100 AND p.day = e.day WHERE p.study_period IS NOT NULL GROUP BY ALL""")
+def in_patient_periods(spark, sf):
+    return flagship(spark, sf)
+
+
+@query("""SELECT patient_num, (coalesce(quality,0)=1)::INT AS confirmed, (coalesce(toxic,0)=1)::INT AS predicted, (quality IS NOT NULL)::INT AS in_registry FROM patients LEFT JOIN labels ON doc_id = patient_num""")
+def in_crosswalk(spark, sf):
+    labels = views.table(spark, sf, "labels").select(F.col("doc_id").alias("patient_num"), "quality", "toxic")
+    one = lambda c: F.coalesce((F.col(c) == 1).cast("int"), F.lit(0))
+    return views.patients(spark, sf).join(labels, "patient_num", "left").select("patient_num", one("quality").alias("confirmed"), one("toxic").alias("predicted"), F.col("quality").isNotNull().cast("int").alias("in_registry"))
+
+
+@query(""", q AS (SELECT quantile_cont(nval_num, [0,0.2,0.4,0.6,0.8,1.0]) AS e, min(nval_num) AS lo, max(nval_num) AS hi FROM observations)
+SELECT encounter_num, concept_cd, instance_num, nval_num, 1+(nval_num>e[2])::INT+(nval_num>e[3])::INT+(nval_num>e[4])::INT+(nval_num>e[5])::INT AS qbin,
+1+(nval_num>lo+(hi-lo)*0.25)::INT+(nval_num>lo+(hi-lo)*0.5)::INT+(nval_num>lo+(hi-lo)*0.75)::INT AS wbin FROM observations, q""")
+def bn_quantile_and_width(spark, sf):
+    o = views.observations(spark, sf).select("encounter_num", "concept_cd", "instance_num", "nval_num")
+    return binning.width_bins(binning.quantile_bins(o, "nval_num", 5, "qbin"), "nval_num", 4, "wbin")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_acctbal>=-1000 THEN (c_acctbal>=-1000)::INT+(c_acctbal>=0)::INT+(c_acctbal>=2500)::INT+(c_acctbal>=5000)::INT END AS band,
+CASE WHEN c_acctbal<0 THEN 500.0 ELSE c_acctbal END AS distance, CASE WHEN coalesce(c_acctbal,0)<0.5 THEN 0 ELSE 1 END AS flag FROM customer""")
+def bn_fixed(spark, sf):
+    b = F.col("c_acctbal")
+    return views.table(spark, sf, "customer").select("c_custkey", binning.fixed_bins(b, [-1000, 0, 2500, 5000]).alias("band"), binning.capped_distance(b).alias("distance"), binning.binary(b).alias("flag"))
+
+
+@query("SELECT patient_num, row_number() OVER (ORDER BY min(start_date::DATE), patient_num) - 1 AS index FROM encounters GROUP BY 1")
+def bn_patient_index(spark, sf):
+    return binning.dense_index(views.encounters(spark, sf), "patient_num", F.to_date("start_date"))
+
+
+_n, _f, _rho0 = spatial._constants()
+_XY = f"""xy AS (SELECT patient_num, {spatial.A * _f!r}*pow(tan(pi()/4-radians(lat)/2)/pow((1-{spatial.E!r}*sin(radians(lat)))/(1+{spatial.E!r}*sin(radians(lat))),{spatial.E / 2!r}),{_n!r}) AS rho, radians(lon+97)*{_n!r} AS th FROM patients),
+g AS (SELECT patient_num, floor((rho*sin(th)+2556000)/12000)::INT+1 AS col, floor(({_rho0!r}-rho*cos(th)+1728000)/12000)::INT+1 AS row FROM xy)"""
+
+
+@query(f", {_XY} SELECT patient_num, CASE WHEN row BETWEEN 1 AND 299 AND col BETWEEN 1 AND 459 THEN row END AS row, CASE WHEN row BETWEEN 1 AND 299 AND col BETWEEN 1 AND 459 THEN col END AS col FROM g")
+def sp_grid_cell(spark, sf):
+    p = views.patients(spark, sf).select("patient_num", spatial.grid_cell(F.col("lat"), F.col("lon"), 2011).alias("c"))
+    return p.select("patient_num", "c.row", "c.col")
+
+
+_H = "asin(sqrt(pow(sin(radians(f.lat-p.lat)/2),2)+cos(radians(p.lat))*cos(radians(f.lat))*pow(sin(radians(f.lon-p.lon)/2),2)))*2*6371008.8"
+
+
+@query(f""", m AS (SELECT p.patient_num, arg_min(f.facility, ({_H}, f.facility)) AS facility, min({_H}) AS d FROM patients p JOIN facilities f ON abs(f.lat-p.lat)<=2 AND abs(f.lon-p.lon)<=2 GROUP BY 1)
+SELECT patient_num, facility, round(d,3) AS distance FROM patients LEFT JOIN m USING (patient_num)""")
+def sp_nearest_facility(spark, sf):
+    out = spatial.nearest_within(views.patients(spark, sf), views.facilities(spark, sf), "patient_num", "facility")
+    return out.select("patient_num", "facility", r("distance", 3).alias("distance"))
+
+
+@query("SELECT encounter_num, sum(nval_num) FILTER (modifier_cd='A') AS A, sum(nval_num) FILTER (modifier_cd='N') AS N, sum(nval_num) FILTER (modifier_cd='R') AS R FROM observations GROUP BY 1")
+def wh_long_to_wide(spark, sf):
+    return warehouse.long_to_wide(views.observations(spark, sf), ["encounter_num"], "modifier_cd", "nval_num", ["A", "N", "R"])
+
+
+@query("""SELECT e.encounter_num, count(o.encounter_num) FILTER (o.start_date::DATE < e.start_date::DATE) AS pre_ed, count(o.encounter_num) FILTER (o.start_date::DATE > e.start_date::DATE) AS post_ed
+FROM encounters e LEFT JOIN encounters o ON o.patient_num=e.patient_num AND o.visit_type IN ('EMER','IMP') AND abs(date_diff('day', o.start_date::DATE, e.start_date::DATE)) BETWEEN 1 AND 365 GROUP BY 1""")
+def wh_before_and_after(spark, sf):
+    return warehouse.before_and_after(views.encounters(spark, sf))
+
+
+@query("SELECT patient_num, min(start_date) AS first_start, count(DISTINCT encounter_num) AS encounters FROM encounters WHERE encounter_num IN (SELECT encounter_num FROM observations WHERE concept_cd LIKE 'PROMO%') GROUP BY 1")
+def wh_cohort(spark, sf):
+    chosen = views.observations(spark, sf).where(F.col("concept_cd").startswith("PROMO")).select("encounter_num")
+    own = views.encounters(spark, sf).join(chosen, "encounter_num", "left_semi")
+    return own.groupBy("patient_num").agg(F.min("start_date").alias("first_start"), F.count_distinct("encounter_num").alias("encounters"))
+
+
+@query("SELECT patient_num, encounter_num, start_date, coalesce(lead(start_date) OVER (PARTITION BY patient_num ORDER BY start_date, encounter_num), start_date) AS end_date FROM encounters")
+def ml_visit_periods(spark, sf):
+    return warehouse.visit_periods(views.encounters(spark, sf))
+
+
+@query(""", o AS (SELECT patient_num, o.start_date::DATE AS day, split_part(concept_cd,'.',1) AS code FROM observations o JOIN encounters e USING (encounter_num)),
+b AS (SELECT DISTINCT patient_num, code, floor((date_diff('day', date '1970-01-01', day) + ('0x'||substr(md5(code),1,7))::BIGINT % 30)/30.0)::BIGINT AS bin FROM o),
+s AS (SELECT code, count(*) AS n FROM b GROUP BY 1), p AS (SELECT x.code AS code1, y.code AS code2, count(*) AS n12 FROM b x JOIN b y ON x.patient_num=y.patient_num AND x.bin=y.bin AND x.code<y.code GROUP BY 1,2)
+SELECT code1, code2, greatest(n12, 10) AS n12, round(n12/(a.n*c.n)::DOUBLE,9) AS score FROM p JOIN s a ON a.code=code1 JOIN s c ON c.code=code2""")
+def co_pairs(spark, sf):
+    o = views.observations(spark, sf).join(views.encounters(spark, sf).select("encounter_num", "patient_num"), "encounter_num")
+    o = o.select("patient_num", F.to_date("start_date").alias("day"), F.substring_index("concept_cd", ".", 1).alias("code"))
+    return warehouse.cooccurrence(o, "patient_num", "code", F.col("day"), 30, 10).withColumn("score", r("score", 9))
+
+
+@query("""SELECT patient_num, year(start_date)::INT AS year, count(*) FILTER (visit_type='AMB') AS AMB, count(*) FILTER (visit_type='EMER') AS EMER, count(*) FILTER (visit_type='IMP') AS IMP, (year(start_date)-year(birth_date))::INT AS age
+FROM encounters JOIN patients USING (patient_num) GROUP BY ALL""")
+def py_patient_years(spark, sf):
+    both = views.encounters(spark, sf).join(views.patients(spark, sf).select("patient_num", "birth_date"), "patient_num")
+    y = F.year("start_date")
+    return both.groupBy("patient_num", y.alias("year"), (y - F.year("birth_date")).alias("age")).agg(*[F.count_if(F.col("visit_type") == k).alias(k) for k in ("AMB", "EMER", "IMP")])
+
+
+@query("""SELECT visit_type, count(*) AS n, round(avg(o_totalprice),6) AS mean, min(o_totalprice) AS low, round(quantile_cont(o_totalprice,0.25),6) AS q1, round(quantile_cont(o_totalprice,0.5),6) AS median, round(quantile_cont(o_totalprice,0.75),6) AS q3, max(o_totalprice) AS high
+FROM encounters JOIN orders ON o_orderkey=encounter_num GROUP BY 1""")
+def st_summary(spark, sf):
+    price = views.table(spark, sf, "orders").select(F.col("o_orderkey").alias("encounter_num"), "o_totalprice")
+    s = warehouse.summary(views.encounters(spark, sf).join(price, "encounter_num"), ["visit_type"], "o_totalprice")
+    return s.select("visit_type", "n", *[r(c).alias(c) for c in ("mean", "low", "q1", "median", "q3", "high")])
+
+
+@query(""", s AS (SELECT avg(value) FILTER (measure='click') AS ma, var_samp(value) FILTER (measure='click') AS va, count(value) FILTER (measure='click') AS na, avg(value) FILTER (measure='view') AS mb, var_samp(value) FILTER (measure='view') AS vb, count(value) FILTER (measure='view') AS nb FROM readings)
+SELECT round((ma-mb)/sqrt(va/na+vb/nb),6) AS t, round(pow(va/na+vb/nb,2)/(pow(va/na,2)/(na-1)+pow(vb/nb,2)/(nb-1)),4) AS df FROM s""")
+def st_welch(spark, sf):
+    return warehouse.welch_t(views.readings(spark, sf), "measure", "click", "view", "value").select(r("t").alias("t"), r("df", 4).alias("df"))
+
+
+@query("SELECT modifier_cd, round(regr_slope(l_extendedprice, l_quantity),6) AS slope, round(regr_intercept(l_extendedprice, l_quantity),4) AS intercept, round(corr(l_extendedprice, l_quantity),6) AS r FROM (SELECT *, l_returnflag AS modifier_cd FROM lineitem) GROUP BY 1")
+def st_line_fit(spark, sf):
+    o = views.table(spark, sf, "lineitem")
+    return o.groupBy(F.col("l_returnflag").alias("modifier_cd")).agg(r(F.regr_slope("l_extendedprice", "l_quantity")).alias("slope"), r(F.regr_intercept("l_extendedprice", "l_quantity"), 4).alias("intercept"), r(F.corr("l_extendedprice", "l_quantity")).alias("r"))
+
+
+@query("SELECT name, value, count(*) AS n FROM (SELECT 'modifier_cd' AS name, modifier_cd AS value FROM observations UNION ALL SELECT 'concept_cd', concept_cd FROM observations UNION ALL SELECT 'visit_type', visit_type FROM encounters) GROUP BY ALL")
+def pf_value_counts(spark, sf):
+    o = views.observations(spark, sf).select(F.expr("stack(2, 'modifier_cd', modifier_cd, 'concept_cd', concept_cd) AS (name, value)"))
+    e = views.encounters(spark, sf).select(F.lit("visit_type").alias("name"), F.col("visit_type").alias("value"))
+    return o.unionAll(e).groupBy("name", "value").agg(F.count("*").alias("n"))
+
+
+@query("SELECT encounter_num, patient_num::VARCHAR AS patient_num, visit_type AS code, start_date::DATE AS day FROM encounters", day="day")
+def fh_encounters(spark, sf):
+    """Encounters written as bundle entries and parsed again."""
+    e = views.encounters(spark, sf)
+    resource = F.struct(F.col("encounter_num").cast("string").alias("id"), F.struct(F.concat(F.lit("Patient/"), "patient_num").alias("reference")).alias("subject"), F.struct(F.col("visit_type").alias("code")).alias("class"), F.struct(F.date_format("start_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start")).alias("period"))
+    text = e.select(F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.array(F.struct(resource.alias("resource"))).alias("entry"))).alias("json"))
+    schema = "resourceType string, entry array<struct<resource struct<id string, subject struct<reference string>, class struct<code string>, period struct<start string>>>>"
+    entry = text.select(F.from_json("json", schema).alias("b")).select(F.explode("b.entry.resource").alias("e")).where("e.id is not null")
+    return entry.select(F.col("e.id").cast("long").alias("encounter_num"), F.split("e.subject.reference", "/")[1].alias("patient_num"), F.col("e.class.code").alias("code"), F.to_date(F.substring("e.period.start", 1, 10)).alias("day"))
