@@ -50,3 +50,31 @@ def dense_index(df: DataFrame, key: str, order: Column, buckets: int = 64) -> Da
     sizes = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = Window.partitionBy("_b").orderBy("_o", key)
     return ranged.withColumn("_r", F.row_number().over(within) - 1).join(F.broadcast(sizes), "_b").select(key, (F.col("_before") + F.col("_r")).alias("index"))
+
+
+#: Lower ends and labels of the two schemes of age bins.
+AGES_WIDE = ([5, 18, 45, 65, 90], ["<5", "5-17", "18-44", "45-64", "65-89"])
+AGES_FINE = ([3, 18, 35, 51, 70, 90], ["0-2", "3-17", "18-34", "35-50", "51-69", "70-89"])
+
+
+def age_bins(age: Column, scheme: tuple[list[int], list[str]]) -> Column:
+    """Label of the bin (upper ends are open); null from the last end on."""
+    out = F.when(F.lit(False), "")
+    for end, label in zip(*scheme):
+        out = out.when(age < end, label)
+    return out
+
+
+def survey_rows(survey: DataFrame, ages: list[str], drop: list[str]) -> DataFrame:
+    """Rows whose ages are all null or below 90, without the dropped columns, ages binned by both schemes (wide under suffix 2)."""
+    kept = survey
+    for a in ages:
+        kept = kept.where(F.col(a).isNull() | (F.col(a) < 90))
+    wide = {f"{a}2": age_bins(F.col(a), AGES_WIDE) for a in ages}
+    return kept.drop(*drop).withColumns(wide).withColumns({a: age_bins(F.col(a), AGES_FINE) for a in ages})
+
+
+def with_registry(patients: DataFrame, survey: DataFrame, key: str, year: int) -> DataFrame:
+    """Full outer join with a survey on the patient: flags of membership, year filled in."""
+    a, b = patients.withColumn("IN_ICEES", F.lit(1)), survey.withColumn("IN_EPR", F.lit(1))
+    return a.join(b, key, "full").fillna(0, ["IN_ICEES", "IN_EPR"]).fillna(year, ["year"])

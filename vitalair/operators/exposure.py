@@ -39,3 +39,25 @@ def with_period_statistics(df: DataFrame, keys: list[str], day: str, period: str
     for m in measures:
         more |= {f"{m}_avg": F.avg(m).over(per), f"{m}_max": F.max(m).over(per), f"{m}_prev_date": F.max(m).over(before)}
     return df.withColumns(more)
+
+
+def lag_exposure(visits: DataFrame, series: DataFrame, keys: list[str], day: str, measure: str, lags: int = 7) -> DataFrame:
+    """One row a visit and lag: the measure so many days before the visit; null where there is none."""
+    asked = visits.withColumn("lag", F.explode(F.sequence(F.lit(0), F.lit(lags - 1)))).withColumn("_day", F.date_sub(day, F.col("lag")))
+    return asked.join(series.select(*keys, F.col(day).alias("_day"), measure), [*keys, "_day"], "left").drop("_day")
+
+
+def region_series(patients: DataFrame, series: DataFrame, region: str) -> DataFrame:
+    """The series of each patient's region; patients without region or series go."""
+    return patients.join(series, region)
+
+
+def slash_date(text: Column, pattern: str = "MMM-dd-yyyy") -> Column:
+    """Date text in another pattern as yyyy/MM/dd; null if it isn't one."""
+    return F.date_format(F.to_date(F.try_to_timestamp(text, F.lit(pattern))), "yyyy/MM/dd")
+
+
+def merged_measures(a: DataFrame, b: DataFrame, keys: list[str], how: str = "full", suffix: str = "_2") -> DataFrame:
+    """Two measure tables side by side; names that clash get the suffix on the second side."""
+    clash = [c for c in b.columns if c in a.columns and c not in keys]
+    return a.join(b.withColumnsRenamed({c: c + suffix for c in clash}), keys, how)

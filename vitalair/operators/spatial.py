@@ -62,3 +62,56 @@ def nearest_within(points: DataFrame, places: DataFrame, key: str, place: str, d
     d = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
     best = met.groupBy(key).agg(F.min(F.struct(d.alias("distance"), F.col(place).alias(place))).alias("_m"))
     return points.select(key).join(best.select(key, "_m.*"), key, "left")
+
+
+def region_of(points: DataFrame, edges: DataFrame, key: str, region: str, degrees: float = 1.0) -> DataFrame:
+    """Least region whose polygon holds the point (even-odd rule); null if none.
+
+    edges: one row a side, (region, lat1, lon1, lat2, lon2). A side is copied to the
+    latitude bands it spans and to the cells from its region's western edge to its
+    own eastern end, so a point meets, by equi-join on the cell, each side that a
+    ray to the east can cross, in regions whose bounding box reaches its cell.
+    """
+    box = edges.groupBy(region).agg(F.min(F.least("lon1", "lon2")).alias("_west"))
+    cell = lambda c: F.floor(c / degrees)
+    spread = edges.join(box, region).withColumn("_a", F.explode(F.sequence(cell(F.least("lat1", "lat2")), cell(F.greatest("lat1", "lat2")))))
+    spread = spread.withColumn("_b", F.explode(F.sequence(cell(F.col("_west")), cell(F.greatest("lon1", "lon2")))))
+    met = points.where("lat is not null and lon is not null").withColumn("_a", cell(F.col("lat"))).withColumn("_b", cell(F.col("lon"))).join(spread, ["_a", "_b"])
+    spans = (F.col("lat1") > F.col("lat")) != (F.col("lat2") > F.col("lat"))
+    at = F.col("lon1") + (F.col("lat") - F.col("lat1")) / (F.col("lat2") - F.col("lat1")) * (F.col("lon2") - F.col("lon1"))
+    inside = met.where(spans & (at > F.col("lon"))).groupBy(key, region).agg(F.count("*").alias("_n")).where("_n % 2 = 1")
+    return points.select(key).join(inside.groupBy(key).agg(F.min(region).alias(region)), key, "left")
+
+
+def region_attributes(located: DataFrame, attributes: DataFrame, region: str, prefix: str, names: dict[str, str]) -> DataFrame:
+    """Attributes of each row's region, found under prefix + region id, with new names; rows without any go."""
+    own = attributes.select(F.col(region).alias("_region"), *[F.col(k).alias(v) for k, v in names.items()])
+    return located.withColumn("_region", F.concat(F.lit(prefix), F.col(region).cast("string"))).join(own, "_region").drop("_region")
+
+
+def segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Distance from a point to a segment in the plane."""
+    dx, dy = x2 - x1, y2 - y1
+    square = dx * dx + dy * dy
+    t = F.when(square > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * dx + (y - y1) * dy) / square))).otherwise(0.0)
+    return F.sqrt(F.pow(x - x1 - t * dx, F.lit(2)) + F.pow(y - y1 - t * dy, F.lit(2)))
+
+
+def nearest_line(points: DataFrame, lines: DataFrame, key: str, line: str, radius: float) -> DataFrame:
+    """Nearest segment within a radius in metres of the projected plane: distance and line; infinity and null if none.
+
+    lines: one row a segment, (line, lat1, lon1, lat2, lon2). Segments are copied to
+    the cells, one radius wide, that their bounding box plus the radius covers.
+    """
+    cell = lambda c: F.floor(c / radius)
+    a, b = projected(F.col("lat1"), F.col("lon1")), projected(F.col("lat2"), F.col("lon2"))
+    flat = lines.select(line, a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
+    for c, out in (("x", "_a"), ("y", "_b")):
+        flat = flat.withColumn(out, F.explode(F.sequence(cell(F.least(f"{c}1", f"{c}2") - radius), cell(F.greatest(f"{c}1", f"{c}2") + radius))))
+    p = projected(F.col("lat"), F.col("lon"))
+    at = points.where("lat is not null and lon is not null").select(key, p[0].alias("x"), p[1].alias("y"))
+    met = at.withColumn("_a", cell(F.col("x"))).withColumn("_b", cell(F.col("y"))).join(flat, ["_a", "_b"])
+    d = segment_distance(*map(F.col, ("x", "y", "x1", "y1", "x2", "y2")))
+    best = met.withColumn("distance", d).where(F.col("distance") <= radius).groupBy(key).agg(F.min(F.struct("distance", line)).alias("_m"))
+    out = points.select(key).join(best, key, "left")
+    return out.select(key, F.coalesce("_m.distance", F.lit(float("inf"))).alias("distance"), F.col(f"_m.{line}").alias(line))

@@ -58,3 +58,22 @@ def patient_periods(visits: DataFrame, measures: list[str]) -> DataFrame:
     for m in measures:
         out += [F.avg(m).alias(f"{m}_avg"), F.max(m).alias(f"{m}_max"), F.min_by(m, F.struct("start_date", "encounter_num")).alias(f"{m}_first")]
     return visits.groupBy("patient_num", "study_period").agg(*out)
+
+
+def visit_table(visits: DataFrame, features: list[str], names: dict[str, str], drop: list[str]) -> DataFrame:
+    """Published visit table: features (absent ones 0) with suffix Visit, measures under published names (absent ones null), age below 90.
+
+    Needs birth_date, start_date and bmi; `drop` lists identifying columns.
+    """
+    age = age_years(F.col("birth_date"), F.col("start_date"))
+    counts = [(F.coalesce(F.col(f), F.lit(0)) if f in visits.columns else F.lit(0)).alias(f"{f}Visit") for f in features]
+    measures = [(F.col(c) if c in visits.columns else F.lit(None).cast("double")).alias(n) for c, n in names.items()]
+    rest = [c for c in visits.columns if c not in features and c not in names and c != "bmi" and c not in drop]
+    obese = F.coalesce((F.col("bmi") >= 30).cast("int"), F.lit(0)).alias("ObesityBMIVisit")
+    return visits.withColumn("_age", age).where("_age < 90").select(*rest, F.col("_age").alias("AgeVisit"), *counts, obese, *measures)
+
+
+def active_in_period(pairs: DataFrame, visits: DataFrame, on: list[str]) -> DataFrame:
+    """1 where the pair occurs among the visits, else 0."""
+    seen = visits.select(*on).distinct().withColumn("active", F.lit(1))
+    return pairs.join(seen, on, "left").fillna(0, ["active"])

@@ -51,3 +51,47 @@ def welch_t(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
     s = df.agg(*[f(g, fn).alias(f"{n}{k}") for k, g in (("a", a), ("b", b)) for n, fn in (("m", F.avg), ("v", F.var_samp), ("n", F.count))])
     va, vb = F.col("va") / F.col("na"), F.col("vb") / F.col("nb")
     return s.select(((F.col("ma") - F.col("mb")) / F.sqrt(va + vb)).alias("t"), (F.pow(va + vb, F.lit(2)) / (F.pow(va, F.lit(2)) / (F.col("na") - 1) + F.pow(vb, F.lit(2)) / (F.col("nb") - 1))).alias("df"))
+
+
+def nested(facts: DataFrame, group: list[str], key: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """Per group a map of composed key to {column: value}; nulls are left out, the last by order wins."""
+    one = facts.groupBy(*group, F.concat_ws("_", *key).alias("_k")).agg(F.max(F.struct(*order, *[c for c in columns if c not in order])).alias("_v"))
+    held = F.map_filter(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(f"_v.{c}").cast("string"))]), lambda _, v: v.isNotNull())
+    return one.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_k", held.alias("v")))).alias("facts"))
+
+
+def patient_series(encounters: DataFrame) -> DataFrame:
+    """One JSON document a patient: the visits in order of their start."""
+    visit = F.struct("start_date", "encounter_num", "visit_type")
+    listed = encounters.groupBy("patient_num").agg(F.array_sort(F.collect_list(visit)).alias("v"))
+    short = F.transform("v", lambda x: F.struct(x["encounter_num"].alias("encounter"), x["visit_type"].alias("type")))
+    return listed.select("patient_num", F.to_json(short).alias("visits"))
+
+
+def one_hot(facts: DataFrame, keys: list[str], code: str, codes: list[str]) -> DataFrame:
+    """One boolean column a code (an explicit list)."""
+    return facts.groupBy(*keys).agg(*[F.coalesce(F.bool_or(F.col(code) == c), F.lit(False)).alias(c) for c in codes])
+
+
+def single_location(facts: DataFrame, patient: str, name: str, value: str) -> DataFrame:
+    """Patients with exactly one latitude and exactly one longitude."""
+    own = lambda n: F.col(name) == n
+    g = facts.groupBy(patient).agg(*[x for n in ("lat", "lon") for x in (F.count_if(own(n)).alias(f"_{n}"), F.max(F.when(own(n), F.col(value))).alias(n))])
+    return g.where("_lat = 1 and _lon = 1").select(patient, "lat", "lon")
+
+
+def wide_blocks(blocks: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Full outer join of blocks by way of one union and one grouping: column `name` counts the rows of a block."""
+    rows = None
+    for name, df in blocks.items():
+        own = df.select(*keys, F.lit(name).alias("_name"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy(*keys).pivot("_name", list(blocks)).count().fillna(0, list(blocks))
+
+
+def patient_pairs(codes: DataFrame, patient: str, code: str, day: Column, widths: list[int]) -> DataFrame:
+    """For several bin widths at once: per pair of codes the number of (patient, bin) and of patients that have both."""
+    wide = codes.select(patient, F.col(code).alias("code"), day.alias("_day")).withColumn("width", F.explode(F.array(*map(F.lit, widths))))
+    binned = wide.select(patient, "width", "code", F.floor((F.unix_date("_day") + F.pmod(F.conv(F.substring(F.md5("code"), 1, 7), 16, 10).cast("long"), F.col("width"))) / F.col("width")).alias("bin")).distinct()
+    met = binned.withColumnRenamed("code", "code1").join(binned.withColumnRenamed("code", "code2"), [patient, "width", "bin"]).where("code1 < code2")
+    return met.groupBy("width", "code1", "code2").agg(F.count("*").alias("bins"), F.count_distinct(patient).alias("patients"))

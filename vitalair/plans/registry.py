@@ -12,38 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalair.operators import binning, exposure, spatial, visits, warehouse
-from vitalair.plans import views
+from vitalair.plans import bundle_queries, model_queries, table_queries, views  # noqa: F401  (each registers its queries)
+from vitalair.plans.catalog import oracle_sql, queries, query, r  # noqa: F401
 
-_QUERIES, _SQL = {}, {}
 BOUNDS, PERIODS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"], ["early", "middle", "late"]
 PATTERNS = [(r"PROMO.*", True, "promo"), (r".*\.(1|2|3)", True, "small"), (r"ECONOMY\.7", False, "economy7"), (r"[A-M].*", True, "first_half"), (r".*[05]", True, "fives")]
 FEATURES = ["economy7", "first_half", "fives", "promo", "small"]
 
 
-def query(sql: str, day: str = ""):
-    """Register a query; the column named by day is given as yyyy-MM-dd text, as days are in this library's outputs."""
-
-    def add(f):
-        text = f"WITH {views.SQL.strip()} {sql}"
-        _QUERIES[f.__name__] = (lambda spark, sf: f(spark, sf).withColumn(day, F.col(day).cast("string"))) if day else f
-        _SQL[f.__name__] = f"SELECT * REPLACE ({day}::DATE::VARCHAR AS {day}) FROM ({text})" if day else text
-        return f
-
-    return add
-
-
-def queries():
-    return dict(_QUERIES)
-
-
-def oracle_sql():
-    return dict(_SQL)
-
-
-def r(c, digits: int = 6):
-    return F.round(c, digits)
-
-
 @query("SELECT cell, measure, ts::DATE AS day, round(avg(value),6) AS avg, max(value) AS max, min(value) AS min, round(stddev(value),6) AS stddev FROM readings GROUP BY ALL", day="day")
 def en_daily(spark, sf):
     d = exposure.daily(views.readings(spark, sf), ["cell", "measure"], "ts", "value")
