@@ -78,10 +78,10 @@ def en_lag(spark, sf):
 
 
 @query(""", d AS (SELECT o_custkey AS k, o_orderdate::DATE AS day, sum(o_totalprice) AS m FROM orders GROUP BY ALL)
-SELECT k, day, round(avg(m) OVER (PARTITION BY k, year(day)),4) AS m_avg, round(max(m) OVER (PARTITION BY k, year(day)),4) AS m_max, round(max(m) OVER (PARTITION BY k ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING),4) AS m_prev_date FROM d""", day="day")
+SELECT k, day, round(avg(m) OVER (PARTITION BY k, year(day)),6) AS m_avg, round(max(m) OVER (PARTITION BY k, year(day)),6) AS m_max, round(max(m) OVER (PARTITION BY k ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING),6) AS m_prev_date FROM d""", day="day")
 def en_calendar_year(spark, sf):
     d = views.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("m")).withColumn("year", F.year("day"))
-    return exposure.with_period_statistics(d, ["k"], "day", "year", ["m"]).select("k", "day", *[r(c, 4).alias(c) for c in ("m_avg", "m_max", "m_prev_date")])
+    return exposure.with_period_statistics(d, ["k"], "day", "year", ["m"]).select("k", "day", *[r(c).alias(c) for c in ("m_avg", "m_max", "m_prev_date")])
 
 
 @query("SELECT event_id, strftime(ts, '%Y/%m/%d') AS date, year(ts)::INT AS year FROM events")
