@@ -57,13 +57,11 @@ def chunks_of(text):
     return out
 
 
-@pytest.mark.parametrize("which", ["docs", "odd_docs"])
-def test_line_dedup(which, request):
-    df = request.getfixturevalue(which)
-    rows = df.collect()
-    home, count = {}, {}
-    for r in {(r.doc_id, r.text): r for r in rows if r.doc_id is not None}.values():
-        for body, removable in chunks_of(r.text or ""):
+def brute_dedup(rows):
+    """(doc_id, text) of rows after the removal of repeated chunks."""
+    home = {}
+    for r in rows:
+        for body, removable in chunks_of(r.text or "") if r.doc_id is not None else ():
             if removable:
                 home[body] = min(home.get(body, r.doc_id), r.doc_id)
     want = []
@@ -79,6 +77,13 @@ def test_line_dedup(which, request):
             seen.add(body)
             kept.append(body)
         want.append((r.doc_id, "\n".join(kept) if gone else r.text))
+    return want
+
+
+@pytest.mark.parametrize("which", ["docs", "odd_docs"])
+def test_line_dedup(which, request):
+    df = request.getfixturevalue(which)
+    want = brute_dedup(df.collect())
     got = q4.deduplicated(df)
     assert got.columns == [*df.columns, "n_removed"]
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)

@@ -47,6 +47,10 @@ def test_against_brute_force(which, block_words, items, spark, request):
     bench = spark.createDataFrame([(*x, "clash") for x in items], "item_id long, text string, row string")
     want = brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()], items)
     assert sorted(map(tuple, q.contamination(df, bench, block_words).collect()), key=repr) == want
+    # Rows of docs, each by its own text: brute force on one text at a time.
+    kept = sorted(((r.doc_id, r.text) for r in df.collect() if not brute([(r.doc_id, r.text)], items)[0][5]), key=repr)
+    got = q.clean_documents(df, bench, block_words)
+    assert got.columns == df.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == kept
 
 
 def test_empty_tables(docs, spark, items):

@@ -15,8 +15,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from vitalair.llm import golay
 from vitalair.llm.common import materialise, partitions, table
@@ -55,6 +56,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
 
 
+@F.pandas_udf(LongType())
+def _fingerprint(texts: pd.Series) -> pd.Series:
+    return texts.map(simhash)
+
+
+def fingerprint(text: Column) -> Column:
+    """The 16 hex digits of a text's fingerprint."""
+    return F.lower(F.lpad(F.hex(_fingerprint(text)), 16, "0"))
+
+
 def fuzzy_keys(fps: np.ndarray) -> np.ndarray:
     """Sorted keys of each fingerprint (int64[n, k]); repeats within a row are -1."""
     u = fps.view(np.uint64)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalair.llm.common import ascii_words, table
@@ -155,16 +155,20 @@ def _spans(index: Index):
     return run
 
 
-def _merge(batches):
-    for pdf in batches:
-        rows = []
-        for doc_id, times, n, starts, ends, items in zip(*(pdf[c] for c in ("doc_id", "times", "n_words", "starts", "ends", "items"))):
-            hit = np.zeros(n, dtype=bool)
-            for a, b in zip(np.concatenate([*starts, []]).astype(int), np.concatenate([*ends, []]).astype(int)):
-                hit[a:b] = True
-            rows += [(doc_id, *_verdict(int(n), int(hit.sum()), {x for part in items for x in part}))] * int(times)
-        out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-        yield out.astype({"doc_id": "Int64"})
+def _merge(with_row: bool):
+    def run(batches):
+        for pdf in batches:
+            rows, hashes = [], []
+            for doc_id, row, times, n, starts, ends, items in zip(*(pdf[c] for c in ("doc_id", "row", "times", "n_words", "starts", "ends", "items"))):
+                hit = np.zeros(n, dtype=bool)
+                for a, b in zip(np.concatenate([*starts, []]).astype(int), np.concatenate([*ends, []]).astype(int)):
+                    hit[a:b] = True
+                rows += [(doc_id, *_verdict(int(n), int(hit.sum()), {x for part in items for x in part}))] * int(times)
+                hashes += [row] * int(times)
+            out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            yield (out.assign(row=hashes) if with_row else out).astype({"doc_id": "Int64"})
+
+    return run
 
 
 def _counted(vocabulary):
@@ -190,14 +194,8 @@ def word_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
     return counts
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """RESULT for every document row.
-
-    Null or wordless texts have no words and are clean; null or wordless items
-    have no windows; items with equal ids count as one; repeated rows stay
-    repeated; empty tables are fine. The benchmark is taken in blocks of at most
-    `block_words` words (or one item), each of which is sent to all tasks.
-    """
+def indices(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[Index]:
+    """The benchmark's windows in blocks of at most `block_words` words (or one item), by the rarity of their words in docs."""
     size = F.size(F.split(F.coalesce("text", F.lit("")), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
     total = benchmark.agg(F.sum(size)).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
@@ -207,16 +205,57 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
         items = [(r["item_id"], r["text"]) for r in own.where("item_id is not null").select(F.col("item_id").cast("string"), "text").collect()]
         vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for _, t in items for w in ascii_words(t)}))}
         blocks.append(build_index(items, vocabulary, word_counts(docs, vocabulary)))
+    return blocks
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """RESULT for every document row.
+
+    Null or wordless texts have no words and are clean; null or wordless items
+    have no windows; items with equal ids count as one; repeated rows stay
+    repeated; empty tables are fine. The benchmark is taken in blocks of at most
+    `block_words` words (or one item), each of which is sent to all tasks.
+    """
+    blocks = indices(docs, benchmark, block_words)
+    if len(blocks) == 1:
+        return docs.select("doc_id", "text").mapInPandas(_judge(blocks[0]), RESULT)
+    return _in_blocks(docs, blocks)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Rows of docs, with all their columns, that are not contaminated by their own text; nulls and the like as in `contamination`.
+
+    With one block of the benchmark it is one pass that shuffles no text; with more,
+    verdicts are joined to the rows by doc_id and a hash of the text.
+    """
+    blocks = indices(docs, benchmark, block_words)
+    if len(blocks) == 1:
+        judge = _judge(blocks[0])
+
+        @F.pandas_udf("boolean")
+        def contaminated(texts: pd.Series) -> pd.Series:
+            (out,) = judge([pd.DataFrame({"doc_id": np.zeros(len(texts), dtype=np.int64), "text": texts})])
+            return out["contaminated"].astype(bool)
+
+        return docs.where(~contaminated(F.col("text")))
+    bad = _in_blocks(docs, blocks, with_row=True).where("contaminated").select("doc_id", "row").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("bad.doc_id")) & (row_hash("d.text") == F.col("bad.row"))
+    return docs.alias("d").join(bad.hint("merge").alias("bad"), same, "left_anti")
+
+
+def row_hash(text: str = "text") -> Column:
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
+
+
+def _in_blocks(docs: DataFrame, blocks: list[Index], with_row: bool = False) -> DataFrame:
     rows = docs.select("doc_id", "text")
-    if n_blocks == 1:
-        return rows.mapInPandas(_judge(blocks[0]), RESULT)
     # A row is known by its id and text here; a repeated one is judged once and given as often as it occurs.
-    once = rows.groupBy("doc_id", F.coalesce(F.sha2("text", 256), F.lit("")).alias("row")).agg(F.first("text").alias("text"), F.count("*").alias("times"))
+    once = rows.groupBy("doc_id", row_hash().alias("row")).agg(F.first("text").alias("text"), F.count("*").alias("times"))
     merged = once.mapInPandas(_spans(blocks[0]), HITS)
     for block in blocks[1:]:
         merged = merged.union(once.mapInPandas(_spans(block), HITS))
     merged = merged.groupBy("doc_id", "row").agg(F.first("n_words").alias("n_words"), F.first("times").alias("times"), *(F.collect_list(c).alias(c) for c in ("starts", "ends", "items")))
-    return merged.mapInPandas(_merge, RESULT)
+    return merged.mapInPandas(_merge(with_row), RESULT + (", row string" if with_row else ""))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
