@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def long_to_wide(facts: DataFrame, keys: list[str], name: str, value: str, names: list[str]) -> DataFrame:
@@ -53,6 +57,38 @@ def welch_t(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
     return s.select(((F.col("ma") - F.col("mb")) / F.sqrt(va + vb)).alias("t"), (F.pow(va + vb, F.lit(2)) / (F.pow(va, F.lit(2)) / (F.col("na") - 1) + F.pow(vb, F.lit(2)) / (F.col("nb") - 1))).alias("df"))
 
 
+def _beta_share(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (Lentz)."""
+    if x <= 0 or x >= 1:
+        return min(max(x, 0.0), 1.0)
+    if x > (a + 1) / (a + b + 2):  # the fraction converges fast on the other side
+        return 1 - _beta_share(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    keep = lambda v: v if abs(v) > 1e-300 else 1e-300
+    c, d = 1.0, 1 / keep(1 - (a + b) * x / (a + 1))
+    out = d
+    for m in range(1, 10_000):
+        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 / keep(1 + step * d), keep(1 + step / c)
+            out *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return front * out
+
+
+@F.pandas_udf(T.DoubleType())
+def t_probability(t: pd.Series, df: pd.Series) -> pd.Series:
+    """Two-sided probability of Student's t; null where t or df is null or no number. Meant for few rows: one a test."""
+    ok = lambda v: v is not None and v == v
+    return pd.Series([_beta_share(v / 2, 0.5, v / (v + x * x)) if ok(x) and ok(v) else None for x, v in zip(t, df)], dtype="Float64")
+
+
+def hash_sample(df: DataFrame, key: Column, rate) -> DataFrame:
+    """Bernoulli sample that repeats: a row stays if the hash of its key, as a number from 0 to 1, is below the rate (a number or column)."""
+    share = F.conv(F.substring(F.md5(key.cast("string")), 1, 7), 16, 10).cast("double") / 16.0**7
+    return df.where(share < rate)
+
+
 def nested(facts: DataFrame, group: list[str], key: list[str], columns: list[str], order: list[str]) -> DataFrame:
     """Per group a map of composed key to {column: value}; nulls are left out, the last by order wins."""
     one = facts.groupBy(*group, F.concat_ws("_", *key).alias("_k")).agg(F.max(F.struct(*order, *[c for c in columns if c not in order])).alias("_v"))

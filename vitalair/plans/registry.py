@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from vitalair.operators import binning, exposure, spatial, visits, warehouse
 from vitalair.plans import bundle_queries, model_queries, table_queries, views  # noqa: F401  (each registers its queries)
 from vitalair.plans.catalog import oracle_sql, queries, query, r  # noqa: F401
+from vitalair.sources import tables
 
 BOUNDS, PERIODS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"], ["early", "middle", "late"]
 PATTERNS = [(r"PROMO.*", True, "promo"), (r".*\.(1|2|3)", True, "small"), (r"ECONOMY\.7", False, "economy7"), (r"[A-M].*", True, "first_half"), (r".*[05]", True, "fives")]
@@ -138,6 +139,47 @@ def sp_grid_cell(spark, sf):
     return p.select("patient_num", "c.row", "c.col")
 
 
+def _inside(cols: int, rows: int) -> str:
+    return f"row BETWEEN 1 AND {rows} AND col BETWEEN 1 AND {cols}"
+
+
+@query(f""", {_XY}, g10 AS (SELECT patient_num, floor((rho*sin(th)+2556000)/36000)::INT+1 AS col, floor(({_rho0!r}-rho*cos(th)+1728000)/36000)::INT+1 AS row FROM xy),
+c AS (SELECT patient_num, 2011::INT AS year, row, col FROM g WHERE {_inside(459, 299)} UNION ALL SELECT patient_num, 2010::INT, row, col FROM g10 WHERE {_inside(148, 112)}),
+s AS (SELECT c.year, row, col, ts::DATE AS day, max(value) AS m FROM readings JOIN c ON c.patient_num=cell AND c.year=2010+day(ts)%2 GROUP BY ALL)
+SELECT patient_num, year, row, col, day, m FROM c JOIN s USING (year, row, col)""", day="day")
+def en_grid_series(spark, sf):
+    """Readings kept by year and grid cell, attached to all patients of the cell."""
+    p = views.patients(spark, sf).select("patient_num", "lat", "lon")
+    d = exposure.daily(views.readings(spark, sf), ["cell"], "ts", "value").withColumn("year", F.dayofmonth("day") % 2 + 2010)
+    cell = F.when(F.col("year") == 2010, spatial.grid_cell(F.col("lat"), F.col("lon"), 2010)).otherwise(spatial.grid_cell(F.col("lat"), F.col("lon"), 2011))
+    at = d.join(p.withColumnRenamed("patient_num", "cell"), "cell").withColumn("c", cell).where("c is not null")
+    path = tables.shared_folder(spark, "cells")
+    tables.write_by_key(at.groupBy("year", "c.row", "c.col", "day").agg(F.max("max").alias("m")), ["year"], path)
+    return spatial.grid_series(p, spark.read.parquet(path), "patient_num", [2009, 2010, 2011])
+
+
+def _sql_geodesic(turns: int = 8) -> str:
+    """Steps of the inverse formula as nested queries over near(patient_num, facility, lat1, lon1, lat2, lon2)."""
+    f, b = spatial.FLATTENING, spatial.A * (1 - spatial.FLATTENING)
+    q = f"SELECT *, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, l AS lam FROM (SELECT *, atan({1 - f!r}*tan(radians(lat1))) AS u1, atan({1 - f!r}*tan(radians(lat2))) AS u2, radians(lon2-lon1) AS l FROM near)"
+    for i in range(turns + 1):
+        q = f"SELECT *, sqrt(pow(c2*sin(lam),2)+pow(c1*s2-s1*c2*cos(lam),2)) AS ss, s1*s2+c1*c2*cos(lam) AS cs FROM ({q})"
+        q = f"SELECT *, 1-sa*sa AS ca FROM (SELECT *, atan2(ss,cs) AS sg, CASE WHEN ss>0 THEN c1*c2*sin(lam)/ss ELSE 0 END AS sa FROM ({q}))"
+        q = f"SELECT *, cs-2*s1*s2/ca AS cm, {f!r}/16*ca*(4+{f!r}*(4-3*ca)) AS c FROM ({q})"
+        if i < turns:
+            q = f"SELECT patient_num, facility, s1, c1, s2, c2, l, l+(1-c)*{f!r}*sa*(sg+c*ss*(cm+c*cs*(2*cm*cm-1))) AS lam FROM ({q})"
+    k = (spatial.A**2 - b**2) / b**2
+    q = f"SELECT *, 1+k/16384*(4096+k*(-768+k*(320-175*k))) AS ka, k/1024*(256+k*(-128+k*(74-47*k))) AS kb FROM (SELECT *, ca*{k!r} AS k FROM ({q}))"
+    return f"SELECT patient_num, facility, {b!r}*ka*(sg-kb*ss*(cm+kb/4*(cs*(2*cm*cm-1)-kb/6*cm*(4*ss*ss-3)*(4*cm*cm-3)))) AS d FROM ({q})"
+
+
+@query(f""", near AS (SELECT patient_num, facility, p.lat AS lat1, p.lon AS lon1, f.lat AS lat2, f.lon AS lon2 FROM patients p JOIN facilities f ON abs(f.lat-p.lat)<=3 AND p.lon IS NOT NULL), z AS ({_sql_geodesic()}),
+m AS (SELECT patient_num, arg_min(facility, (round(d,4), facility)) AS facility, min(d) AS d FROM z WHERE d<=150000 GROUP BY 1) SELECT patient_num, facility, round(d,2) AS distance FROM patients LEFT JOIN m USING (patient_num)""")
+def sp_nearest_geodesic(spark, sf):
+    out = spatial.nearest_geodesic(views.patients(spark, sf), views.facilities(spark, sf), "patient_num", "facility", 150_000.0)
+    return out.select("patient_num", "facility", r("distance", 2).alias("distance"))
+
+
 _H = "asin(sqrt(pow(sin(radians(f.lat-p.lat)/2),2)+cos(radians(p.lat))*cos(radians(f.lat))*pow(sin(radians(f.lon-p.lon)/2),2)))*2*6371008.8"
 
 
@@ -203,6 +245,26 @@ def st_welch(spark, sf):
     return warehouse.welch_t(views.readings(spark, sf), "measure", "click", "view", "value").select(r("t").alias("t"), r("df", 4).alias("df"))
 
 
+@query(""", s AS (SELECT avg(value) FILTER (measure='click') AS ma, var_samp(value) FILTER (measure='click') AS va, count(value) FILTER (measure='click') AS na, avg(value) FILTER (measure='purchase') AS mb, var_samp(value) FILTER (measure='purchase') AS vb, count(value) FILTER (measure='purchase') AS nb FROM readings),
+w AS (SELECT (ma-mb)/sqrt(va/na+vb/nb) AS t, pow(va/na+vb/nb,2)/(pow(va/na,2)/(na-1)+pow(vb/nb,2)/(nb-1)) AS v FROM s),
+x AS (SELECT abs(t)*i/2000 AS x, CASE WHEN i IN (0,2000) THEN 1 WHEN i%2=1 THEN 4 ELSE 2 END AS k, t, v FROM w, (SELECT unnest(range(2001)) AS i))
+SELECT round(1-2*any_value(abs(t))/6000*sum(k*exp(lgamma((v+1)/2)-lgamma(v/2))/sqrt(v*pi())*pow(1+x*x/v,-(v+1)/2)),6) AS p FROM x""")
+def st_welch_probability(spark, sf):
+    """Two-sided probability of the difference; its SQL integrates the density."""
+    w = warehouse.welch_t(views.readings(spark, sf), "measure", "click", "purchase", "value")
+    return w.select(r(warehouse.t_probability("t", "df")).alias("p"))
+
+
+@query(""", s AS (SELECT count(*) FILTER (visit_type='EMER')/count(*) FILTER (visit_type='AMB')::DOUBLE AS rate FROM encounters)
+SELECT encounter_num FROM encounters, s WHERE visit_type='AMB' AND ('0x'||substr(md5(encounter_num::VARCHAR),1,7))::BIGINT/268435456.0::DOUBLE < rate""")
+def st_sample(spark, sf):
+    """Ambulatory visits sampled to about as many as there are emergency visits, alike in every run."""
+    e = views.encounters(spark, sf)
+    rate = e.agg((F.count_if(F.col("visit_type") == "EMER") / F.count_if(F.col("visit_type") == "AMB")).alias("_rate"))  # one row
+    amb = e.where("visit_type = 'AMB'").select("encounter_num").crossJoin(F.broadcast(rate))
+    return warehouse.hash_sample(amb, F.col("encounter_num"), F.col("_rate")).select("encounter_num")
+
+
 @query("SELECT modifier_cd, round(regr_slope(l_extendedprice, l_quantity),6) AS slope, round(regr_intercept(l_extendedprice, l_quantity),4) AS intercept, round(corr(l_extendedprice, l_quantity),6) AS r FROM (SELECT *, l_returnflag AS modifier_cd FROM lineitem) GROUP BY 1")
 def st_line_fit(spark, sf):
     o = views.table(spark, sf, "lineitem")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, exposure, mapping, spatial, visits, warehouse
+from vitalair.operators import binning, exposure, mapping, names, spatial, visits, warehouse
 from vitalair.plans import views
 from vitalair.plans.catalog import query, r
 from vitalair.sources import tables
@@ -155,6 +155,18 @@ def in_visit_table(spark, sf):
     return visits.visit_table(v, ["Asthma", "Croup"], {"pm_avg": "AvgDailyPM", "o3_max": "MaxDailyOzone"}, ["patient_num", "birth_date", "start_date"])
 
 
+_PUBLISHED = {"pm25_avg_prev_date": "k%7", "o3_max_prev_date": "k%11", "CO_ppbv_prev_date": "k%13"}
+
+
+@query("SELECT encounter_num, patient_num, " + ", ".join(f"{f'(encounter_num{_PUBLISHED[c][1:]})::DOUBLE' if c in _PUBLISHED else 'NULL::DOUBLE'} AS {names.column_name(n)}" for c, n in names.VISIT_NAMES.items()) + " FROM encounters JOIN patients USING (patient_num) WHERE date_sub('year', birth_date, start_date::DATE)<90")
+def in_published_visits(spark, sf):
+    """Visits with all published exposures under their names; those without data are empty."""
+    v = views.encounters(spark, sf).join(views.patients(spark, sf).select("patient_num", "birth_date"), "patient_num").withColumn("k", F.col("encounter_num"))
+    v = v.select("encounter_num", "patient_num", "birth_date", "start_date", F.lit(None).cast("double").alias("bmi"), *[F.expr(e).cast("double").alias(c) for c, e in _PUBLISHED.items()])
+    out = visits.visit_table(v, [], names.VISIT_NAMES, ["birth_date", "start_date"]).drop("AgeVisit", "ObesityBMIVisit")
+    return out.toDF(*map(names.column_name, out.columns))
+
+
 @query(""", a AS (SELECT patient_num, lat AS a_lat FROM patients WHERE patient_num%2=0), b AS (SELECT patient_num, lon AS b_lon FROM patients WHERE patient_num%3=0)
 SELECT encounter_num, patient_num, a_lat, b_lon FROM encounters LEFT JOIN (a FULL JOIN b USING (patient_num)) USING (patient_num)""")
 def in_static_tables(spark, sf):
