@@ -44,3 +44,38 @@ def test_near_pairs_find_copies_with_edits(spark):
     texts = base + [b[:1500] + "edit" + b[1500:] for b in base[:6]] + base[:3] + [None]
     got = ee.near_pairs(spark.createDataFrame([(t,) for t in texts], "text string"), threshold=0.7).collect()
     assert len(got) == 6 and all(r.likeness >= 0.7 for r in got)
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = list("abcdefgh ijklmnop")
+    base = ["".join(rng.choice(letters, 400)) for _ in range(3)]
+    texts = [b[:200] + "".join(rng.choice(letters, k % 40)) + b[200:] for b in base for k in range(60)] + ["", None]
+    fps = sorted({p.tobytes().hex() for p in ee.fingerprint_batch([t or "" for t in texts])})
+    cells = ee.from_hex(fps)
+    keys = ee.band_keys().func(fps)
+    near = lambda i, j: ee.likeness(cells[i : i + 1], cells[j : j + 1])[0] >= 0.8 and (keys[i] == keys[j]).any()
+    want = _groups(fps, [(fps[i], fps[j]) for i in range(len(fps)) for j in range(i) if near(i, j)])
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for run in (2000, 7):  # whole buckets, and buckets in blocks
+        monkeypatch.setattr(ee, "RUN", run)
+        got = ee.near_pairs(df).collect()
+        assert all(r.likeness >= 0.8 and r.fingerprint_a < r.fingerprint_b for r in got)
+        assert _groups(fps, [(r.fingerprint_a, r.fingerprint_b) for r in got]) == want
+    assert ee.near_pairs(df.limit(0)).count() == 0
+
+
+def _groups(nodes, links):
+    root = {n: n for n in nodes}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        root[top(a)] = top(b)
+    out = {}
+    for n in nodes:
+        out.setdefault(top(n), set()).add(n)
+    return sorted(map(sorted, out.values()))

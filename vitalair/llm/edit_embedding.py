@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalair.llm.common import materialise, partitions
+
 CELLS = 128
 GRAM = 8  # characters that decide on an anchor
 ANCHOR = 256  # one position in so many is an anchor
@@ -112,8 +114,11 @@ def fingerprint_batch(texts: list[str]) -> np.ndarray:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated share of embedding positions that two fingerprints have in common (0 to 1), row by row."""
-    agree = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-    agree = np.clip(agree, 0.0, 1.0)
+    return _of_share((a == b).mean(axis=1))
+
+
+def _of_share(equal: np.ndarray) -> np.ndarray:
+    agree = np.clip((equal - 1 / 256) / (1 - 1 / 256), 0.0, 1.0)
     return 2 * agree / (1 + agree)
 
 
@@ -159,21 +164,61 @@ def band_keys(n_bands: int = 24, cells: int = 4):
     return keys
 
 
-def near_pairs(df: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """Pairs of different fingerprints whose likeness reaches the threshold: (fingerprint_a, fingerprint_b, likeness).
+def _forest(fps: list[str], least: int) -> list[tuple[str, str]]:
+    """Links that hold together what all pairs with `least` equal cells or more would hold together."""
+    cells, left, out = from_hex(fps), np.arange(len(fps)), []
+    while len(left):
+        todo, left = [left[0]], left[1:]
+        while todo and len(left):
+            i = todo.pop()
+            hit = (cells[left] == cells[i]).sum(axis=1) >= least
+            found, left = left[hit], left[~hit]
+            out += [(fps[i], fps[j]) if fps[i] < fps[j] else (fps[j], fps[i]) for j in found]
+            todo += list(found)
+    return out
 
-    Works on distinct fingerprints, so copies cost nothing; join back on the
-    fingerprint for membership.  Within a band's bucket every fingerprint is
-    compared with the bucket's smallest and with its neighbours in the order of
-    a second, independent band, never all with all; chains of such links hold
-    a group together.  Null texts count as empty.
-    """
-    from pyspark.sql import Window
 
+def _linked(least: int):
+    """Rows sorted by (key, i, j) -> links within each run of equal (key, i, j), which may go on in the next batch."""
+
+    def run(batches):
+        import pandas as pd
+
+        held, name = [], None
+        for pdf in batches:
+            out = []
+            for own, part in pdf.groupby(["key", "i", "j"], sort=False)["fp"]:
+                if own != name:
+                    out += _forest(held, least)
+                    held, name = [], own
+                held += list(part)
+            yield pd.DataFrame(out, columns=["fingerprint_a", "fingerprint_b"])
+        yield pd.DataFrame(_forest(held, least), columns=["fingerprint_a", "fingerprint_b"])
+
+    return run
+
+
+RUN = 2000  # members of a bucket in one block
+
+
+def near_pairs(df: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """Verified links between different fingerprints: (fingerprint_a, fingerprint_b, likeness).
+
+    The links hold together all fingerprints that pairs of a shared band and a
+    likeness at the threshold or above hold together, without being all such
+    pairs. Copies are one fingerprint; join back on it for membership. Null texts
+    count as empty; an empty table gives no rows. A bucket of more than RUN
+    members is cut into blocks and every two of its blocks meet in a task of their
+    own, so a crowded bucket loses no link and no task holds more than two blocks.
+    """
+    n = partitions(df.sparkSession)
+    least = int(np.searchsorted(_of_share(np.arange(CELLS + 1) / CELLS), threshold))
     fps = df.select(fingerprint(F.coalesce(F.col(text_col), F.lit(""))).alias("fp")).distinct()
-    keyed = fps.select("fp", F.posexplode(band_keys()("fp")).alias("band", "key"))
-    near = Window.partitionBy("key").orderBy(F.xxhash64("fp"), "fp")
-    links = keyed.select("fp", F.lag("fp").over(near).alias("prev"), F.lag("fp", 2).over(near).alias("prev2"), F.first("fp").over(near).alias("least"))
-    pairs = links.select("fp", F.explode(F.array("prev", "prev2", "least")).alias("other")).where("other is not null and other != fp")
-    pairs = pairs.select(F.least("fp", "other").alias("fingerprint_a"), F.greatest("fp", "other").alias("fingerprint_b")).distinct()
-    return pairs.withColumn("likeness", hex_likeness("fingerprint_a", "fingerprint_b")).where(F.col("likeness") >= threshold)
+    keyed = materialise(fps.select("fp", F.explode(band_keys()("fp")).alias("key")), "bands")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / RUN).alias("blocks"))
+    met = keyed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    met = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = met.mapInPandas(_linked(least), "fingerprint_a string, fingerprint_b string").distinct()
+    return pairs.withColumn("likeness", hex_likeness("fingerprint_a", "fingerprint_b"))
