@@ -1,12 +1,15 @@
-"""op4: line dedup on content-defined chunks of lines, in DataFrame expressions only.
+"""op4: line dedup on content-defined chunks and word windows of lines, in DataFrame expressions only.
 
 A chunk ends after a line where a rolling hash over it and the line before
 takes one of a set of values, so an inserted line moves no boundary beyond its
 neighbours.  A line of LONG_WORDS words or more is a passage by itself: a chunk
-begins before and ends after it.  Chunks of two lines or more, and such
-passages, are counted over all documents by hash; of those that repeat, every
-occurrence but the first (least doc_id) is removed, once its bytes have been
-compared with the first's.
+begins before and ends after it.  A chunk's ends depend on its neighbours, so
+windows are taken too: from each line with words the fewest lines after it, and
+before it, that hold LONG_WORDS words.  Windows lie over each other and cover
+every line of a passage of that many words, whatever its context.  Chunks of
+two lines or more, long lines and windows are counted over all documents by
+hash; of those that repeat, every occurrence but the first (least doc_id) is
+removed, once its bytes have been compared with the first's.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ def _is_long(line: Column) -> Column:
 
 
 def with_chunks(docs: DataFrame) -> DataFrame:
-    """Add `lines` and `chunks`: array<struct<first, last, h, removable>> of each text, in order."""
+    """Add `_lines` and `_chunks`: array<struct<first, last, h, removable>> of each text's chunks and windows, by first and last line."""
     df = docs.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x))).withColumn("_long", F.transform("_lines", _is_long))
     ends = lambda i: (
@@ -35,12 +38,42 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     )
     df = df.withColumn("_ends", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), ends))
 
-    def chunk(last: Column, k: Column) -> Column:
-        first = F.when(k == 0, F.lit(0)).otherwise(F.get("_ends", k - 1) + 1)
-        body = chunk_text(F.col("_lines"), first, last)
-        return F.struct(first.alias("first"), last.alias("last"), F.xxhash64(body).alias("h"), (((last > first) | F.get("_long", last)) & (F.length(body) >= LEAST_CHARS)).alias("removable"))
+    n_words = lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    df = df.withColumn("_n", F.transform("_lines", n_words))
+    df = df.withColumn("_full", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_n", i) > 0))
+    df = df.withColumn("_m", F.transform("_full", lambda i: F.get("_n", i)))
+    none = F.struct(F.lit(0).alias("s"), F.lit(0).alias("c"))
 
-    return df.withColumn("_chunks", F.transform("_ends", chunk)).drop("_hashes", "_long", "_ends")
+    def enough(counts: Column) -> Column:
+        return F.aggregate(counts, none, lambda a, w: F.when(a["s"] >= LONG_WORDS, a).otherwise(F.struct((a["s"] + w).alias("s"), (a["c"] + 1).alias("c"))))
+
+    def soon(counts: Column) -> Column:  # few lines are enough nearly always
+        few = enough(F.slice(counts, 1, 4))
+        return F.when(few["s"] >= LONG_WORDS, few).otherwise(enough(counts))
+
+    def after(i: Column, k: Column) -> Column:
+        w = soon(F.slice("_m", k + 1, LONG_WORDS))
+        return F.struct(i.alias("first"), w.alias("w"), k.alias("k"))
+
+    def before(i: Column, k: Column) -> Column:
+        w = soon(F.reverse(F.slice("_m", F.greatest(k + 2 - LONG_WORDS, F.lit(1)), F.least(k + 1, F.lit(LONG_WORDS)))))
+        return F.struct(i.alias("last"), w.alias("w"), k.alias("k"))
+
+    df = df.withColumn("_after", F.filter(F.transform("_full", after), lambda x: x["w"]["s"] >= LONG_WORDS))
+    df = df.withColumn("_before", F.filter(F.transform("_full", before), lambda x: x["w"]["s"] >= LONG_WORDS))
+    span = lambda first, last: F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
+    spans = F.concat(
+        F.transform("_ends", lambda last, k: span(F.when(k == 0, F.lit(0)).otherwise(F.get("_ends", k - 1) + 1), last)),
+        F.transform("_after", lambda x: span(x["first"], F.get("_full", x["k"] + x["w"]["c"] - 1))),
+        F.transform("_before", lambda x: span(F.get("_full", x["k"] - x["w"]["c"] + 1), x["last"])),
+    )
+    df = df.withColumn("_spans", F.array_sort(F.array_distinct(spans)))
+
+    def chunk(s: Column) -> Column:
+        body = chunk_text(F.col("_lines"), s["first"], s["last"])
+        return F.struct(s["first"].alias("first"), s["last"].alias("last"), F.xxhash64(body).alias("h"), (((s["last"] > s["first"]) | F.get("_long", s["last"])) & (F.length(body) >= LEAST_CHARS)).alias("removable"))
+
+    return df.withColumn("_chunks", F.transform("_spans", chunk)).drop("_hashes", "_long", "_ends", "_n", "_full", "_m", "_after", "_before", "_spans")
 
 
 def chunk_text(lines: Column, first: Column, last: Column) -> Column:
@@ -48,20 +81,22 @@ def chunk_text(lines: Column, first: Column, last: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """All rows and columns of docs, with the repeated chunks taken out of `text`, and n_removed (chunks).
+    """All rows and columns of docs, with the lines of repeated chunks and windows taken out of `text`, and n_removed (lines).
 
     Rows of one doc_id count as one document: a chunk of the least doc_id stays in
-    each of them, but only once in a text. Rows without doc_id and null texts stay
+    each of them, but only once in a text; what overlaps it there is no repeat of it. Rows without doc_id and null texts stay
     as they are; a text whose every chunk repeats becomes empty; an empty table
     gives no rows.
     """
     columns = docs.columns
     rows = docs.where("doc_id is not null")
     chunked = with_chunks(rows.select(F.col("doc_id").alias("_id"), "text"))
-    hashes = F.transform("_chunks", lambda c: c["h"])
+    chunked = chunked.select("_id", "_chunks", F.transform("_chunks", lambda c: c["h"]).alias("_hashes"))
+    first_last = lambda c: F.get("_chunks", (F.array_position("_hashes", c["h"]) - 1).cast("int"))["last"]
+    seen = F.transform("_chunks", lambda c: F.struct(c["h"].alias("h"), c["removable"].alias("removable"), (first_last(c) < c["first"]).alias("again")))
     # The outer form, as for the plain one Spark first filters on the size of an array that it would compute anew for it.
-    again = chunked.select("_id", F.posexplode_outer("_chunks").alias("_no", "c"), hashes.alias("_hashes")).where("c.removable")
-    narrow = materialise(again.select("_id", "_no", F.col("c.h").alias("h"), (F.array_position("_hashes", F.col("c.h")) <= F.col("_no")).alias("again")), "chunks")
+    again = chunked.select("_id", F.size("_hashes"), F.posexplode_outer(seen).alias("_no", "c")).where("c.removable")
+    narrow = materialise(again.select("_id", "_no", "c.h", "c.again"), "chunks")
     repeated = narrow.groupBy("h").agg(F.count("*").alias("n"), F.min("_id").alias("home")).where("n > 1").select("h", "home")
     repeated = materialise(repeated, "repeated")
     asked = narrow.join(repeated, "h").select("_id", "_no", "h", ((F.col("_id") != F.col("home")) | F.col("again")).alias("extra"))
@@ -76,13 +111,17 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     same = held.where("extra").join(first.hint("merge"), "h").where("body = first_body")
     gone = materialise(same.select("_id", "_no", "h").distinct(), "gone")
     gone = materialise(gone.groupBy("_id").agg(F.collect_list(F.struct("_no", "h")).alias("gone")), "gone-lists")
-    met = with_chunks(full.join(gone.hint("merge"), "_id", "left"))
+    # Only texts that lose lines are cut again.
+    met = full.join(gone.hint("merge"), "_id", "left").withColumn("_whole", F.col("text")).withColumn("text", F.when(F.col("gone").isNotNull(), F.col("text")))
+    met = with_chunks(met)
     numbered = F.transform("_chunks", lambda c, k: F.struct(k.alias("k"), c.alias("c")))
     out = lambda x: F.exists("gone", lambda g: (g["_no"] == x["k"]) & (g["h"] == x["c"]["h"]))
-    keep = F.filter(numbered, lambda x: ~out(x))
-    body = F.array_join(F.transform(keep, lambda x: chunk_text(F.col("_lines"), x["c"]["first"], x["c"]["last"])), "\n")
-    met = met.withColumn("_text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(body))
-    met = met.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("_chunks") - F.size(keep)))
+    met = met.withColumn("_every", F.sequence(F.lit(0), F.size("_lines") - 1))
+    lost = F.flatten(F.transform(F.filter(numbered, out), lambda x: F.sequence(x["c"]["first"], x["c"]["last"])))
+    met = met.withColumn("_keep", F.when(F.col("gone").isNotNull(), F.array_except("_every", lost)))
+    body = F.array_join(F.transform("_keep", lambda i: F.get("_lines", i)), "\n")
+    met = met.withColumn("_text", F.when(F.col("gone").isNull(), F.col("_whole")).otherwise(body))
+    met = met.withColumn("n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.size("_every") - F.size("_keep")))
     plain = [F.col("_text").alias("text") if c == "text" else F.col(c) for c in columns if c != "n_removed"]
     rest = docs.where("doc_id is null").withColumn("n_removed", F.lit(0))
     return met.select(*plain, "n_removed").unionByName(rest.select(*[c for c in columns if c != "n_removed"], "n_removed"))
