@@ -1,48 +1,115 @@
 """op5: chat formatting by quotation linking, in DataFrame expressions only.
 
-A line that begins with one or more `>` is quoted at that level.  Quoted lines
-are normalised and hashed and joined to the messages that hold the same line
-unquoted: in the same conversation at an earlier turn if possible, else the
-first that has it anywhere.  A message replies to the message its shallowest
-quote comes from, to the latest of several.  Replies give each message a root
-and a depth, and conversations without quotes are ordered by root, then turn.
+A line that begins with one or more `>` is quoted at that level; a run of lines
+of one level is a passage, and so is each of its lines.  Passages are normalised
+and hashed by their first one, two, four or eight lines, and joined to the
+places where messages hold such lines unquoted; there the whole passage is then
+compared, byte by byte.  Its source is the latest earlier turn of the same
+conversation that holds it, else the first message of another conversation.  A
+message replies to the source of its shallowest, then longest quote.  Replies
+give each message a root, a depth and a place in its thread.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalair.llm.common import materialise, table
 
 MARK = r"^((?:[ \t]*>)+)"
-
-
-def _lines(messages: DataFrame) -> DataFrame:
-    lines = messages.select("conv_id", "turn", F.explode_outer(F.split(F.coalesce("text", F.lit("")), "\r?\n")).alias("line"))
-    mark = F.regexp_extract("line", MARK, 1)
-    body = F.lower(F.trim(F.regexp_replace(F.regexp_replace("line", MARK, ""), r"\s+", " ")))
-    level = F.length(mark) - F.length(F.replace(mark, F.lit(">")))
-    return lines.select("conv_id", "turn", level.alias("level"), F.xxhash64(body).alias("h"), body.alias("body")).where("body != ''").drop("body")
+NEWLINE = "\r?\n"
+WINDOWS = (1, 2, 4, 8)  # lines that a passage is first found by: as many of them as it has
+MESSAGE = ["conv_id", "turn", "_t"]  # a message is known by its place and a hash of its text
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """Add `_lines`: array<struct<level, body>> of the lines that aren't blank, normalised."""
+
+    def line(x: Column) -> Column:
+        mark = F.regexp_extract(x, MARK, 1)
+        body = F.lower(F.trim(F.regexp_replace(F.regexp_replace(x, MARK, ""), r"\s+", " ")))
+        return F.struct((F.length(mark) - F.length(F.replace(mark, F.lit(">")))).alias("level"), body.alias("body"))
+
+    known = messages.where("conv_id is not null and turn is not null and text is not null").select("conv_id", "turn", F.xxhash64("text").alias("_t"), "text")
+    return known.withColumn("_lines", F.filter(F.transform(F.split("text", NEWLINE), line), lambda x: x["body"] != ""))
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once a row."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _key(hashes: Column, at: Column, n: int) -> Column:
+    return F.xxhash64(F.lit(n), F.slice(hashes, at + 1, n))
+
+
+def passages(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, n_lines, window, key, body) of all quoted passages."""
+    df = _parsed(messages.where(F.col("text").rlike("(?m)" + MARK)))
+    at = lambda i: F.get("_lines", i)
+    bounds = F.filter(F.sequence(F.lit(0), F.size("_lines")), lambda i: (i == 0) | (i == F.size("_lines")) | (at(i)["level"] != at(i - 1)["level"]))
+    df = df.where(F.size("_lines") > 0).withColumn("_bounds", bounds)
+    runs = _let(F.col("_bounds"), lambda b: F.transform(F.sequence(F.lit(0), F.size(b) - 2), lambda q: F.struct(b[q].alias("first"), (b[q + 1] - b[q]).alias("n"))))
+    runs = F.filter(runs, lambda r: at(r["first"])["level"] > 0)
+    lines = F.transform(F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: at(i)["level"] > 0), lambda i: F.struct(i.alias("first"), F.lit(1).alias("n")))
+    df = df.withColumn("_spans", F.concat(F.filter(runs, lambda r: r["n"] > 1), lines))
+
+    def passage(r: Column, bodies: Column) -> Column:
+        own = F.slice(bodies, r["first"] + 1, r["n"])
+        return F.struct(at(r["first"])["level"].alias("level"), r["n"].alias("n_lines"), own.alias("own"))
+
+    found = _let(F.col("_lines.body"), lambda bodies: F.transform("_spans", lambda r: passage(r, bodies)))
+    df = df.select("conv_id", "turn", F.explode_outer(found).alias("p")).where("p is not null").select("conv_id", "turn", "p.*")
+    hashes = F.transform("own", lambda x: F.xxhash64(x))
+    key, window = F.lit(None).cast("long"), F.lit(None).cast("int")
+    for n in WINDOWS:
+        key, window = F.when(F.col("n_lines") >= n, _key(hashes, F.lit(0), n)).otherwise(key), F.when(F.col("n_lines") >= n, n).otherwise(window)
+    return df.select("conv_id", "turn", "level", "n_lines", window.alias("window"), key.alias("key"), F.array_join("own", "\n").alias("body"))
+
+
+def _sources(messages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(conv_id, turn, h, body): messages that hold a wanted passage (key, window, n_lines, h, body) unquoted."""
+    used = {r["window"] for r in wanted.select("window").distinct().collect()}  # some of WINDOWS
+    if not used:
+        return messages.sparkSession.createDataFrame([], messages.select("conv_id", "turn").schema).select("conv_id", "turn", F.lit(0).cast("long").alias("h"), F.lit("").alias("body")).limit(0)
+    df = _parsed(messages).withColumn("_own", F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["body"])).drop("_lines", "text")
+    ends = lambda n: F.filter(F.sequence(F.lit(0), F.size("_own") - 1), lambda i: i + n <= F.size("_own"))
+    of = lambda hashes, n: F.transform(ends(n), lambda i: F.struct(i.alias("at"), _key(hashes, i, n).alias("key")))
+    keys = lambda hashes: F.concat(*[of(hashes, n) for n in WINDOWS if n in used])
+    places = df.where(F.size("_own") > 0).select(*MESSAGE, F.explode_outer(_let(F.transform("_own", lambda x: F.xxhash64(x)), keys)).alias("k")).select(*MESSAGE, "k.at", "k.key")
+    lengths = wanted.select("key", "n_lines").distinct()
+    met = places.join(lengths.hint("merge"), "key")
+    # No more entries than the text has places, times the lengths of passages that begin alike.
+    asks = materialise(met.groupBy(*MESSAGE).agg(F.collect_set(F.struct("at", "n_lines", "key")).alias("_asks")), "asks")
+    held = df.join(asks.hint("merge"), MESSAGE)
+    cut = _let(F.col("_own"), lambda own: F.transform("_asks", lambda a: F.struct(a["key"].alias("key"), F.array_join(F.slice(own, a["at"] + 1, a["n_lines"]), "\n").alias("body"))))
+    bodies = held.select("conv_id", "turn", F.explode_outer(cut).alias("b")).select("conv_id", "turn", "b.key", "b.body").withColumn("h", F.xxhash64("body")).distinct()
+    same = wanted.select("key", "h", "body").hint("merge")
+    return bodies.join(same, ["key", "h", "body"]).select("conv_id", "turn", "h", "body")
 
 
 def parents(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, from_conv, from_turn, n_quotes) of each message with quotes that have a source."""
-    lines = _lines(messages.where("conv_id is not null and turn is not null"))
-    quoted = materialise(lines.where("level > 0").distinct(), "quoted")
-    wanted = quoted.select("h").distinct()
-    sources = materialise(lines.where("level = 0").join(wanted, "h", "left_semi").select("conv_id", "turn", "h").distinct(), "sources")
-    # One row a line and conversation, and one a line: a line said everywhere multiplies nothing.
-    near = materialise(sources.groupBy("conv_id", "h").agg(F.min("turn").alias("near_turn")), "near")
-    far = sources.groupBy("h").agg(F.min("conv_id").alias("far_conv"))
-    far = materialise(sources.join(far, "h").where("conv_id = far_conv").groupBy("h").agg(F.min("conv_id").alias("far_conv"), F.min("turn").alias("far_turn")), "far")
-    found = quoted.join(near, ["conv_id", "h"], "left").join(far, "h", "left")
-    is_near = F.coalesce(F.col("near_turn") < F.col("turn"), F.lit(False))
-    other = (F.col("far_conv") != F.col("conv_id"))
-    found = found.select("conv_id", "turn", "level", F.when(is_near, F.col("conv_id")).when(other, F.col("far_conv")).alias("from_conv"), F.when(is_near, F.col("near_turn")).when(other, F.col("far_turn")).alias("from_turn"))
-    found = found.where("from_turn is not null")
-    best = F.struct(F.when(F.col("from_conv") == F.col("conv_id"), 0).otherwise(1), "level", (-F.col("from_turn")).alias("late"), "from_conv")
-    first = found.groupBy("conv_id", "turn").agg(F.min(best).alias("b"), F.count("*").alias("n_quotes"))
+    """(conv_id, turn, from_conv, from_turn, n_quotes) of each message with quotes that have a source; n_quotes counts different quoted lines with one."""
+    quoted = materialise(passages(messages).withColumn("h", F.xxhash64("body")).distinct(), "quoted")
+    wanted = materialise(quoted.select("key", "window", "n_lines", "h", "body").distinct(), "wanted")
+    held = materialise(_sources(messages, wanted).distinct(), "sources")
+    # In the same conversation: the last one before, as rows of one passage stand in the order of their turns.
+    asks = quoted.select("conv_id", "turn", "h", "body", "level", "n_lines", F.lit(None).cast("long").alias("said"), F.lit(0).alias("_source"))
+    said = held.select("conv_id", "turn", "h", "body", F.lit(None).cast("int").alias("level"), F.lit(None).cast("int").alias("n_lines"), F.col("turn").cast("long").alias("said"), F.lit(1).alias("_source"))
+    before = Window.partitionBy("conv_id", "h", "body").orderBy("turn", "_source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = asks.unionByName(said).withColumn("near_turn", F.last("said", ignorenulls=True).over(before)).where("_source = 0").drop("said", "_source")
+    # Elsewhere: the first message of the two least conversations, so that one is not the quoting one.
+    one = materialise(held.groupBy("h", "body").agg(F.min(F.struct("conv_id", "turn")).alias("a")), "least")
+    two = held.join(one.hint("merge"), ["h", "body"]).where("conv_id != a.conv_id").groupBy("h", "body").agg(F.min(F.struct("conv_id", "turn")).alias("b"))
+    far = materialise(one.join(two.hint("merge"), ["h", "body"], "left"), "far")
+    found = near.join(far.hint("merge"), ["h", "body"], "left")
+    other = F.when(F.col("a.conv_id") != F.col("conv_id"), F.col("a")).otherwise(F.col("b"))
+    is_near = F.col("near_turn").isNotNull()
+    from_conv = F.when(is_near, F.col("conv_id")).otherwise(other["conv_id"])
+    found = found.select("conv_id", "turn", "level", "n_lines", "h", "body", from_conv.alias("from_conv"), F.when(is_near, F.col("near_turn")).otherwise(other["turn"]).alias("from_turn")).where("from_turn is not null")
+    best = F.struct(F.when(F.col("from_conv") == F.col("conv_id"), 0).otherwise(1), "level", (-F.col("n_lines")).alias("size"), (-F.col("from_turn")).alias("late"), "from_conv")
+    first = found.groupBy("conv_id", "turn").agg(F.min(best).alias("b"), F.count_if(F.col("n_lines") == 1).alias("n_quotes"))
     return first.select("conv_id", "turn", F.col("b.from_conv").alias("from_conv"), (-F.col("b.late")).alias("from_turn"), "n_quotes")
 
 
@@ -60,22 +127,29 @@ def threads(replies: DataFrame) -> DataFrame:
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text without quotes, reply_conv, reply_turn, root_turn, depth, n_quotes for every row.
-
-    A message without a linked quote is its own root at depth 0. Order by
-    conv_id, root_turn, turn to read a conversation. Rows with equal conv_id and
-    turn share their links; null texts become empty; rows without conv_id or turn
-    have no links; an empty table gives no rows; other columns are ignored.
+    """conv_id, turn, role, text without quotes, reply_conv, reply_turn, root_turn, depth, place, n_quotes for every row.
+
+    A message without a linked quote is its own root at depth 0. place counts the
+    messages of a thread (conv_id, root_turn) from 0, replies after what they reply
+    to: order by conv_id, root_turn, place to read a conversation. Rows with equal
+    conv_id and turn share their links; null texts become empty; rows without
+    conv_id or turn have no links and place 0; quotes of any length and messages of
+    any number of lines are handled whole; an empty table gives no rows; other
+    columns are ignored.
     """
     replies = materialise(parents(messages), "replies")
     known = materialise(replies.join(threads(replies), ["conv_id", "turn"], "left"), "threads")
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\r?\n"), lambda x: ~x.rlike(MARK))
-    clean = F.when(F.coalesce("text", F.lit("")).rlike("(?m)" + MARK), F.trim(F.array_join(lines, "\n"))).otherwise(F.coalesce("text", F.lit("")))
-    said = messages.select("conv_id", "turn", "role", clean.alias("text"))
-    return said.join(known, ["conv_id", "turn"], "left").select(
+    text = F.coalesce("text", F.lit(""))
+    lines = F.filter(F.split(text, NEWLINE), lambda x: ~x.rlike(MARK))
+    clean = F.when(text.rlike("(?m)" + MARK), F.trim(F.array_join(lines, "\n"))).otherwise(text)
+    said = messages.select("conv_id", "turn", "role", clean.alias("text")).join(known, ["conv_id", "turn"], "left")
+    said = said.withColumn("root_turn", F.coalesce("root_turn", "turn"))
+    loose = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.monotonically_increasing_id())  # no thread holds them all
+    in_thread = Window.partitionBy("conv_id", "root_turn", "_loose").orderBy("turn", "role", "text")
+    return said.withColumn("_loose", loose).select(
         "conv_id", "turn", "role", "text",
-        F.col("from_conv").alias("reply_conv"), F.col("from_turn").alias("reply_turn"),
-        F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).alias("depth"),
+        F.col("from_conv").alias("reply_conv"), F.col("from_turn").alias("reply_turn"), "root_turn",
+        F.coalesce("depth", F.lit(0)).alias("depth"), (F.row_number().over(in_thread) - 1).cast("long").alias("place"),
         F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
     )
 
