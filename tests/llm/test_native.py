@@ -43,40 +43,42 @@ def h64(data, seed=42):
     return xxhash.xxh64_intdigest(data, seed)
 
 
-def chunks_of(text):
-    lines = text.split("\n")
-    h = [h64(x.encode()) for x in lines]
-    long = [len(x) >= 99 and len(re.split(r"\s+", x.strip(" "))) >= 50 for x in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
+def spans_of(text):
+    """(first line, last line, lines) of all chunks and windows of a text; blank lines don't count."""
+    full = [(no, x) for no, x in enumerate(text.split("\n")) if re.search(r"[^ \t\n\x0B\f\r]", x)]
+    h = [h64(x.encode()) for _, x in full]
+    w = [len(re.split(r"[ \t\n\x0B\f\r]+", x.strip(" "))) for _, x in full]
+    out, start, n = set(), 0, len(full)
+    for i in range(n):
         rolled = i > 0 and h64(struct.pack("<Q", h[i]), h64(struct.pack("<Q", h[i - 1]))) % 2 == 0
-        if i == len(lines) - 1 or long[i] or long[i + 1] or rolled:
-            body = "\n".join(lines[start : i + 1])
-            out.append((body, (i > start or long[i]) and len(body) >= 40))
+        if i == n - 1 or w[i] >= 50 or w[i + 1] >= 50 or rolled:
+            if i > start and sum(len(x) for _, x in full[start : i + 1]) >= 40:
+                out.add((start, i))
             start = i + 1
-    return out
+    for i in range(n):
+        j = next((j for j in range(i, n) if sum(w[i : j + 1]) >= 50), None)
+        k = next((k for k in range(i, -1, -1) if sum(w[k : i + 1]) >= 50), None)
+        out |= ({(i, j)} if j is not None else set()) | ({(k, i)} if k is not None else set())
+    return [(full[i][0], full[j][0], tuple(x for _, x in full[i : j + 1])) for i, j in out]
 
 
 def brute_dedup(rows):
-    """(doc_id, text) of rows after the removal of repeated chunks."""
-    home = {}
-    for r in rows:
-        for body, removable in chunks_of(r.text or "") if r.doc_id is not None else ():
-            if removable:
-                home[body] = min(home.get(body, r.doc_id), r.doc_id)
+    """(doc_id, text) of rows after the removal of repeated chunks and windows."""
+    home, count, first = {}, {}, {}
+    own = [spans_of(r.text) if r.doc_id is not None and r.text is not None else [] for r in rows]
+    for r, spans in zip(rows, own):
+        for a, b, body in spans:
+            home[body] = min(home.get(body, r.doc_id), r.doc_id)
+            count[body] = count.get(body, 0) + 1
+            key = r.doc_id, r.text, body
+            first[key] = min(first.get(key, (a, b)), (a, b))
     want = []
-    for r in rows:
-        if r.doc_id is None or r.text is None:
-            want.append((r.doc_id, r.text))
-            continue
-        seen, kept, gone = set(), [], 0
-        for body, removable in chunks_of(r.text):
-            if removable and (home[body] != r.doc_id or body in seen):
-                gone += 1
-                continue
-            seen.add(body)
-            kept.append(body)
-        want.append((r.doc_id, "\n".join(kept) if gone else r.text))
+    for r, spans in zip(rows, own):
+        gone = set()
+        for a, b, body in spans:
+            if count[body] > 1 and (home[body] != r.doc_id or first[r.doc_id, r.text, body][1] < a):
+                gone |= set(range(a, b + 1))
+        want.append((r.doc_id, "\n".join(x for no, x in enumerate(r.text.split("\n")) if no not in gone) if gone else r.text))
     return want
 
 
@@ -87,9 +89,20 @@ def test_line_dedup(which, request):
     got = q4.deduplicated(df)
     assert got.columns == [*df.columns, "n_removed"]
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    # With hashes of few bits, passages that differ meet under one hash and are told apart by their bytes.
+    got = q4.deduplicated(df, bits=12)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert q4.deduplicated(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_very_long_texts(spark):
+    """Two equal texts of 200,000 lines, in time linear in the lines."""
+    text = "\n".join(f"line {i} of a text that is very long, about {i * 7}" for i in range(200_000))
+    rows = spark.createDataFrame([(1, text, 5), (2, text, 5), (3, "a short text", 5)], "doc_id long, text string, n_removed int")
+    got = {r.doc_id: (r.text, r.n_removed) for r in q4.deduplicated(rows).collect()}
+    assert got == {1: (text, 0), 2: ("", 200_000), 3: ("a short text", 0)}
+
+
 def test_shared_passages_go_and_shifts_do_not_matter(spark):
     passage = " ".join(f"word{i}" for i in range(60))
     block = [f"line {i} of a passage that some documents share" for i in range(40)]
