@@ -27,18 +27,30 @@ def test_licences(which, request):
             at = [i for i in range(len(w)) if w[i : i + len(ps)] == ps]
             places += at
             own |= {label} if at else set()
-        for line in (r.text or "").split("\n"):
-            b = set(words(line))
-            for label, notice in q2.TEMPLATES:
-                t = set(words(notice))
-                if len(b & t) >= 0.8 * len(t) - 1e-9:
+        for label, notice in q2.TEMPLATES:
+            t, size = set(words(notice)), len(words(notice))
+            if len(t & set(w)) < 0.8 * len(t) - 1e-9:
+                continue
+            for i in range(len(w)):
+                n = len(t & set(w[i : i + size]))
+                if n >= 0.8 * len(t) - 1e-9:
                     more.add(label)
-                    best = max(best, len(b & t) / len(t))
+                    best = max(best, n / len(t))
         want.append((r.doc_id, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(own)), ",".join(sorted(own | more)), 1.0 if places else best))
     assert sorted(map(tuple, q2.licence_scan(df).collect()), key=repr) == sorted(want, key=repr)
     assert q2.licence_scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_notices_and_scattered_words(spark):
+    long = "word " * 100_000
+    texts = [
+        "Released under\nthe MIT\nlicense.", "this source code form is subject to the terms of the mozilla public v 2.0", "released under the mit",
+        "released " + "a " * 20 + "under the license", long + "\npermission to use, copy, modify, and/or\ndistribute this software for any\npurpose with or without fee is hereby granted\n" + long, None, "",
+    ]
+    got = {r.doc_id: (r.labels, r.score) for r in q2.licence_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("mpl-2.0", 15 / 16), 2: ("mit", 0.8), 3: ("", 0.0), 4: ("isc", 1.0), 5: ("", 0.0), 6: ("", 0.0)}
+
+
 def h64(data, seed=42):
     return xxhash.xxh64_intdigest(data, seed)
 

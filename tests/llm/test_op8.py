@@ -37,7 +37,7 @@ def items(spark, sf, docs):
     some = docs.orderBy("doc_id").limit(9).collect()
     bench += [(1000 + k, " ".join((r.text or "").split()[:40])) for k, r in enumerate(some[:5])]
     bench += [(2000, "the of"), (2001, None), (2002, "..."), (2003, "the"), (2003, "alpha x beta1"), (2004, " ".join((some[7].text or "").split()[3:16]))]
-    return bench
+    return [*bench, (3000, " ".join(((some[8].text or "") + " ").split() * 8))]  # more words than a small block
 
 
 @pytest.mark.parametrize("block_words", [10**6, 500])

@@ -10,17 +10,19 @@ them, and every word of the window is then compared.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalair.llm.common import ascii_words, table
+from vitalair.llm.common import ascii_lower, ascii_words, materialise, table
 
 WINDOW = 13
-BLOCK_WORDS = 1_000_000  # benchmark words that are sent to the tasks at once; more are taken in blocks
+BLOCK_WORDS = 1_000_000  # benchmark words that the driver holds and the tasks get at once; more are taken in blocks
 BATCH_CHARS = 2_000_000
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 HITS = "doc_id long, row string, times long, n_words long, starts array<int>, ends array<int>, items array<string>"
@@ -194,32 +196,47 @@ def word_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
     return counts
 
 
-def indices(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[Index]:
-    """The benchmark's windows in blocks of at most `block_words` words (or one item), by the rarity of their words in docs."""
-    size = F.size(F.split(F.coalesce("text", F.lit("")), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
-    total = benchmark.agg(F.sum(size)).first()[0] or 0
+def pieces(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(item_id, text, n): items in pieces of at most `block_words` words (WINDOW at least) that hold all their windows between them."""
+    size = max(block_words, 2 * WINDOW)
+    ws = F.array_remove(F.split(ascii_lower(F.coalesce("text", F.lit(""))), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
+    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("string"), ws.alias("ws")).where(F.size("ws") > 0)
+    # A piece begins where the last one has its last windows but for one; one of less than a window would be a window that is none.
+    starts = F.filter(F.sequence(F.lit(0), F.size("ws") - 1, F.lit(size - WINDOW + 1)), lambda s: (s == 0) | (s + WINDOW <= F.size("ws")))
+    cut = F.transform(starts, lambda s: F.slice("ws", s + 1, size))
+    return items.select("item_id", F.explode(cut).alias("p")).select("item_id", F.array_join("p", " ").alias("text"), F.size("p").alias("n"))
+
+
+def indices(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[tuple[int, Index]]:
+    """(number of blocks, index) of one block of the benchmark after the other, each of about `block_words` words, by the rarity of its words in docs.
+
+    The driver holds one block at a time, if the caller does.
+    """
+    stored = materialise(pieces(benchmark, block_words), "items")
+    total = stored.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
-    blocks = []
     for k in range(n_blocks):
-        own = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k) if n_blocks > 1 else benchmark
-        items = [(r["item_id"], r["text"]) for r in own.where("item_id is not null").select(F.col("item_id").cast("string"), "text").collect()]
+        own = stored.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else stored
+        items = [(r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()]
         vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for _, t in items for w in ascii_words(t)}))}
-        blocks.append(build_index(items, vocabulary, word_counts(docs, vocabulary)))
-    return blocks
+        yield n_blocks, build_index(items, vocabulary, word_counts(docs, vocabulary))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """RESULT for every document row.
 
     Null or wordless texts have no words and are clean; null or wordless items
-    have no windows; items with equal ids count as one; repeated rows stay
-    repeated; empty tables are fine. The benchmark is taken in blocks of at most
-    `block_words` words (or one item), each of which is sent to all tasks.
+    have no windows; items without an id are left out; items with equal ids count
+    as one; repeated rows stay repeated; very long texts are judged whole; other
+    columns are ignored; empty tables are fine. The benchmark is taken in blocks
+    of about `block_words` words, one after the other, each of which is sent to
+    all tasks; an item of more words is taken in pieces.
     """
     blocks = indices(docs, benchmark, block_words)
-    if len(blocks) == 1:
-        return docs.select("doc_id", "text").mapInPandas(_judge(blocks[0]), RESULT)
-    return _in_blocks(docs, blocks)
+    n, first = next(blocks)
+    if n == 1:
+        return docs.select("doc_id", "text").mapInPandas(_judge(first), RESULT)
+    return _in_blocks(docs, chain([(n, first)], blocks))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -229,8 +246,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
     verdicts are joined to the rows by doc_id and a hash of the text.
     """
     blocks = indices(docs, benchmark, block_words)
-    if len(blocks) == 1:
-        judge = _judge(blocks[0])
+    n, first = next(blocks)
+    if n == 1:
+        judge = _judge(first)
 
         @F.pandas_udf("boolean")
         def contaminated(texts: pd.Series) -> pd.Series:
@@ -238,7 +256,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
             return out["contaminated"].astype(bool)
 
         return docs.where(~contaminated(F.col("text")))
-    bad = _in_blocks(docs, blocks, with_row=True).where("contaminated").select("doc_id", "row").distinct()
+    bad = _in_blocks(docs, chain([(n, first)], blocks), with_row=True).where("contaminated").select("doc_id", "row").distinct()
     same = F.col("d.doc_id").eqNullSafe(F.col("bad.doc_id")) & (row_hash("d.text") == F.col("bad.row"))
     return docs.alias("d").join(bad.hint("merge").alias("bad"), same, "left_anti")
 
@@ -247,13 +265,15 @@ def row_hash(text: str = "text") -> Column:
     return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
-def _in_blocks(docs: DataFrame, blocks: list[Index], with_row: bool = False) -> DataFrame:
+def _in_blocks(docs: DataFrame, blocks: Iterator[tuple[int, Index]], with_row: bool = False) -> DataFrame:
     rows = docs.select("doc_id", "text")
     # A row is known by its id and text here; a repeated one is judged once and given as often as it occurs.
     once = rows.groupBy("doc_id", row_hash().alias("row")).agg(F.first("text").alias("text"), F.count("*").alias("times"))
-    merged = once.mapInPandas(_spans(blocks[0]), HITS)
-    for block in blocks[1:]:
-        merged = merged.union(once.mapInPandas(_spans(block), HITS))
+    merged = None
+    for k, (_, block) in enumerate(blocks):  # each block's hits are stored before the next one is built
+        hits = once.mapInPandas(_spans(block), HITS)
+        hits = materialise(hits if k == 0 else hits.where(F.size("items") > 0), "hits")  # every row once, for its number of words
+        merged = hits if merged is None else merged.union(hits)
     merged = merged.groupBy("doc_id", "row").agg(F.first("n_words").alias("n_words"), F.first("times").alias("times"), *(F.collect_list(c).alias(c) for c in ("starts", "ends", "items")))
     return merged.mapInPandas(_merge(with_row), RESULT + (", row string" if with_row else ""))
 

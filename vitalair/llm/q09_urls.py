@@ -71,7 +71,9 @@ def judged(pages: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Dat
     block_score is the trees' probability of a block (null where a rule decides).
     Where labelled URLs are missing or all alike there is nothing to learn and the
     method allows. Null URLs and URLs without `://` have empty host and path and
-    are judged by the method; repeated rows stay repeated.
+    are judged by the method; very long URLs are judged whole; repeated rows stay
+    repeated; other columns are ignored, whatever their names; an empty table gives
+    no rows.
     """
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
@@ -92,10 +94,11 @@ def judged(pages: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Dat
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
     model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.2, seed=7, maxBins=32).fit(vectors(taken).select("features", "label"))
-    free = model.transform(vectors(lexical(urls.where("rule is null"))))
-    free = free.select("page_id", "host", "path", "rule", F.when(F.col("prediction") == 1.0, "block").otherwise("allow").alias("verdict"), vector_to_array("probability")[1].alias("block_score"))
-    ruled = urls.where("rule is not null").select("page_id", "host", "path", "rule", F.col("given").alias("verdict"), F.lit(None).cast("double").alias("block_score"))
-    return ruled.unionByName(free)
+    # One pass over all rows; where a rule fits, it wins.
+    out = model.transform(vectors(lexical(urls)))
+    free = F.col("rule").isNull()
+    verdict = F.when(~free, F.col("given")).when(F.col("prediction") == 1.0, "block").otherwise("allow")
+    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.when(free, vector_to_array("probability")[1]).alias("block_score"))
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
