@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalair.operators.quantiles import exact_quantiles
+
 
 def fixed_bins(value: Column, edges: list[float]) -> Column:
     """Left-closed bins: the number (from 1) of edges at or below the value; null below the first."""
@@ -19,7 +21,7 @@ def _right_closed(value: Column, edges: list[Column]) -> Column:
 
 def quantile_bins(df: DataFrame, value: str, n: int, out: str) -> DataFrame:
     """n right-closed bins at exact quantiles, the lowest value included; all null if two edges agree."""
-    edges = df.agg(F.percentile(value, F.array(*[F.lit(i / n) for i in range(n + 1)])).alias("_e"))
+    edges = exact_quantiles(df, [], value, [i / n for i in range(n + 1)]).select(F.col("quantiles").alias("_e"))
     e = [F.col("_e")[i] for i in range(n + 1)]
     same = sum((F.when(a == b, 1).otherwise(0) for a, b in zip(e, e[1:])), F.lit(0)) > 0
     return df.crossJoin(F.broadcast(edges)).withColumn(out, F.when(~same, _right_closed(F.col(value), e))).drop("_e")  # edges are one row

@@ -151,3 +151,21 @@ def address_reason(lats: Column, lons: Column) -> Column:
         F.when((lats == 0) & (lons == 0), "no address").when(lats == 0, "no latitude").when(lons == 0, "no longitude")
         .when(lats > 1, "several latitudes").when(lons > 1, "several longitudes")
     )
+
+
+def reject_counts(kinds: dict[str, DataFrame]) -> DataFrame:
+    """(kind, n, rejected) of coded resources by kind."""
+    out = None
+    for kind, items in kinds.items():
+        own = items.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.count_if(~F.col("valid")).alias("rejected"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def yearly(extracts: dict[int, DataFrame]) -> DataFrame:
+    """Resources of yearly extracts as one table, each row under its year; columns that an extract lacks are null."""
+    out = None
+    for year, df in extracts.items():
+        own = df.withColumn("year", F.lit(year))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out

@@ -31,13 +31,16 @@ def study_period(day: Column, bounds: list[str], labels: list[str]) -> Column:
     return out
 
 
-def with_period_statistics(df: DataFrame, keys: list[str], day: str, period: str, measures: list[str]) -> DataFrame:
-    """Add each measure's average and maximum over its period and its value on the calendar day before."""
+STATISTICS = {"avg": F.avg, "max": F.max, "min": F.min, "stddev": F.stddev}
+
+
+def with_period_statistics(df: DataFrame, keys: list[str], day: str, period: str, measures: list[str], statistics: tuple[str, ...] = ("avg", "max")) -> DataFrame:
+    """Add each measure's statistics over its period and its value on the calendar day before."""
     per = Window.partitionBy(*keys, period)
     before = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-1, -1)
     more = {}
     for m in measures:
-        more |= {f"{m}_avg": F.avg(m).over(per), f"{m}_max": F.max(m).over(per), f"{m}_prev_date": F.max(m).over(before)}
+        more |= {f"{m}_{s}": STATISTICS[s](m).over(per) for s in statistics} | {f"{m}_prev_date": F.max(m).over(before)}
     return df.withColumns(more)
 
 
@@ -61,3 +64,33 @@ def merged_measures(a: DataFrame, b: DataFrame, keys: list[str], how: str = "ful
     """Two measure tables side by side; names that clash get the suffix on the second side."""
     clash = [c for c in b.columns if c in a.columns and c not in keys]
     return a.join(b.withColumnsRenamed({c: c + suffix for c in clash}), keys, how)
+
+
+def study_years(start: str, end: str, offset_hours: int) -> list[int]:
+    """Years of the local days of a window whose last instant is not part of it."""
+    from datetime import datetime, timedelta
+
+    shift = timedelta(hours=offset_hours)
+    last = datetime.fromisoformat(end) + shift - timedelta(microseconds=1)
+    return list(range((datetime.fromisoformat(start) + shift).year, last.year + 1))
+
+
+def plain_measures(df: DataFrame, region: str, measures: list[str]) -> DataFrame:
+    """Rows without nulls, regions as whole numbers, measures without the unit in their names (`PM2.5 (ug/m3)`)."""
+    named = {m: m.split("(")[0].strip() for m in measures}
+    return df.dropna().withColumn(region, F.col(region).cast("double").cast("long")).withColumnsRenamed(named)
+
+
+def side_by_side(a: DataFrame, b: DataFrame, keys: list[str], places: list[str]) -> DataFrame:
+    """Two yearly measure tables on their keys (inner): the second side's places go, other clashes get `_2`."""
+    return merged_measures(a, b.drop(*[p for p in places if p not in keys]), keys, "inner")
+
+
+def gathered_cells(cells: DataFrame, columns: dict[str, str], day: str, first: str, last: str) -> DataFrame:
+    """Readings of cells: renamed columns, days from first to last."""
+    return cells.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date"))).select(*[F.col(c).alias(n) for c, n in columns.items()])
+
+
+def with_year(df: DataFrame, year: str, day_text: str) -> DataFrame:
+    """The year where it is missing, from the text of the day."""
+    return df.withColumn(year, F.coalesce(year, F.year(F.to_date(day_text))))

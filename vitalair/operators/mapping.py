@@ -58,7 +58,7 @@ def body_mass_index(measures: DataFrame, keys: list[str], code: str, value: str,
 
 
 def lab_panel(labs: DataFrame, keys: list[str], code: str, value: str, order: list[str], panel: dict[str, str]) -> DataFrame:
-    """Per key and panel name: number of values, first and last value by order, and whether values of one time differ."""
+    """Per key and panel name: number of values, first and last value by order. Flags, and values of one time that differ: visit_vectors.value_features."""
     out = []
     for c, name in panel.items():
         own = F.col(code) == c
@@ -82,5 +82,11 @@ def codes_with_prefix(facts: DataFrame, keys: list[str], code: str, prefixes: li
 def plain_key(key: Column) -> Column:
     """Column name to code: instance suffix off, medication cut at `_`, diagnosis at `.`, bare digits get `rxnorm:`, blanks become `_`."""
     k = F.regexp_replace(key, r"_\d+$", "")
-    k = F.when(k.startswith("MDCTN:"), F.substring_index(F.substring(k, 7, 1000), "_", 1)).when(k.rlike("^ICD"), F.substring_index(k, ".", 1)).otherwise(k)
+    k = F.when(k.startswith("MDCTN:"), F.substring_index(F.regexp_replace(k, "^MDCTN:", ""), "_", 1)).when(k.rlike("^ICD"), F.substring_index(k, ".", 1)).otherwise(k)
     return F.regexp_replace(F.when(k.rlike(r"^\d+$"), F.concat(F.lit("rxnorm:"), k)).otherwise(k), " ", "_")
+
+
+def codes_in_list(facts: DataFrame, keys: list[str], code: str, codes: list[str]) -> DataFrame:
+    """Distinct keys and codes without their instance suffix (`_n`), of codes in the list."""
+    plain = F.regexp_replace(code, r"_\d+$", "")
+    return facts.where(plain.isin(codes)).select(*keys, plain.alias(code)).distinct()

@@ -77,3 +77,21 @@ def active_in_period(pairs: DataFrame, visits: DataFrame, on: list[str]) -> Data
     """1 where the pair occurs among the visits, else 0."""
     seen = visits.select(*on).distinct().withColumn("active", F.lit(1))
     return pairs.join(seen, on, "left").fillna(0, ["active"])
+
+
+def crosswalk(patients: DataFrame, confirmed: DataFrame, registry: DataFrame, key: str, diagnosis: str, values: list[str]) -> DataFrame:
+    """Patients with two registries (full outer, then left): one flag for each value of the diagnosis, 0 where it is unknown, and membership."""
+    both = confirmed.withColumn("_a", F.lit(1)).join(registry.withColumn("_b", F.lit(1)), key, "full")
+    flags = [F.coalesce((F.col(diagnosis) == v).cast("int"), F.lit(0)).alias(f"{diagnosis}_{v}") for v in values]
+    member = [F.coalesce(c, F.lit(0)).alias(n) for c, n in (("_a", "confirmed"), ("_b", "in_registry"))]
+    return patients.join(both, key, "left").select(*[patients[c] for c in patients.columns], *flags, *member)
+
+
+def patient_list(explicit: DataFrame | None, tables: list[DataFrame], key: str) -> DataFrame:
+    """Patients of the explicit table, else all that occur as keys."""
+    if explicit is not None:
+        return explicit.select(key).distinct()
+    out = tables[0].select(key)
+    for t in tables[1:]:
+        out = out.unionByName(t.select(key))
+    return out.distinct()

@@ -7,6 +7,8 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from vitalair.operators.quantiles import exact_quantiles
 from pyspark.sql import types as T
 
 
@@ -44,9 +46,12 @@ def cooccurrence(codes: DataFrame, patient: str, code: str, day: Column, width:
 
 
 def summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    q = F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    out = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), q.alias("_q"), F.max(value).alias("high"))
-    return out.select(*keys, "n", "mean", "low", *[F.col("_q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))], "high")
+    """Count, mean, extremes and exact quartiles per key; quartiles are ranked in ranges of the values."""
+    out = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    q = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75]).drop("n")
+    same = [out[k].eqNullSafe(q[k]) for k in keys]
+    met = out.join(q, same, "left") if keys else out.crossJoin(F.broadcast(q))  # one row each
+    return met.select(*[out[k] for k in keys], "n", "mean", "low", *[F.col("quantiles")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))], "high")
 
 
 def welch_t(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
@@ -131,3 +136,127 @@ def patient_pairs(codes: DataFrame, patient: str, code: str, day: Column, widths
     binned = wide.select(patient, "width", "code", F.floor((F.unix_date("_day") + F.pmod(F.conv(F.substring(F.md5("code"), 1, 7), 16, 10).cast("long"), F.col("width"))) / F.col("width")).alias("bin")).distinct()
     met = binned.withColumnRenamed("code", "code1").join(binned.withColumnRenamed("code", "code2"), [patient, "width", "bin"]).where("code1 < code2")
     return met.groupBy("width", "code1", "code2").agg(F.count("*").alias("bins"), F.count_distinct(patient).alias("patients"))
+
+
+def known_rows(df: DataFrame, needed: str, columns: list[str]) -> DataFrame:
+    """Rows that have the needed column, without other columns."""
+    return df.where(F.col(needed).isNotNull()).select(*columns)
+
+
+def facts_with_prefix(facts: DataFrame, keys: list[str], prefix: str, parts: list[str], values: list[str]) -> DataFrame:
+    """Distinct facts whose concept begins with the prefix, under one key composed of `parts`."""
+    own = facts.where(F.col(parts[0]).startswith(prefix))
+    return own.select(*keys, F.concat_ws("_", *parts).alias("concept"), *values).distinct()
+
+
+def mean_location(patients: DataFrame, facts: DataFrame, patient: str, name: str, value: str) -> DataFrame:
+    """All patients with their mean latitude and longitude, null where there is none."""
+    means = [F.avg(F.when(F.col(name) == n, F.col(value))).alias(n) for n in ("lat", "lon")]
+    return patients.join(facts.groupBy(patient).agg(*means), patient, "left")
+
+
+def earliest_starts(facts: DataFrame, keys: list[str], start: str) -> DataFrame:
+    return facts.groupBy(*keys).agg(F.min(start).alias(start))
+
+
+def cohort(encounters: DataFrame, facts: DataFrame, chosen: Column, key: str) -> DataFrame:
+    """Encounters that have a chosen fact."""
+    return encounters.join(facts.where(chosen).select(key), key, "left_semi")
+
+
+def cohort_cells(own: DataFrame, cell: Column, start: str) -> DataFrame:
+    """Encounters with the row and col of their cell and their day; those outside the grid go."""
+    return own.withColumn("_c", cell).where("_c is not null").select("*", "_c.row", "_c.col", F.to_date(start).alias("day")).drop("_c")
+
+
+def feature_table(visits: DataFrame, patients: DataFrame, cells: DataFrame, exposure: DataFrame, key: str, patient: str) -> DataFrame:
+    """Visits with their patient, cell and the cell's exposure of the day (inner joins), and the age in days."""
+    met = visits.join(patients, patient).join(cells, key).join(exposure, ["row", "col", "day"])
+    return met.withColumn("age_days", F.date_diff(F.to_date("start_date"), F.col("birth_date")))
+
+
+def named_medications(facts: DataFrame, names: DataFrame, more: DataFrame, keys: list[str], code: str, prefix: str) -> DataFrame:
+    """Facts by way of the name of their medication to what that name stands for (a gene, an ingredient), under a composed concept; distinct."""
+    met = facts.join(names, code).join(more, "name")
+    return met.select(*keys, F.concat_ws(":", F.lit(prefix), "target").alias("concept")).distinct()
+
+
+def through_name(codes: DataFrame, targets: DataFrame) -> DataFrame:
+    """(code, target) of codes and targets that share a name."""
+    return codes.join(targets, "name").select("code", "target").distinct()
+
+
+def wide_by_name(facts: DataFrame, keys: list[str], name: str, values: list[str], names: list[str]) -> DataFrame:
+    """One array for each value column over the names in order (null where a name is absent); the first by instance counts.
+
+    Facts have instance_num. The names and their places are `names_table`.
+    """
+    first = facts.groupBy(*keys, name).agg(F.min_by(F.struct(*values), F.struct("instance_num", *values)).alias("_v"))
+    held = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, "_v"))).alias("_m"))  # no more entries than names
+    cell = lambda v: F.array(*[F.try_element_at("_m", F.lit(n))[v] for n in names]).alias(v)
+    return held.select(*keys, *[cell(v) for v in values])
+
+
+def names_table(facts: DataFrame, name: str) -> DataFrame:
+    """The sorted distinct names with their places from 1."""
+    return facts.select(name).distinct().select(F.row_number().over(Window.orderBy(name)).alias("place"), name)  # a row a name
+
+
+def joined_blocks(blocks: dict[str, DataFrame], keys: list[str], patients: DataFrame, patient: str) -> DataFrame:
+    """Blocks side by side with all their columns under the block's name, full outer on the keys; then the patients' columns (inner).
+
+    It is one union and one grouping: each block has a row a key.
+    """
+    every = {f"{b}_{c}": df.schema[c].dataType for b, df in blocks.items() for c in df.columns if c not in keys}
+    rows = None
+    for b, df in blocks.items():
+        own = df.select(*keys, *[(F.col(n[len(b) + 1 :]) if n.startswith(f"{b}_") and n[len(b) + 1 :] in df.columns else F.lit(None).cast(t)).alias(n) for n, t in every.items()])
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in every]).join(patients, patient)
+
+
+def unpivoted(wide: DataFrame, keys: list[str], columns: list[str], code: Column) -> DataFrame:
+    """Distinct (keys, code) of the columns that hold something: `code` is made of the column `key`, the column's name."""
+    entries = F.filter(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in columns]), lambda x: x.isNotNull())
+    return wide.select(*keys, F.explode(entries).alias("key")).select(*keys, code.alias("code")).distinct()
+
+
+def single_counts(codes: DataFrame, patient: str, code: str, day: Column, width: int) -> DataFrame:
+    """Per code the number of (patient, bin) and of patients that have it."""
+    shift = F.pmod(F.conv(F.substring(F.md5(code), 1, 7), 16, 10).cast("long"), F.lit(width))
+    binned = codes.select(patient, F.col(code).alias("code"), F.floor((F.unix_date(day) + shift) / width).alias("bin")).distinct()
+    per = binned.groupBy("code", patient).agg(F.count("*").alias("_n"))
+    return per.groupBy("code").agg(F.sum("_n").alias("bins"), F.count("*").alias("patients"))
+
+
+def sole_code_rows(rows: DataFrame, keys: list[str], code: str, wanted: str, age: Column, compare: str, limit: float) -> DataFrame:
+    """Keys whose only code is the wanted one and whose age meets a comparison (<, <=, >, >=, =, <>)."""
+    meets = {"<": age < limit, "<=": age <= limit, ">": age > limit, ">=": age >= limit, "=": age == limit, "<>": age != limit}[compare]
+    own = rows.where(meets).groupBy(*keys).agg(F.min(code).alias("_a"), F.max(code).alias("_b"))
+    return own.where((F.col("_a") == wanted) & (F.col("_b") == wanted)).select(*keys)
+
+
+def patient_years(facts: DataFrame, visits: DataFrame, patients: DataFrame, patient: str, counted: Column, trigger: Column, kinds: list[str], columns: list[str], years: list[int]) -> DataFrame:
+    """One row a patient and year of the chosen years: codes as columns (counts where `counted`, else 1; null where absent), sex, race, age, and visits by type of rows that hold a trigger code.
+
+    facts have patient, year, encounter_num and code; `columns` are codes of all years.
+    """
+    long = facts.groupBy(patient, "year", "code").agg(F.count("*").alias("_n"), F.bool_or(counted).alias("_c"))
+    wide = long.groupBy(patient, "year").pivot("code", columns).agg(F.max(F.when(F.col("_c"), F.col("_n")).otherwise(1)))
+    hit = visits.join(facts.where(trigger).select("encounter_num"), "encounter_num", "left_semi")
+    typed = hit.groupBy(patient, "year").agg(*[F.count_if(F.col("visit_type") == k).alias(k) for k in kinds])
+    met = wide.where(F.col("year").isin(years)).join(typed, [patient, "year"], "left").fillna(0, kinds).join(patients, patient)
+    return met.withColumn("age", F.col("year") - F.year("birth_date")).drop("birth_date")
+
+
+def labelled_groups(groups: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all groups, each under its label."""
+    out = None
+    for label, df in groups.items():
+        own = df.withColumn("label", F.lit(label))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def cohort_counts(facts: DataFrame, by: list[str], patient: str, encounter: str) -> DataFrame:
+    return facts.groupBy(*by).agg(F.count_distinct(encounter).alias("encounters"), F.count_distinct(patient).alias("patients"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vitalair.operators import bundles, mapping
 from vitalair.plans import views
 from vitalair.plans.catalog import query
+from vitalair.sources import tables
 
 
 def _json(kind: str, *fields) -> F.Column:
@@ -31,7 +32,7 @@ def _bundle(resource) -> F.Column:
     return F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.array(F.struct(resource.alias("resource"))).alias("entry"))).alias("json")
 
 
-def _visit_text(spark, sf) -> DataFrame:
+def visit_text(spark, sf) -> DataFrame:
     e = views.encounters(spark, sf)
     ref = lambda c: F.struct(F.concat(F.lit("Patient/"), F.col(c).cast("string")).alias("reference")).alias("subject")
     start = F.date_format("start_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -65,7 +66,7 @@ def fh_patients(spark, sf):
 
 @query("SELECT 'Patient' AS resource_type, count(*) AS n FROM customer UNION ALL SELECT 'Encounter', count(*) FROM orders UNION ALL SELECT 'Observation', count(*) FROM events")
 def fh_resource_counts(spark, sf):
-    text = _patient_text(spark, sf).unionAll(_visit_text(spark, sf)).unionAll(_lab_text(spark, sf))
+    text = _patient_text(spark, sf).unionAll(visit_text(spark, sf)).unionAll(_lab_text(spark, sf))
     return bundles.counts_by_type(bundles.resources(text))
 
 
@@ -83,7 +84,7 @@ SELECT patient_num::VARCHAR AS id, coalesce(v.n,0)::INT AS encounters, coalesce(
 def fh_documents(spark, sf):
     """Patient documents, by the size of their parts."""
     labs = bundles.coded(bundles.resources(_lab_text(spark, sf)), "Observation").where("valid")
-    d = bundles.documents(bundles.patients(bundles.resources(_patient_text(spark, sf))), bundles.encounters(bundles.resources(_visit_text(spark, sf))), {"lab": labs})
+    d = bundles.documents(bundles.patients(bundles.resources(_patient_text(spark, sf))), bundles.encounters(bundles.resources(visit_text(spark, sf))), {"lab": labs})
     inside = F.aggregate(F.coalesce("encounter", F.array()), F.lit(0), lambda n, e: n + F.coalesce(F.array_size(e["lab"]), F.lit(0)))
     return d.select("id", F.coalesce(F.array_size("encounter"), F.lit(0)).alias("encounters"), inside.alias("labs_inside"), F.coalesce(F.array_size("lab"), F.lit(0)).alias("labs_outside"))
 
@@ -154,3 +155,28 @@ def mp_codes_with_prefix(spark, sf):
 def mp_ethnicity(spark, sf):
     code = F.element_at(F.array(F.lit("2135-2"), F.lit("2186-5"), F.lit("other")), (F.col("patient_num") % 3 + 1).cast("int"))
     return views.patients(spark, sf).select("patient_num", mapping.ethnicity(code).alias("ethnicity"))
+
+
+@query(f"""SELECT 'Observation' AS kind, count(*) AS n, count(*) FILTER (NOT ({_VALID})) AS rejected FROM events""")
+def fh_rejects(spark, sf):
+    """How many resources of a kind are rejected."""
+    return bundles.reject_counts({"Observation": bundles.coded(bundles.resources(_lab_text(spark, sf)), "Observation")})
+
+
+@query("SELECT y::INT AS year, event_id::VARCHAR AS id, user_id::VARCHAR AS patient FROM events, (VALUES (2010), (2011)) t(y) WHERE y = 2010 OR event_id % 2 = 0")
+def fh_yearly_resources(spark, sf):
+    """Labs of yearly extracts as one table under their year."""
+    labs = bundles.coded(bundles.resources(_lab_text(spark, sf)), "Observation")
+    return bundles.yearly({2010: labs, 2011: labs.where("cast(id as long) % 2 = 0")}).select("year", "id", "patient")
+
+
+@query("SELECT patient_num::VARCHAR AS id, birth_date::VARCHAR AS birth_date, gender, coalesce(n,0)::INT AS encounters FROM patients LEFT JOIN (SELECT o_custkey AS patient_num, count(*) AS n FROM orders GROUP BY 1) USING (patient_num) WHERE patient_num%17<>0")
+def fh_stored_documents(spark, sf):
+    """Bundle files are read, patient documents written as lines of JSON and read again."""
+    path = tables.shared_folder(spark, "bundles")
+    _patient_text(spark, sf).select(F.col("json").alias("value")).write.text(f"{path}/Patient")
+    visit_text(spark, sf).select(F.col("json").alias("value")).write.text(f"{path}/Encounter")
+    read = lambda kind: bundles.resources(tables.read_text(spark, f"{path}/{kind}"))
+    d = bundles.documents(bundles.patients(read("Patient")), bundles.encounters(read("Encounter")), {})
+    tables.write_documents(d, f"{path}/documents")
+    return tables.read_documents(spark, f"{path}/documents", d.schema).select("id", "birth_date", "gender", F.coalesce(F.array_size("encounter"), F.lit(0)).alias("encounters"))

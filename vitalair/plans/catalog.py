@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitalair.operators import spatial
 from vitalair.plans import views
 
 _QUERIES, _SQL = {}, {}
@@ -35,3 +36,10 @@ def oracle_sql():
 
 def r(c, digits: int = 6):
     return F.round(c, digits)
+
+
+def grid_sql() -> str:
+    """SQL of patients' projected places and grid cells of the 12 km grid: xy(patient_num, rho, th) and g(patient_num, col, row)."""
+    _n, _f, _rho0 = spatial._constants()
+    return f"""xy AS (SELECT patient_num, {spatial.A * _f!r}*pow(tan(pi()/4-radians(lat)/2)/pow((1-{spatial.E!r}*sin(radians(lat)))/(1+{spatial.E!r}*sin(radians(lat))),{spatial.E / 2!r}),{_n!r}) AS rho, radians(lon+97)*{_n!r} AS th FROM patients),
+g AS (SELECT patient_num, floor((rho*sin(th)+2556000)/12000)::INT+1 AS col, floor(({_rho0!r}-rho*cos(th)+1728000)/12000)::INT+1 AS row FROM xy)"""

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, exposure, spatial, visits, warehouse
-from vitalair.plans import bundle_queries, model_queries, table_queries, views  # noqa: F401  (each registers its queries)
-from vitalair.plans.catalog import oracle_sql, queries, query, r  # noqa: F401
+from vitalair.operators import binning, bundles, exposure, spatial, visits, warehouse
+from vitalair.plans import bundle_queries, model_queries, source_queries, table_queries, views, visit_queries, warehouse_queries  # noqa: F401  (each registers its queries)
+from vitalair.plans.catalog import grid_sql, oracle_sql, queries, query, r  # noqa: F401
 from vitalair.sources import tables
 
 BOUNDS, PERIODS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"], ["early", "middle", "late"]
@@ -129,8 +129,7 @@ def bn_patient_index(spark, sf):
 
 
 _n, _f, _rho0 = spatial._constants()
-_XY = f"""xy AS (SELECT patient_num, {spatial.A * _f!r}*pow(tan(pi()/4-radians(lat)/2)/pow((1-{spatial.E!r}*sin(radians(lat)))/(1+{spatial.E!r}*sin(radians(lat))),{spatial.E / 2!r}),{_n!r}) AS rho, radians(lon+97)*{_n!r} AS th FROM patients),
-g AS (SELECT patient_num, floor((rho*sin(th)+2556000)/12000)::INT+1 AS col, floor(({_rho0!r}-rho*cos(th)+1728000)/12000)::INT+1 AS row FROM xy)"""
+_XY = grid_sql()
 
 
 @query(f", {_XY} SELECT patient_num, CASE WHEN row BETWEEN 1 AND 299 AND col BETWEEN 1 AND 459 THEN row END AS row, CASE WHEN row BETWEEN 1 AND 299 AND col BETWEEN 1 AND 459 THEN col END AS col FROM g")
@@ -281,9 +280,5 @@ def pf_value_counts(spark, sf):
 @query("SELECT encounter_num, patient_num::VARCHAR AS patient_num, visit_type AS code, start_date::DATE AS day FROM encounters", day="day")
 def fh_encounters(spark, sf):
     """Encounters written as bundle entries and parsed again."""
-    e = views.encounters(spark, sf)
-    resource = F.struct(F.col("encounter_num").cast("string").alias("id"), F.struct(F.concat(F.lit("Patient/"), "patient_num").alias("reference")).alias("subject"), F.struct(F.col("visit_type").alias("code")).alias("class"), F.struct(F.date_format("start_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start")).alias("period"))
-    text = e.select(F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.array(F.struct(resource.alias("resource"))).alias("entry"))).alias("json"))
-    schema = "resourceType string, entry array<struct<resource struct<id string, subject struct<reference string>, class struct<code string>, period struct<start string>>>>"
-    entry = text.select(F.from_json("json", schema).alias("b")).select(F.explode("b.entry.resource").alias("e")).where("e.id is not null")
-    return entry.select(F.col("e.id").cast("long").alias("encounter_num"), F.split("e.subject.reference", "/")[1].alias("patient_num"), F.col("e.class.code").alias("code"), F.to_date(F.substring("e.period.start", 1, 10)).alias("day"))
+    e = bundles.encounters(bundles.resources(bundle_queries.visit_text(spark, sf)))
+    return e.select(F.col("id").cast("long").alias("encounter_num"), F.col("patient").alias("patient_num"), F.col("class.code").alias("code"), F.to_date(F.substring("start", 1, 10)).alias("day"))

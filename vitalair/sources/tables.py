@@ -12,8 +12,17 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder beside the session's checkpoints, which all executors see; a local one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A fresh folder beside the session's checkpoints, which all executors see; a local one only in a local session without any."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        own = sc._jsc.sc().getCheckpointDir()
+        found = own.get() if own.isDefined() else None
+    if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="spark-")
+        sc.setCheckpointDir(found)
     return f"{found.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -96,3 +105,41 @@ def to_dense(sparse: Column, zero: float = 0.0) -> Column:
     """The array again, with `zero` where nothing is held."""
     held = F.map_from_arrays(sparse["indices"], sparse["elements"])
     return F.when(sparse["size"] > 0, F.transform(F.sequence(F.lit(0), sparse["size"] - 1), lambda i: F.coalesce(F.try_element_at(held, i), F.lit(zero)))).otherwise(F.array().cast("array<double>"))
+
+
+def read_text(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """(json, file): one text a line, or one a file, with the name of its file."""
+    return spark.read.text(path, wholetext=whole).select(F.col("value").alias("json"), F.col("_metadata.file_name").alias("file"))
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """One JSON document a row and line; nulls are left out."""
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.text(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.text(path).select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
+def concatenated(spark: SparkSession, paths: list[str], pattern: str, fill: str, file_column: str | None = None, distinct: bool = False, **options) -> DataFrame:
+    """CSV files as one table: columns whose whole name meets the pattern, `fill` where a file lacks one, each row with the name of its file, repeated rows once."""
+    import re
+
+    parts = []
+    for p in paths:
+        df = read_csv(spark, p, **options)
+        own = [F.col(f"`{c}`") for c in df.columns if re.fullmatch(pattern, c)]
+        parts.append(df.select(*own, *([F.col("_metadata.file_path").alias(file_column)] if file_column else [])))
+    out = union_all(parts)
+    out = out.fillna(fill, [c for c in out.columns if c != file_column])
+    return out.dropDuplicates([c for c in out.columns if c != file_column]) if distinct else out
+
+
+def not_empty(df: DataFrame) -> DataFrame | None:
+    """The table, or nothing where it has no rows: an empty result is not written."""
+    return None if df.isEmpty() else df
+
+
+def missing_columns(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
+    """Columns that only one of two tables has."""
+    return {"only_first": [c for c in a.columns if c not in b.columns], "only_second": [c for c in b.columns if c not in a.columns]}
