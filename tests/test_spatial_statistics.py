@@ -3,7 +3,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from vitalair.operators.spatial import geodesic, nearest_geodesic
+from vitalair.operators.quantiles import exact_quantiles
+from vitalair.operators.spatial import geodesic, nearest_geodesic, nearest_line, nearest_place
 from vitalair.operators.warehouse import hash_sample, t_probability
 
 
@@ -27,6 +28,18 @@ def test_nearest_of_all_within_reach(spark):
             best[r.id] = min(best.get(r.id, (math.inf, 0)), (r.d, r.place))
     got = {r.id: (r.distance, r.place) for r in nearest_geodesic(p, q, "id", "place", 400_000.0).collect()}
     assert len(got) == 61 and {k: v for k, v in got.items() if v[0] is not None} == best and len(best) > 20
+    # However far: the search widens until every point has its nearest place.
+    every = {}
+    for r in all_.select("id", "place", geodesic("lat", "lon", "lat2", "lon2").alias("d")).collect():
+        if r.d is not None:
+            every[r.id] = min(every.get(r.id, (math.inf, 0)), (r.d, r.place))
+    far = {r.id: (r.distance, r.place) for r in nearest_place(p, q.where("place < 4"), "id", "place").collect() if r.id < 60}
+    few = {}
+    for r in all_.where("place < 4").select("id", "place", geodesic("lat", "lon", "lat2", "lon2").alias("d")).collect():
+        few[r.id] = min(few.get(r.id, (math.inf, 0)), (r.d if r.d is not None else math.inf, r.place))
+    assert far == few and max(d for d, _ in few.values()) > 2_000_000
+    got = {r.id: (r.distance, r.place) for r in nearest_place(p, q, "id", "place").collect() if r.id < 60}
+    assert got == every
     assert nearest_geodesic(p, q.limit(0), "id", "place", 1000.0).where("place is null").count() == 61
 
 
@@ -41,3 +54,21 @@ def test_sample_repeats(spark):
     one = {r.id for r in hash_sample(df, F.col("id"), 0.25).collect()}
     assert one == {r.id for r in hash_sample(df.repartition(7), F.col("id"), 0.25).collect()} and 850 < len(one) < 1150
     assert hash_sample(df, F.col("id"), 0).count() == 0 and hash_sample(df, F.col("id"), 1).count() == 4000
+
+
+def test_quantiles_of_crowded_values(spark):
+    rng = random.Random(2)
+    rows = [(k % 3, float(rng.choice([1, 2, rng.randint(0, 10**6)])) if k % 50 else None) for k in range(5000)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", F.array(*map(F.lit, (0.0, 0.1, 0.5, 0.77, 1.0)))).alias("q")).collect()}
+    got = {r.k: r.quantiles for r in exact_quantiles(df, ["k"], "v", [0.0, 0.1, 0.5, 0.77, 1.0]).collect()}
+    assert got.keys() == want.keys() and all(abs(a - b) < 1e-6 * max(1, b) for k in want for a, b in zip(got[k], want[k]))
+    assert exact_quantiles(df.where("v < 0"), [], "v", [0.5]).count() == 0
+
+
+def test_long_segments_make_few_copies(spark):
+    """A segment across 10 degrees at a radius of 500 m, found from its middle."""
+    line = spark.createDataFrame([(1, 30.0, -100.0, 40.0, -90.0, "major")], "line long, lat1 double, lon1 double, lat2 double, lon2 double, kind string")
+    points = spark.createDataFrame([(1, 30.0, -100.0), (2, 40.001, -90.0), (3, 10.0, -90.0), (4, None, None)], "id long, lat double, lon double")
+    got = {r.id: (r.distance, r.line, r.kind) for r in nearest_line(points, line, "id", "line", 500.0, ("kind",)).collect()}
+    assert got[1] == (0.0, 1, "major") and 50 < got[2][0] < 150 and got[3] == got[4] == (math.inf, None, None)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalair.operators.quantiles import exact_quantiles
+from vitalair.sources.tables import shared_folder
 
 
 def fixed_bins(value: Column, edges: list[float]) -> Column:
@@ -43,12 +44,20 @@ def capped_distance(d: Column, cap: float = 500.0) -> Column:
     return F.when((d < 0) | (d == float("inf")), cap).otherwise(d)
 
 
-def dense_index(df: DataFrame, key: str, order: Column, buckets: int = 64) -> DataFrame:
-    """(key, index from 0) by order, then key: ranks within ranges of the order, plus the rows of earlier ranges."""
+def dense_index(df: DataFrame, key: str, order: Column) -> DataFrame:
+    """(key, index from 0) by order, then key: ranks within ranges of (order, key), plus the rows of earlier ranges.
+
+    Spark deals the ranges by a sample of the rows, so a day with very many keys is
+    split by key.
+    """
+    spark = df.sparkSession
     keyed = df.select(key, order.alias("_o")).groupBy(key).agg(F.min("_o").alias("_o"))
-    ranged = keyed.withColumn("_b", F.floor(F.unix_date("_o") / buckets))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark, "ranges")
+    keyed.repartitionByRange(n, "_o", key).withColumn("_b", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
     sizes = ranged.groupBy("_b").agg(F.count("*").alias("_n"))
-    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a range of days
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     sizes = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = Window.partitionBy("_b").orderBy("_o", key)
     return ranged.withColumn("_r", F.row_number().over(within) - 1).join(F.broadcast(sizes), "_b").select(key, (F.col("_before") + F.col("_r")).alias("index"))

@@ -41,3 +41,11 @@ def scored(model: PipelineModel, visits: DataFrame) -> DataFrame:
     """Every row with its predicted class number."""
     out = model.transform(visits)
     return out.select(*visits.columns, F.col("predicted").cast("int").alias("predicted"))
+
+
+def scoring_rows(visits: DataFrame, before: DataFrame, exposure: DataFrame, flags: DataFrame, key: str, on: list[str], measure: str, default: float) -> DataFrame:
+    """Visits ready for scoring: counts of the year before (0 without any), exposure (the default without any), one flag a code (false without any)."""
+    named = [c for c in flags.columns if c != key]
+    met = visits.join(before, key, "left").join(exposure, on, "left").join(flags, key, "left")
+    met = met.withColumn(measure, F.coalesce(measure, F.lit(default)))
+    return met.fillna(0, [c for c in before.columns if c != key]).fillna(False, named)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalair.sources.tables import shared_folder
+
 #: WGS84 and the Lambert conformal conic projection (parallels 33 and 45, origin 40 N 97 W), in degrees and metres.
 A, FLATTENING = 6378137.0, 1 / 298.257223563
 LAT1, LAT2, LAT0, LON0 = 33.0, 45.0, 40.0, -97.0
@@ -49,23 +51,6 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.asin(F.sqrt(h)) * (2 * 6371008.8)
 
 
-def nearest_within(points: DataFrame, places: DataFrame, key: str, place: str, degrees: float = 2.0) -> DataFrame:
-    """Nearest place of each point within `degrees` of latitude and longitude; null distance if none.
-
-    Places are copied into the 3 x 3 cells around them and met by an equi-join on
-    the cell, so no pair further apart than two cells is formed.
-    """
-    cell = lambda c: F.floor(F.col(c) / degrees)
-    near = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    spread = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(place, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), near.alias("_i"))
-    spread = spread.select("*", near.alias("_j")).select(place, "_lat", "_lon", (F.floor(F.col("_lat") / degrees) + F.col("_i")).alias("_a"), (F.floor(F.col("_lon") / degrees) + F.col("_j")).alias("_b"))
-    met = points.where("lat is not null and lon is not null").withColumn("_a", cell("lat")).withColumn("_b", cell("lon")).join(spread, ["_a", "_b"])
-    met = met.where((F.abs(F.col("lat") - F.col("_lat")) <= degrees) & (F.abs(F.col("lon") - F.col("_lon")) <= degrees))
-    d = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
-    best = met.groupBy(key).agg(F.min(F.struct(d.alias("distance"), F.col(place).alias(place))).alias("_m"))
-    return points.select(key).join(best.select(key, "_m.*"), key, "left")
-
-
 def region_of(points: DataFrame, edges: DataFrame, key: str, region: str, degrees: float = 1.0) -> DataFrame:
     """Least region whose polygon holds the point (even-odd rule); null if none.
 
@@ -99,24 +84,31 @@ def segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y
     return F.sqrt(F.pow(x - x1 - t * dx, F.lit(2)) + F.pow(y - y1 - t * dy, F.lit(2)))
 
 
-def nearest_line(points: DataFrame, lines: DataFrame, key: str, line: str, radius: float) -> DataFrame:
-    """Nearest segment within a radius in metres of the projected plane: distance and line; infinity and null if none.
+def nearest_line(points: DataFrame, lines: DataFrame, key: str, line: str, radius: float, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """Nearest segment within a radius in metres of the projected plane: distance, line and its attributes; infinity and null if none.
 
-    lines: one row a segment, (line, lat1, lon1, lat2, lon2). Segments are copied to
-    the cells, one radius wide, that their bounding box plus the radius covers.
+    lines: one row a segment, (line, lat1, lon1, lat2, lon2, attributes). A segment is
+    first cut into stretches of one radius at most, and each stretch copied to the
+    cells, one radius wide, that it can be near: the copies grow with the
+    segment's length, not with its bounding box.
     """
     cell = lambda c: F.floor(c / radius)
     a, b = projected(F.col("lat1"), F.col("lon1")), projected(F.col("lat2"), F.col("lon2"))
-    flat = lines.select(line, a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
+    flat = lines.select(line, *attributes, a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
+    length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), F.lit(2)) + F.pow(F.col("y2") - F.col("y1"), F.lit(2)))
+    parts = flat.withColumn("_n", F.greatest(F.ceil(length / radius), F.lit(1))).withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     for c, out in (("x", "_a"), ("y", "_b")):
-        flat = flat.withColumn(out, F.explode(F.sequence(cell(F.least(f"{c}1", f"{c}2") - radius), cell(F.greatest(f"{c}1", f"{c}2") + radius))))
+        end = lambda k: F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * k / F.col("_n")  # noqa: E731, B023
+        low, high = F.least(end(F.col("_k") - 1), end(F.col("_k"))), F.greatest(end(F.col("_k") - 1), end(F.col("_k")))
+        parts = parts.withColumn(out, F.explode(F.sequence(cell(low - radius), cell(high + radius))))
+    spread = parts.drop("_n", "_k").distinct()
     p = projected(F.col("lat"), F.col("lon"))
     at = points.where("lat is not null and lon is not null").select(key, p[0].alias("x"), p[1].alias("y"))
-    met = at.withColumn("_a", cell(F.col("x"))).withColumn("_b", cell(F.col("y"))).join(flat, ["_a", "_b"])
+    met = at.withColumn("_a", cell(F.col("x"))).withColumn("_b", cell(F.col("y"))).join(spread, ["_a", "_b"])
     d = segment_distance(*map(F.col, ("x", "y", "x1", "y1", "x2", "y2")))
-    best = met.withColumn("distance", d).where(F.col("distance") <= radius).groupBy(key).agg(F.min(F.struct("distance", line)).alias("_m"))
+    best = met.withColumn("distance", d).where(F.col("distance") <= radius).groupBy(key).agg(F.min(F.struct("distance", line, *attributes)).alias("_m"))
     out = points.select(key).join(best, key, "left")
-    return out.select(key, F.coalesce("_m.distance", F.lit(float("inf"))).alias("distance"), F.col(f"_m.{line}").alias(line))
+    return out.select(key, F.coalesce("_m.distance", F.lit(float("inf"))).alias("distance"), *[F.col(f"_m.{c}").alias(c) for c in (line, *attributes)])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -154,31 +146,65 @@ def geodesic(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series)
         return pd.Series(np.where(settled, b * big * (sigma - off), np.nan)).replace({np.nan: None}).astype("Float64")
 
 
-def nearest_geodesic(points: DataFrame, places: DataFrame, key: str, place: str, reach: float) -> DataFrame:
-    """Nearest place of each point along the ellipsoid, exactly, up to `reach` metres (below 1,000 km); null if none.
+REACHES = [100_000.0 * 4**i for i in range(4)] + [20_040_000.0]  # metres; the last one is half the globe
+
+
+def _candidates(at: DataFrame, places: DataFrame, place: str, reach: float) -> DataFrame:
+    """Rows of at (lat, lon) with the places that a circle of that radius can hold, and their distance `_sphere` on the sphere.
 
-    Places are copied to the cells that a circle of that radius can touch, around
-    the date line and the poles too, and met by an equi-join on the cell. The
-    sphere's distance, never 0.6 % off, leaves few places for the exact one. Ties
-    go to the least place; places outside the ranges of coordinates are left out.
+    Places are copied to the cells that the circle can touch, around the date line
+    and the poles too, and met by an equi-join on the cell.
     """
     angle = reach / (A * (1 - E * E))  # the ellipsoid's meridian curves most at the equator
-    height = math.degrees(angle)
+    height = min(180.0, math.degrees(angle))
     n = max(1, int(360 / height))
     width = 360 / n
-    half = F.when(F.abs("_lat") + height >= 90, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(angle)) / F.cos(F.radians("_lat"))))) * 1.01)
+    ratio = F.lit(math.sin(min(angle, math.pi / 2))) / F.cos(F.radians("_lat"))
+    half = F.when(F.abs("_lat") + height >= 90, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.01)
     band = lambda c: F.floor(c / height)
     slot = lambda c: F.floor(c / width)
-    ok = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(place, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    ok = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(F.col(place).alias("_place"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
     ok = ok.withColumn("_a", F.explode(F.sequence(band(F.col("_lat") - height), band(F.col("_lat") + height))))
     around = F.sequence(slot(F.col("_lon") - half), slot(F.col("_lon") + half))
     ok = ok.withColumn("_b", F.explode(F.array_distinct(F.transform(around, lambda x: F.pmod(x, F.lit(n))))))
-    at = points.where("lat is not null and lon is not null").select(key, "lat", "lon", band(F.col("lat")).alias("_a"), F.pmod(slot(F.col("lon")), F.lit(n)).alias("_b"))
-    met = at.join(ok, ["_a", "_b"]).withColumn("_sphere", haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).where(F.col("_sphere") <= reach * 1.006 + 1)
-    met = met.withColumn("_least", F.min("_sphere").over(Window.partitionBy(key))).where("_sphere <= _least * 1.012 + 1")
-    near = met.withColumn("distance", geodesic("lat", "lon", "_lat", "_lon")).where(F.col("distance") <= reach)
-    best = near.groupBy(key).agg(F.min(F.struct("distance", place)).alias("_m"))
-    return points.select(key).join(best.select(key, "_m.*"), key, "left")
+    met = at.withColumn("_a", band(F.col("lat"))).withColumn("_b", F.pmod(slot(F.col("lon")), F.lit(n))).join(ok, ["_a", "_b"])
+    return met.withColumn("_sphere", haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).drop("_a", "_b")
+
+
+def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, exact: bool = True, attributes: tuple[str, ...] = (), reaches: list[float] = REACHES) -> DataFrame:
+    """(key, distance, place, attributes of the place): the nearest place of each point, however far; null without coordinates or places.
+
+    exact is along the ellipsoid, else on the sphere. Distinct locations are
+    searched up to the first reach; those without a hit within it go on to the
+    next one, on wider cells. The sphere's distance, never 0.6 % off, leaves few
+    places for the exact one. Ties go to the least place; places outside the
+    ranges of coordinates are left out.
+    """
+    spark = points.sparkSession
+    left, found = points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), None
+    for i, reach in enumerate(reaches):
+        met = _candidates(left, places, place, reach)
+        if exact:
+            met = met.where(F.col("_sphere") <= reach * 1.006 + 1).withColumn("_least", F.min("_sphere").over(Window.partitionBy("lat", "lon"))).where("_sphere <= _least * 1.012 + 1")
+            met = met.withColumn("distance", geodesic("lat", "lon", "_lat", "_lon"))
+        else:
+            met = met.withColumn("distance", F.col("_sphere"))
+        best = met.where(F.col("distance") <= reach).groupBy("lat", "lon").agg(F.min(F.struct("distance", "_place")).alias("m")).select("lat", "lon", "m.*")
+        path = shared_folder(spark, "nearest")
+        best.write.parquet(path)
+        best = spark.read.parquet(path)
+        found = best if found is None else found.unionByName(best)
+        if i + 1 < len(reaches):
+            left = left.join(best.select("lat", "lon"), ["lat", "lon"], "left_anti")
+            if left.isEmpty():
+                break
+    out = points.select(key, "lat", "lon").join(found, ["lat", "lon"], "left").select(key, "distance", F.col("_place").alias(place))
+    return out.join(places.select(place, *attributes).dropDuplicates([place]), place, "left") if attributes else out
+
+
+def nearest_geodesic(points: DataFrame, places: DataFrame, key: str, place: str, reach: float) -> DataFrame:
+    """nearest_place along the ellipsoid, up to `reach` metres only; null beyond."""
+    return nearest_place(points, places, key, place, reaches=[reach])
 
 
 def grid_series(points: DataFrame, series: DataFrame, key: str, years: list[int]) -> DataFrame:

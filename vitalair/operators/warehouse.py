@@ -31,16 +31,26 @@ def visit_periods(encounters: DataFrame) -> DataFrame:
     return encounters.select("patient_num", "encounter_num", "start_date", F.coalesce(F.lead("start_date").over(w), "start_date").alias("end_date"))
 
 
+def _code_sets(binned: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, codes): each key's different codes in order, no more than there are codes."""
+    return binned.groupBy(*keys).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+
+
+def _ordered_pairs(codes: Column) -> Column:
+    """array<struct<code1, code2>> of an ordered array."""
+    after = lambda i: F.slice(codes, i + 2, F.greatest(F.size(codes) - i - 1, F.lit(0)))
+    return F.flatten(F.transform(codes, lambda a, i: F.transform(after(i), lambda b: F.struct(a.alias("code1"), b.alias("code2")))))
+
+
 def cooccurrence(codes: DataFrame, patient: str, code: str, day: Column, width: int, least: int) -> DataFrame:
     """Pairs of codes in one patient's time bin of `width` days: counts not under `least`, and pairs over singles.
 
     A code's bins are shifted by a number that depends on the code only.
     """
     shift = F.pmod(F.conv(F.substring(F.md5(code), 1, 7), 16, 10).cast("long"), F.lit(width))
-    binned = codes.select(patient, F.floor((F.unix_date(day) + shift) / width).alias("bin"), F.col(code).alias("code")).distinct()
-    single = binned.groupBy("code").agg(F.count("*").alias("n"))
-    a, b = binned.withColumnRenamed("code", "code1"), binned.withColumnRenamed("code", "code2")
-    pairs = a.join(b, [patient, "bin"]).where("code1 < code2").groupBy("code1", "code2").agg(F.count("*").alias("n12"))
+    held = _code_sets(codes.select(patient, F.floor((F.unix_date(day) + shift) / width).alias("bin"), F.col(code).alias("code")), [patient, "bin"])
+    single = held.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+    pairs = held.select(F.inline(_ordered_pairs(F.col("codes")))).groupBy("code1", "code2").agg(F.count("*").alias("n12"))
     scored = pairs.join(single.select(F.col("code").alias("code1"), F.col("n").alias("n1")), "code1").join(single.select(F.col("code").alias("code2"), F.col("n").alias("n2")), "code2")
     return scored.select("code1", "code2", F.greatest("n12", F.lit(least)).alias("n12"), (F.col("n12") / (F.col("n1") * F.col("n2"))).alias("score"))
 
@@ -133,8 +143,9 @@ def wide_blocks(blocks: dict[str, DataFrame], keys: list[str]) -> DataFrame:
 def patient_pairs(codes: DataFrame, patient: str, code: str, day: Column, widths: list[int]) -> DataFrame:
     """For several bin widths at once: per pair of codes the number of (patient, bin) and of patients that have both."""
     wide = codes.select(patient, F.col(code).alias("code"), day.alias("_day")).withColumn("width", F.explode(F.array(*map(F.lit, widths))))
-    binned = wide.select(patient, "width", "code", F.floor((F.unix_date("_day") + F.pmod(F.conv(F.substring(F.md5("code"), 1, 7), 16, 10).cast("long"), F.col("width"))) / F.col("width")).alias("bin")).distinct()
-    met = binned.withColumnRenamed("code", "code1").join(binned.withColumnRenamed("code", "code2"), [patient, "width", "bin"]).where("code1 < code2")
+    shift = F.pmod(F.conv(F.substring(F.md5("code"), 1, 7), 16, 10).cast("long"), F.col("width"))
+    held = _code_sets(wide.select(patient, "width", "code", F.floor((F.unix_date("_day") + shift) / F.col("width")).alias("bin")), [patient, "width", "bin"])
+    met = held.select(patient, "width", F.inline(_ordered_pairs(F.col("codes"))))
     return met.groupBy("width", "code1", "code2").agg(F.count("*").alias("bins"), F.count_distinct(patient).alias("patients"))
 
 

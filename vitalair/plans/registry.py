@@ -172,21 +172,22 @@ def _sql_geodesic(turns: int = 8) -> str:
     return f"SELECT patient_num, facility, {b!r}*ka*(sg-kb*ss*(cm+kb/4*(cs*(2*cm*cm-1)-kb/6*cm*(4*ss*ss-3)*(4*cm*cm-3)))) AS d FROM ({q})"
 
 
-@query(f""", near AS (SELECT patient_num, facility, p.lat AS lat1, p.lon AS lon1, f.lat AS lat2, f.lon AS lon2 FROM patients p JOIN facilities f ON abs(f.lat-p.lat)<=3 AND p.lon IS NOT NULL), z AS ({_sql_geodesic()}),
-m AS (SELECT patient_num, arg_min(facility, (round(d,4), facility)) AS facility, min(d) AS d FROM z WHERE d<=150000 GROUP BY 1) SELECT patient_num, facility, round(d,2) AS distance FROM patients LEFT JOIN m USING (patient_num)""")
+@query(f""", near AS (SELECT patient_num, facility, p.lat AS lat1, p.lon AS lon1, f.lat AS lat2, f.lon AS lon2 FROM patients p JOIN facilities f ON p.lon IS NOT NULL), z AS ({_sql_geodesic()}),
+m AS (SELECT patient_num, arg_min(facility, (round(d,4), facility)) AS facility, min(d) AS d FROM z GROUP BY 1) SELECT patient_num, facility, round(d,2) AS distance FROM patients LEFT JOIN m USING (patient_num)""")
 def sp_nearest_geodesic(spark, sf):
-    out = spatial.nearest_geodesic(views.patients(spark, sf), views.facilities(spark, sf), "patient_num", "facility", 150_000.0)
+    out = spatial.nearest_place(views.patients(spark, sf), views.facilities(spark, sf), "patient_num", "facility")
     return out.select("patient_num", "facility", r("distance", 2).alias("distance"))
 
 
 _H = "asin(sqrt(pow(sin(radians(f.lat-p.lat)/2),2)+cos(radians(p.lat))*cos(radians(f.lat))*pow(sin(radians(f.lon-p.lon)/2),2)))*2*6371008.8"
 
 
-@query(f""", m AS (SELECT p.patient_num, arg_min(f.facility, ({_H}, f.facility)) AS facility, min({_H}) AS d FROM patients p JOIN facilities f ON abs(f.lat-p.lat)<=2 AND abs(f.lon-p.lon)<=2 GROUP BY 1)
-SELECT patient_num, facility, round(d,3) AS distance FROM patients LEFT JOIN m USING (patient_num)""")
+@query(f""", m AS (SELECT p.patient_num, arg_min(f.facility, ({_H}, f.facility)) AS facility, min({_H}) AS d FROM patients p JOIN facilities f ON p.lat IS NOT NULL GROUP BY 1)
+SELECT patient_num, m.facility, round(d,3) AS distance, round(f.lat,4) AS facility_lat FROM patients LEFT JOIN m USING (patient_num) LEFT JOIN facilities f ON f.facility=m.facility""")
 def sp_nearest_facility(spark, sf):
-    out = spatial.nearest_within(views.patients(spark, sf), views.facilities(spark, sf), "patient_num", "facility")
-    return out.select("patient_num", "facility", r("distance", 3).alias("distance"))
+    places = views.facilities(spark, sf).withColumn("facility_lat", r("lat", 4))
+    out = spatial.nearest_place(views.patients(spark, sf), places, "patient_num", "facility", exact=False, attributes=("facility_lat",))
+    return out.select("patient_num", "facility", r("distance", 3).alias("distance"), "facility_lat")
 
 
 @query("SELECT encounter_num, sum(nval_num) FILTER (modifier_cd='A') AS A, sum(nval_num) FILTER (modifier_cd='N') AS N, sum(nval_num) FILTER (modifier_cd='R') AS R FROM observations GROUP BY 1")
@@ -202,8 +203,7 @@ def wh_before_and_after(spark, sf):
 
 @query("SELECT patient_num, min(start_date) AS first_start, count(DISTINCT encounter_num) AS encounters FROM encounters WHERE encounter_num IN (SELECT encounter_num FROM observations WHERE concept_cd LIKE 'PROMO%') GROUP BY 1")
 def wh_cohort(spark, sf):
-    chosen = views.observations(spark, sf).where(F.col("concept_cd").startswith("PROMO")).select("encounter_num")
-    own = views.encounters(spark, sf).join(chosen, "encounter_num", "left_semi")
+    own = warehouse.cohort(views.encounters(spark, sf), views.observations(spark, sf), F.col("concept_cd").startswith("PROMO"), "encounter_num")
     return own.groupBy("patient_num").agg(F.min("start_date").alias("first_start"), F.count_distinct("encounter_num").alias("encounters"))
 
 
