@@ -26,13 +26,15 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is set, a fresh local one (tests)."""
+    """The folder that driver and executors share; a fresh local one only in a local session without any (tests)."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jdir = sc._jsc.sc().getCheckpointDir()
         found = jdir.get() if jdir.isDefined() else None
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
