@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalair.llm.common import materialise, partitions
+from vitalair.llm.components import components
 
 CELLS = 128
 GRAM = 8  # characters that decide on an anchor
@@ -201,24 +202,47 @@ def _linked(least: int):
 RUN = 2000  # members of a bucket in one block
 
 
-def near_pairs(df: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """Verified links between different fingerprints: (fingerprint_a, fingerprint_b, likeness).
+def near_links(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """Verified links between the different values of `fingerprint`: (fingerprint_a, fingerprint_b, likeness).
 
     The links hold together all fingerprints that pairs of a shared band and a
     likeness at the threshold or above hold together, without being all such
-    pairs. Copies are one fingerprint; join back on it for membership. Null texts
-    count as empty; an empty table gives no rows. A bucket of more than RUN
-    members is cut into blocks and every two of its blocks meet in a task of their
-    own, so a crowded bucket loses no link and no task holds more than two blocks.
+    pairs. Bands are counted on short ids, and fingerprints follow to those alone
+    that several share; bands with the same members are taken once. A bucket of
+    more than RUN members is cut into blocks and every two of its blocks meet in a
+    task of their own, so a crowded bucket loses no link and no task holds more
+    than two blocks.
     """
-    n = partitions(df.sparkSession)
+    n = partitions(prints.sparkSession)
     least = int(np.searchsorted(_of_share(np.arange(CELLS + 1) / CELLS), threshold))
-    fps = df.select(fingerprint(F.coalesce(F.col(text_col), F.lit(""))).alias("fp")).distinct()
-    keyed = materialise(fps.select("fp", F.explode(band_keys()("fp")).alias("key")), "bands")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / RUN).alias("blocks"))
-    met = keyed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    fps = materialise(prints.select(F.col("fingerprint").alias("fp")).distinct().withColumn("id", F.xxhash64("fp")), "different")
+    keyed = materialise(fps.select("id", F.explode(band_keys()("fp")).alias("key")), "bands")
+    held = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("n > 1")
+    sizes = held.groupBy("n", "s", "lo", "hi").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / RUN).alias("blocks"))
+    met = keyed.join(materialise(sizes, "shared-bands").hint("merge"), "key").join(fps.hint("merge"), "id").withColumn("own", F.pmod("id", F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    met = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
     pairs = met.mapInPandas(_linked(least), "fingerprint_a string, fingerprint_b string").distinct()
     return pairs.withColumn("likeness", hex_likeness("fingerprint_a", "fingerprint_b"))
+
+
+def near_pairs(df: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """`near_links` of the texts' fingerprints.
+
+    Copies are one fingerprint; join back on it for membership. Null texts count as
+    empty; very long texts are walked whole; an empty table gives no rows; other
+    columns are ignored.
+    """
+    return near_links(df.select(fingerprint(F.coalesce(F.col(text_col), F.lit(""))).alias("fingerprint")), threshold)
+
+
+def with_groups(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """Add near_group to a stored table of (doc_id, fingerprint, ...): the least doc_id that near links reach; null where all have no doc_id."""
+    links = near_links(prints, threshold).select(F.xxhash64("fingerprint_a").alias("a"), F.xxhash64("fingerprint_b").alias("b"))
+    roots = components(links, "a", "b")
+    ids = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("fingerprint"))
+    known = materialise(ids.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    least = materialise(known.groupBy("root").agg(F.min("least").alias("near_group")), "groups")
+    named = materialise(known.join(least.hint("merge"), "root").select("fingerprint", "near_group"), "named")
+    return prints.join(named.hint("merge"), "fingerprint").select(*prints.columns, "near_group")

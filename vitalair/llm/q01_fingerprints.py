@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalair.llm import edit_embedding as ee
-from vitalair.llm.common import table
+from vitalair.llm.common import materialise, table
 from vitalair.llm.succession import dealt_in_order
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -53,11 +53,13 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
 
     Null text is empty (fingerprint all zero). Rows with equal doc_id follow each
     other in the order of their texts; a single row is followed by itself; an
-    empty table gives no rows; other columns are ignored.
+    empty table gives no rows; very long texts are walked whole; other columns are
+    ignored.
     """
     dealt = dealt_in_order(docs.select("doc_id", "text"), "doc_id", "text")
     return dealt.mapInPandas(_with_follower, SCHEMA)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprints(table(spark, sf_dir, "documents"))
+    """The contract's columns, and near_group: which documents bands of the fingerprint's bits and their verification hold together."""
+    return ee.with_groups(materialise(edit_fingerprints(table(spark, sf_dir, "documents")), "prints"))
