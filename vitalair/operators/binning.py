@@ -44,23 +44,29 @@ def capped_distance(d: Column, cap: float = 500.0) -> Column:
     return F.when((d < 0) | (d == float("inf")), cap).otherwise(d)
 
 
-def dense_index(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """(key, index from 0) by order, then key: ranks within ranges of (order, key), plus the rows of earlier ranges.
+def ranked(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """Rows numbered from 0 by order: numbers within ranges of it, plus the rows of earlier ranges.
 
-    Spark deals the ranges by a sample of the rows, so a day with very many keys is
-    split by key.
+    Spark deals the ranges by a sample of the rows, so no value of the first column,
+    however frequent, holds a range together.
     """
     spark = df.sparkSession
-    keyed = df.select(key, order.alias("_o")).groupBy(key).agg(F.min("_o").alias("_o"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = shared_folder(spark, "ranges")
-    keyed.repartitionByRange(n, "_o", key).withColumn("_b", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
-    sizes = ranged.groupBy("_b").agg(F.count("*").alias("_n"))
+    df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    sizes = dealt.groupBy("_b").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     sizes = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_b").orderBy("_o", key)
-    return ranged.withColumn("_r", F.row_number().over(within) - 1).join(F.broadcast(sizes), "_b").select(key, (F.col("_before") + F.col("_r")).alias("index"))
+    within = Window.partitionBy("_b").orderBy(*order)
+    met = dealt.withColumn("_r", F.row_number().over(within) - 1).join(F.broadcast(sizes), "_b")
+    return met.withColumn(out, F.col("_before") + F.col("_r")).drop("_b", "_r", "_before")
+
+
+def dense_index(df: DataFrame, key: str, order: Column) -> DataFrame:
+    """(key, index from 0) by each key's least order, then key."""
+    keyed = df.select(key, order.alias("_o")).groupBy(key).agg(F.min("_o").alias("_o"))
+    return ranked(keyed, ["_o", key], "index").drop("_o")
 
 
 #: Lower ends and labels of the two schemes of age bins.
@@ -89,3 +95,10 @@ def with_registry(patients: DataFrame, survey: DataFrame, key: str, year: int) -
     """Full outer join with a survey on the patient: flags of membership, year filled in."""
     a, b = patients.withColumn("IN_ICEES", F.lit(1)), survey.withColumn("IN_EPR", F.lit(1))
     return a.join(b, key, "full").fillna(0, ["IN_ICEES", "IN_EPR"]).fillna(year, ["year"])
+
+
+def registry_periods(rows: DataFrame, survey: DataFrame, key: str, period: str, periods: list) -> DataFrame:
+    """Patients or visits and a survey, for each of the periods: full outer join on key and period with flags of membership."""
+    asked = survey.withColumn(period, F.explode(F.array(*map(F.lit, periods)))).withColumn("IN_EPR", F.lit(1))
+    met = rows.where(F.col(period).isin(periods)).withColumn("IN_ICEES", F.lit(1)).join(asked, [key, period], "full")
+    return met.fillna(0, ["IN_ICEES", "IN_EPR"])

@@ -271,3 +271,25 @@ def labelled_groups(groups: dict[str, DataFrame]) -> DataFrame:
 
 def cohort_counts(facts: DataFrame, by: list[str], patient: str, encounter: str) -> DataFrame:
     return facts.groupBy(*by).agg(F.count_distinct(encounter).alias("encounters"), F.count_distinct(patient).alias("patients"))
+
+
+def line_fit(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
+    """Slope, intercept and correlation of y on x per key."""
+    return df.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.corr(y, x).alias("r"))
+
+
+def younger_than(visits: DataFrame, birth: str, start: str, years: int) -> DataFrame:
+    """Visits before the patient's birthday of so many years."""
+    return visits.where(F.add_months(birth, 12 * years).cast("timestamp") > F.col(start))
+
+
+def visit_years(visits: DataFrame, patients: DataFrame, patient: str, start: str, kind: str, kinds: list[str]) -> DataFrame:
+    """Per patient and year the visits by type and the age by calendar years."""
+    y = F.year(start)
+    both = visits.join(patients.select(patient, "birth_date"), patient)
+    return both.groupBy(patient, y.alias("year"), (y - F.year("birth_date")).alias("age")).agg(*[F.count_if(F.col(kind) == k).alias(k) for k in kinds])
+
+
+def with_only(facts: DataFrame, keys: list[str], chosen: Column) -> DataFrame:
+    """Keys all of whose facts are chosen."""
+    return facts.groupBy(*keys).agg(F.bool_and(chosen).alias("_all")).where("_all").select(*keys)

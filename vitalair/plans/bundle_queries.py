@@ -21,7 +21,8 @@ def _patient_text(spark, sf, year: int = 2010) -> DataFrame:
     gender = F.when((k % 13 == 0) & F.lit(year == 2011), "other").otherwise(F.col("gender"))
     race = F.when((k % 5 == 0) & F.lit(year == 2011), "2028-9").otherwise(F.col("race"))
     direct = k % 2 == 0
-    ext = F.array(F.struct(F.lit(bundles.RACE_URLS[1]).alias("url"), F.when(direct, race).alias("valueString"), F.when(~direct, F.array(F.struct(F.lit("x").alias("url"), race.alias("valueString")))).alias("extension")))
+    kind = lambda url, c: F.struct(F.lit(url).alias("url"), F.when(direct, c).alias("valueString"), F.when(~direct, F.array(F.struct(F.lit("x").alias("url"), c.alias("valueString")))).alias("extension"))
+    ext = F.filter(F.array(kind(bundles.RACE_URLS[1], race), F.when(k % 4 < 2, kind(bundles.ETHNICITY_URLS[0], F.lit("2135-2")))), lambda x: x.isNotNull())
     place = F.array(F.struct(F.lit("Latitude").alias("url"), F.col("lat").alias("valueDecimal")), F.struct(F.lit("longitude").alias("url"), F.col("lon").alias("valueDecimal")))
     address = F.array(F.struct(F.array(F.struct(place.alias("extension"))).alias("extension")))
     born = F.when(k % 17 != 0, F.col("birth_date").cast("string")).alias("birthDate")
@@ -57,11 +58,11 @@ _RACE11 = "CASE WHEN patient_num%5=0 THEN '2028-9' ELSE race END"
 _VALID = "(event_id%10=0 OR event_id%5<>0) AND event_id%7<>0"
 
 
-@query("SELECT patient_num::VARCHAR AS id, birth_date::VARCHAR AS birth_date, gender, race, 0::INT AS ethnicities, lat, lon FROM patients WHERE patient_num%17<>0")
+@query("SELECT patient_num::VARCHAR AS id, birth_date::VARCHAR AS birth_date, gender, race, CASE WHEN patient_num%4<2 THEN 'Hispanic' ELSE 'Unknown' END AS ethnicity, lat, lon FROM patients WHERE patient_num%17<>0")
 def fh_patients(spark, sf):
     p = bundles.patients(bundles.resources(_patient_text(spark, sf)))
     at = bundles.first_address(p).withColumnRenamed("patient_num", "id")
-    return p.select("id", "birth_date", "gender", F.array_join("race", "|").alias("race"), F.size("ethnicity").alias("ethnicities")).join(at, "id")
+    return p.select("id", "birth_date", "gender", F.array_join("race", "|").alias("race"), mapping.ethnicity(F.get("ethnicity", F.lit(0))).alias("ethnicity")).join(at, "id")
 
 
 @query("SELECT 'Patient' AS resource_type, count(*) AS n FROM customer UNION ALL SELECT 'Encounter', count(*) FROM orders UNION ALL SELECT 'Observation', count(*) FROM events")

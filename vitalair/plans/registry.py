@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, bundles, exposure, spatial, visits, warehouse
+from vitalair.operators import binning, bundles, exposure, profiles, spatial, visits, warehouse
 from vitalair.plans import bundle_queries, model_queries, source_queries, table_queries, views, visit_queries, warehouse_queries  # noqa: F401  (each registers its queries)
 from vitalair.plans.catalog import grid_sql, oracle_sql, queries, query, r  # noqa: F401
 from vitalair.sources import tables
@@ -225,9 +225,7 @@ def co_pairs(spark, sf):
 @query("""SELECT patient_num, year(start_date)::INT AS year, count(*) FILTER (visit_type='AMB') AS AMB, count(*) FILTER (visit_type='EMER') AS EMER, count(*) FILTER (visit_type='IMP') AS IMP, (year(start_date)-year(birth_date))::INT AS age
 FROM encounters JOIN patients USING (patient_num) GROUP BY ALL""")
 def py_patient_years(spark, sf):
-    both = views.encounters(spark, sf).join(views.patients(spark, sf).select("patient_num", "birth_date"), "patient_num")
-    y = F.year("start_date")
-    return both.groupBy("patient_num", y.alias("year"), (y - F.year("birth_date")).alias("age")).agg(*[F.count_if(F.col("visit_type") == k).alias(k) for k in ("AMB", "EMER", "IMP")])
+    return warehouse.visit_years(views.encounters(spark, sf), views.patients(spark, sf), "patient_num", "start_date", "visit_type", ["AMB", "EMER", "IMP"])
 
 
 @query("""SELECT visit_type, count(*) AS n, round(avg(o_totalprice),6) AS mean, min(o_totalprice) AS low, round(quantile_cont(o_totalprice,0.25),6) AS q1, round(quantile_cont(o_totalprice,0.5),6) AS median, round(quantile_cont(o_totalprice,0.75),6) AS q3, max(o_totalprice) AS high
@@ -266,15 +264,32 @@ def st_sample(spark, sf):
 
 @query("SELECT modifier_cd, round(regr_slope(l_extendedprice, l_quantity),6) AS slope, round(regr_intercept(l_extendedprice, l_quantity),4) AS intercept, round(corr(l_extendedprice, l_quantity),6) AS r FROM (SELECT *, l_returnflag AS modifier_cd FROM lineitem) GROUP BY 1")
 def st_line_fit(spark, sf):
-    o = views.table(spark, sf, "lineitem")
-    return o.groupBy(F.col("l_returnflag").alias("modifier_cd")).agg(r(F.regr_slope("l_extendedprice", "l_quantity")).alias("slope"), r(F.regr_intercept("l_extendedprice", "l_quantity"), 4).alias("intercept"), r(F.corr("l_extendedprice", "l_quantity")).alias("r"))
+    fit = warehouse.line_fit(views.table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "modifier_cd"), ["modifier_cd"], "l_extendedprice", "l_quantity")
+    return fit.select("modifier_cd", r("slope").alias("slope"), r("intercept", 4).alias("intercept"), r("r").alias("r"))
 
 
 @query("SELECT name, value, count(*) AS n FROM (SELECT 'modifier_cd' AS name, modifier_cd AS value FROM observations UNION ALL SELECT 'concept_cd', concept_cd FROM observations UNION ALL SELECT 'visit_type', visit_type FROM encounters) GROUP BY ALL")
 def pf_value_counts(spark, sf):
-    o = views.observations(spark, sf).select(F.expr("stack(2, 'modifier_cd', modifier_cd, 'concept_cd', concept_cd) AS (name, value)"))
-    e = views.encounters(spark, sf).select(F.lit("visit_type").alias("name"), F.col("visit_type").alias("value"))
-    return o.unionAll(e).groupBy("name", "value").agg(F.count("*").alias("n"))
+    return profiles.value_counts([(views.observations(spark, sf), ["modifier_cd", "concept_cd"]), (views.encounters(spark, sf), ["visit_type"])])
+
+
+@query("SELECT DISTINCT modifier_cd AS value FROM observations UNION SELECT DISTINCT visit_type FROM encounters")
+def pf_distinct_values(spark, sf):
+    return profiles.distinct_values([(views.observations(spark, sf), "modifier_cd"), (views.encounters(spark, sf), "visit_type")])
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS index FROM events")
+def pf_row_index(spark, sf):
+    return profiles.row_index(views.table(spark, sf, "events").select("event_id", "ts"), ["ts", "event_id"]).select("event_id", "index")
+
+
+@query(""", v AS (SELECT patient_num, year(start_date)::INT AS year, encounter_num FROM encounters WHERE year(start_date) IN (1996, 1999)), l AS (SELECT doc_id AS patient_num, max(quality) AS quality, y::INT AS year FROM labels, (VALUES (1996), (1999)) t(y) GROUP BY ALL)
+SELECT patient_num, year, encounter_num, quality, (encounter_num IS NOT NULL)::INT AS IN_ICEES, (quality IS NOT NULL)::INT AS IN_EPR FROM v FULL JOIN l USING (patient_num, year)""")
+def bn_registry_periods(spark, sf):
+    """Visits and a survey for each study period."""
+    v = views.encounters(spark, sf).select("patient_num", F.year("start_date").alias("year"), "encounter_num")
+    s = views.table(spark, sf, "labels").groupBy(F.col("doc_id").alias("patient_num")).agg(F.max("quality").alias("quality"))
+    return binning.registry_periods(v, s, "patient_num", "year", [1996, 1999])
 
 
 @query("SELECT encounter_num, patient_num::VARCHAR AS patient_num, visit_type AS code, start_date::DATE AS day FROM encounters", day="day")

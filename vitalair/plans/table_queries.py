@@ -265,8 +265,7 @@ def co_patient_pairs(spark, sf):
 @query("SELECT encounter_num FROM observations GROUP BY 1 HAVING bool_and(concept_cd LIKE 'PROMO.%')")
 def co_sole_code(spark, sf):
     """Visits all of whose codes are of one kind."""
-    o = views.observations(spark, sf).groupBy("encounter_num").agg(F.bool_and(F.col("concept_cd").startswith("PROMO.")).alias("sole"))
-    return o.where("sole").select("encounter_num")
+    return warehouse.with_only(views.observations(spark, sf), ["encounter_num"], F.col("concept_cd").startswith("PROMO."))
 
 
 @query("""SELECT visit_type, round(avg(log10(o_totalprice)),6) AS mean_log, count(DISTINCT encounter_num) AS visits, count(DISTINCT patient_num) AS patients FROM encounters JOIN orders ON o_orderkey=encounter_num JOIN patients USING (patient_num)
@@ -275,5 +274,5 @@ def st_cohort(spark, sf):
     """Cohort below an age at the visit, by visit type."""
     price = views.table(spark, sf, "orders").select(F.col("o_orderkey").alias("encounter_num"), "o_totalprice")
     v = views.encounters(spark, sf).join(price, "encounter_num").join(views.patients(spark, sf).select("patient_num", "birth_date"), "patient_num")
-    young = v.where(F.add_months("birth_date", 60 * 12).cast("timestamp") > F.col("start_date"))
+    young = warehouse.younger_than(v, "birth_date", "start_date", 60)
     return young.groupBy("visit_type").agg(r(F.avg(F.log10("o_totalprice"))).alias("mean_log"), F.count_distinct("encounter_num").alias("visits"), F.count_distinct("patient_num").alias("patients"))
