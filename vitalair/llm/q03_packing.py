@@ -146,7 +146,8 @@ def packed_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str =
     """Tokenise and pack all documents.
 
     Repeated rows are packed as often as they occur; an empty table gives no
-    rows; other columns are ignored; null text is one piece of id 0.
+    rows; other columns are ignored; null text is one piece of id 0; texts of any
+    length are tokenised whole.
     """
     return pack(materialise(tokenised_pieces(docs, capacity, tokenizer, keep_ids), "pieces"), capacity)
 

@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts without words have fingerprint 0 and link like any other; rows with
     null doc_id get the component of the others of their fingerprint, null if
-    there is none; repeated rows stay repeated; an empty table gives no rows.
+    there is none; repeated rows stay repeated; very long texts are hashed whole;
+    other columns are ignored; an empty table gives no rows.
     Copies share a fingerprint and are one node of the link graph.
     """
     fps = materialise(fingerprints(docs), "fingerprints")
