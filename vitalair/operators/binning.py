@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalair.operators.quantiles import exact_quantiles
-from vitalair.sources.tables import shared_folder
+from vitalair.sources.tables import stored
 
 
 def fixed_bins(value: Column, edges: list[float]) -> Column:
@@ -52,9 +52,7 @@ def ranked(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = shared_folder(spark, "ranges")
-    df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()).write.parquet(path)
-    dealt = spark.read.parquet(path)
+    dealt = stored(df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()), "ranges")
     sizes = dealt.groupBy("_b").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     sizes = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))

@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+from vitalair.sources.tables import stored
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
     """(keys, n, quantiles): exact linearly interpolated quantiles of each key's values that aren't null.
 
-    Equal values are summed up first; then each key's values are dealt to ranges by
-    approximate cuts, ranked within them and lifted by the counts of the ranges
-    before. The cuts only divide the work.
+    Equal values are summed up first; then (key, value) is dealt to ranges, ranked
+    within them and lifted by the counts of the key's ranges before. The values are
+    read once; what follows works on their stored counts.
     """
     own = keys or ["_all"]
+    spark = df.sparkSession
     named = df if keys else df.withColumn("_all", F.lit(0))
-    counts = named.where(F.col(value).isNotNull()).groupBy(*own, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    cuts = counts.groupBy(*own).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 1000).alias("_cuts"))
-    ranged = counts.join(cuts, own).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    counts = stored(named.where(F.col(value).isNotNull()).groupBy(*own, F.col(value).alias("_v")).agg(F.count("*").alias("_n")), "counts")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(counts.repartitionByRange(n, *own, "_v").withColumn("_b", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy(*own, "_b").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy(*own).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows a key
+    before = Window.partitionBy(*own).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     sizes = sizes.select(*own, "_b", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"), F.sum("_m").over(Window.partitionBy(*own)).alias("_total"))
     within = Window.partitionBy(*own, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = ranged.withColumn("_to", F.sum("_n").over(within)).join(sizes, [*own, "_b"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalair.sources.tables import shared_folder
+from vitalair.sources.tables import stored
 
 #: WGS84 and the Lambert conformal conic projection (parallels 33 and 45, origin 40 N 97 W), in degrees and metres.
 A, FLATTENING = 6378137.0, 1 / 298.257223563
@@ -180,8 +180,8 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, ex
     places for the exact one. Ties go to the least place; places outside the
     ranges of coordinates are left out.
     """
-    spark = points.sparkSession
-    left, found = points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), None
+    left, found = stored(points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), "locations"), None
+    n_left = left.count()
     for i, reach in enumerate(reaches):
         met = _candidates(left, places, place, reach)
         if exact:
@@ -190,14 +190,12 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, ex
         else:
             met = met.withColumn("distance", F.col("_sphere"))
         best = met.where(F.col("distance") <= reach).groupBy("lat", "lon").agg(F.min(F.struct("distance", "_place")).alias("m")).select("lat", "lon", "m.*")
-        path = shared_folder(spark, "nearest")
-        best.write.parquet(path)
-        best = spark.read.parquet(path)
+        best = stored(best, "nearest")
         found = best if found is None else found.unionByName(best)
-        if i + 1 < len(reaches):
-            left = left.join(best.select("lat", "lon"), ["lat", "lon"], "left_anti")
-            if left.isEmpty():
-                break
+        n_left -= best.count()
+        if not n_left:
+            break
+        left = left.join(best.select("lat", "lon"), ["lat", "lon"], "left_anti")
     out = points.select(key, "lat", "lon").join(found, ["lat", "lon"], "left").select(key, "distance", F.col("_place").alias(place))
     return out.join(places.select(place, *attributes).dropDuplicates([place]), place, "left") if attributes else out
 

@@ -26,6 +26,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{found.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The table, written to a fresh shared folder and read back: what follows reads it and computes nothing anew."""
+    spark = df.sparkSession
+    path = shared_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_absent(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Add the columns of schema that df lacks as typed nulls; those present stay as they are."""
     return df.withColumns({c: F.lit(None).cast(t) for c, t in schema.items() if c not in df.columns})
