@@ -64,3 +64,11 @@ def test_real_sequences_and_empty_table(docs):
     out = q.sequences(q.packed_documents(docs, keep_ids=True)).collect()
     assert all(len(r.ids) <= 2048 and sum(s["length"] for s in r.spans) == len(r.ids) for r in out)
     assert q.packed_documents(docs.limit(0)).count() == 0
+
+
+def test_places_met_by_blocks_of_ranks(docs, monkeypatch):
+    """A plan too long to be sent to all tasks gives the same sequences."""
+    want = sorted(map(tuple, q.packed_documents(docs).collect()), key=repr)
+    monkeypatch.setattr(q, "RECORDS_TO_BROADCAST", 0)
+    monkeypatch.setattr(q, "RANKS", 7)
+    assert sorted(map(tuple, q.packed_documents(docs).collect()), key=repr) == want

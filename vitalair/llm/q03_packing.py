@@ -23,6 +23,7 @@ from vitalair.llm.common import materialise, table
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RECORDS_TO_BROADCAST = 200_000  # rows of 48 bytes; a longer plan is joined by a shuffle
+RANKS = 50_000  # ranks of one length in a block, where places are not sent to all tasks
 
 
 def encoder(name: str = "byte_bpe_50k"):
@@ -126,9 +127,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = keyed.withColumn("_within", F.row_number().over(within) - 1).join(sizes, ["length", "_shard"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_within"))
     places = spark.createDataFrame(records, "_length long, _first long, _last long, _per long, _sequence long, _offset long")
-    places = F.broadcast(places) if len(records) <= RECORDS_TO_BROADCAST else places
+    held = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last"))
     step = F.col("_rank") - F.col("_first")
-    placed = ranked.join(places, (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last")))
+    if len(records) <= RECORDS_TO_BROADCAST:
+        placed = ranked.join(F.broadcast(places), held)
+    else:  # pieces of one length meet their places by blocks of ranks
+        block = lambda c: F.floor(F.col(c) / RANKS)
+        places = places.withColumn("_block", F.explode(F.sequence(block("_first"), block("_last"))))
+        placed = ranked.withColumn("_of", block("_rank")).join(places.hint("merge"), held & (F.col("_of") == F.col("_block")))
     return placed.select(
         *pieces.columns,
         (F.col("_sequence") + F.floor(step / F.col("_per"))).alias("sequence_id"),
