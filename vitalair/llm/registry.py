@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalair.llm import q02_licences
+from vitalair.llm import q02_licences, q11_variants, q12_resampling, q13_exact_dedup
 from vitalair.llm.q01_fingerprints import op1_fingerprints
 from vitalair.llm.q02_licences import op2_licences
 from vitalair.llm.q03_packing import op3_packing
@@ -13,8 +13,11 @@ from vitalair.llm.q07_quality import op7_quality
 from vitalair.llm.q08_decontamination import op8_decontamination
 from vitalair.llm.q09_urls import op9_urls
 from vitalair.llm.q10_extraction import op10_extraction
+from vitalair.llm.q11_variants import op11_variants
+from vitalair.llm.q12_resampling import op12_resampling
+from vitalair.llm.q13_exact_dedup import op13_exact_dedup
 
-QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op7_quality, op8_decontamination, op9_urls, op10_extraction]
+QUERIES = [op1_fingerprints, op2_licences, op3_packing, op4_line_dedup, op5_chats, op6_simhash, op7_quality, op8_decontamination, op9_urls, op10_extraction, op11_variants, op12_resampling, op13_exact_dedup]
 
 
 def queries():
@@ -22,4 +25,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licences": q02_licences.SQL}
+    return {"op2_licences": q02_licences.SQL, "op11_variants": q11_variants.SQL, "op12_resampling": q12_resampling.SQL, "op13_exact_dedup": q13_exact_dedup.SQL}
