@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators.mapping import anchored
+from vitalair.operators.patterns import SCHEMA, indexed, matched
+from vitalair.sources.tables import stored
 
 
 def local_day(instant: Column, offset_hours: int) -> Column:
@@ -37,19 +38,21 @@ def visit_items(visits: DataFrame, items: DataFrame, patient: str, key: str, sta
     return own.select(patient, start, *rest).unionByName(loose.select(patient, start, *rest))
 
 
-def coding_features(codings: DataFrame, system: str, code: str, patterns: list[dict]) -> DataFrame:
-    """(system, code, feature) of distinct codings whose system and code both meet a pattern.
+def coding_features(codings: DataFrame, system: str, code: str, patterns: DataFrame | list[dict]) -> DataFrame:
+    """(system, code, feature) of distinct codings whose system and code both meet a pattern, a row for each such pattern.
 
     A pattern has feature, system, code and the flags system_is_regex and
     code_is_regex: true is a regular expression for the whole text, false the
-    text as it stands, absent lets `*` stand for anything.
+    text as it stands, absent lets `*` stand for anything. Patterns are a table
+    of any size, or a short list.
     """
-    fits = lambda c, p, name: F.col(c).rlike(anchored(p[name], p.get(f"{name}_is_regex")))
-    hits = [F.when(fits(system, p, "system") & fits(code, p, "code"), F.lit(p["feature"])) for p in patterns]
-    return codings.select(system, code).distinct().select(system, code, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("feature"))
+    if not isinstance(patterns, DataFrame):
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        patterns = codings.sparkSession.createDataFrame([tuple(p.get(c) for c in names) for p in patterns], SCHEMA)
+    return matched(codings.select(system, code).distinct(), F.col(system), F.col(code), stored(indexed(patterns), "index"))
 
 
-def coded_counts(items: DataFrame, keys: list[str], system: str, code: str, patterns: list[dict], features: list[str]) -> DataFrame:
+def coded_counts(items: DataFrame, keys: list[str], system: str, code: str, patterns: DataFrame | list[dict], features: list[str]) -> DataFrame:
     """One column a feature: pairs of coding and pattern per key. Codings are summed up before they meet the map."""
     summed = items.groupBy(*keys, system, code).agg(F.count("*").alias("_n"))
     mapped = summed.join(coding_features(items, system, code, patterns), [system, code])

@@ -9,6 +9,7 @@ from vitalair.operators import binning, bundles, patient_tables, visit_vectors,
 from vitalair.plans import views
 from vitalair.plans.bundle_queries import visit_text
 from vitalair.plans.catalog import query
+from vitalair.sources import tables
 
 #: The study window and patterns on systems and codes.
 START, END, OFFSET = "1996-01-01", "2000-01-01", -5
@@ -74,6 +75,27 @@ def mp_coding_features(spark, sf):
     return visit_vectors.coding_features(views.observations(spark, sf).select(F.col("modifier_cd").alias("system"), F.col("concept_cd").alias("code")), "system", "code", PATTERNS)
 
 
+_PARTS = "c AS (SELECT DISTINCT p_brand AS system, p_type||'.'||p_partkey||'.'||p_size AS code FROM part), p AS (SELECT *, p_type||'.'||p_partkey AS start FROM part)"
+
+
+@query(f""", {_PARTS}, h AS (SELECT system, code, 'g'||p_partkey AS feature FROM p JOIN c ON p_partkey%3=0 AND starts_with(code, start)
+UNION ALL SELECT system, code, 'r'||p_partkey FROM p JOIN c ON p_partkey%3=1 AND system=p_brand AND starts_with(code, start) WHERE regexp_full_match(substr(code, length(start)+1), '[0-9]{{0,2}}\\.[123][0-9]?')
+UNION ALL SELECT system, code, 'x'||p_partkey FROM p JOIN c ON p_partkey%3=2 AND code=start||'.'||p_size WHERE regexp_full_match(system, 'Brand#[1-3].*')) SELECT * FROM h""")
+def mp_pattern_index(spark, sf):
+    """As many patterns as parts: a third with a wildcard, a third regular expressions, a third whole codes."""
+    k, part = F.col("p_partkey"), views.table(spark, sf, "part")
+    start = F.concat_ws(".", "p_type", k.cast("string"))
+    by = lambda a, b, c: F.when(k % 3 == 0, a).when(k % 3 == 1, b).otherwise(c)
+    patterns = part.select(
+        F.concat(by(F.lit("g"), F.lit("r"), F.lit("x")), k.cast("string")).alias("feature"),
+        by(F.lit("*"), F.col("p_brand"), F.lit("Brand#[1-3].*")).alias("system"), by(F.lit(None), F.lit(False), F.lit(True)).cast("boolean").alias("system_is_regex"),
+        by(F.concat(start, F.lit("*")), F.concat(F.replace(start, F.lit("."), F.lit("\\.")), F.lit(r"\d{0,2}\.[123][0-9]?")), F.concat_ws(".", start, F.col("p_size").cast("string"))).alias("code"),
+        by(F.lit(None), F.lit(True), F.lit(False)).cast("boolean").alias("code_is_regex"),
+    )
+    codings = part.select(F.col("p_brand").alias("system"), F.concat_ws(".", start, F.col("p_size").cast("string")).alias("code"))
+    return visit_vectors.coding_features(codings, "system", "code", tables.stored(patterns, "patterns"))
+
+
 _COUNTS = ", ".join(f"count(*) FILTER ({x}) AS {f}" for f, x in sorted(_FITS.items()))
 
 
