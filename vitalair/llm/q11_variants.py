@@ -48,7 +48,8 @@ def vocabulary(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
             seen: Counter = Counter()
             for i, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
                 seen.update(words_of(None if i is pd.NA else int(i), t))
-            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())}).astype({"n": "int64"})
+            if seen:
+                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     counted = docs.select("doc_id", "text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return materialise(counted.where(F.col("n") >= least), "words")
