@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalair.operators import quadtree
 from vitalair.sources.tables import stored
 
 #: WGS84 and the Lambert conformal conic projection (parallels 33 and 45, origin 40 N 97 W), in degrees and metres.
@@ -51,23 +52,42 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.asin(F.sqrt(h)) * (2 * 6371008.8)
 
 
-def region_of(points: DataFrame, edges: DataFrame, key: str, region: str, degrees: float = 1.0) -> DataFrame:
-    """Least region whose polygon holds the point (even-odd rule); null if none.
+def region_of(points: DataFrame, edges: DataFrame, key: str, region: str, draw: int = quadtree.DRAW) -> DataFrame:
+    """Least region whose polygon holds the point (even-odd rule, so holes and several rings count); null if none or without a place.
 
-    edges: one row a side, (region, lat1, lon1, lat2, lon2). A side is copied to the
-    latitude bands it spans and to the cells from its region's western edge to its
-    own eastern end, so a point meets, by equi-join on the cell, each side that a
-    ray to the east can cross, in regions whose bounding box reaches its cell.
+    edges: one row a side, (region, lat1, lon1, lat2, lon2). Different places are dealt
+    to the leaves of a quadtree that is fine where places or sides are dense. A leaf
+    gets the sides that a ray to the east from it can cross. Those that every such
+    ray crosses are summed up to a parity; where no others are left the leaf lies
+    wholly inside or outside the region, and its places test no side.
     """
-    box = edges.groupBy(region).agg(F.min(F.least("lon1", "lon2")).alias("_west"))
-    cell = lambda c: F.floor(c / degrees)
-    spread = edges.join(box, region).withColumn("_a", F.explode(F.sequence(cell(F.least("lat1", "lat2")), cell(F.greatest("lat1", "lat2")))))
-    spread = spread.withColumn("_b", F.explode(F.sequence(cell(F.col("_west")), cell(F.greatest("lon1", "lon2")))))
-    met = points.where("lat is not null and lon is not null").withColumn("_a", cell(F.col("lat"))).withColumn("_b", cell(F.col("lon"))).join(spread, ["_a", "_b"])
+    named = edges.select(F.col(region).alias("region"), *[F.col(c).cast("double") for c in ("lat1", "lon1", "lat2", "lon2")])
+    named = named.join(named.groupBy("region").agg(F.min(F.least("lon1", "lon2")).alias("west_most")), "region")
+    at = stored(points.where("lat is not null and lon is not null").select(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).distinct(), "locations")
+    middles = named.select(((F.col("lat1") + F.col("lat2")) / 2).alias("lat"), ((F.col("lon1") + F.col("lon2")) / 2).alias("lon"))
+    box = at.agg(*[f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for f, n in ((F.min, "lo"), (F.max, "hi"))])  # one row
+    inside_box = F.col("lat").between(F.col("lo_lat"), F.col("hi_lat")) & F.col("lon").between(F.col("lo_lon"), F.col("hi_lon"))
+    near = middles.join(F.broadcast(box), F.lit(True)).where(inside_box).select("lat", "lon")
+    tree = quadtree.fitted(at.unionByName(near), "lon", "lat", draw)
+    if tree is None:
+        return points.select(key).withColumn(region, F.lit(None).cast(edges.schema[region].dataType))
+    east, low, high = F.greatest("lon1", "lon2"), F.least("lat1", "lat2"), F.greatest("lat1", "lat2")
+    slack = 1e-9 * (tree.width + tree.height)
+    # A leaf has all sides that matter there or none of the region: leaves west of it all are left out.
+    known = quadtree.touched(named, tree, F.col("west_most"), east, low, high).where(F.col("east") >= F.col("west_most") - slack)
+    fixed = (F.least("lon1", "lon2") > F.col("east") + slack) & (low <= F.col("south") - slack) & (high >= F.col("north") + slack)
+    cover = stored(known.select("leaf", "region", fixed.alias("fixed"), "lat1", "lon1", "lat2", "lon2"), "cover")
+    parity = cover.groupBy("leaf", "region").agg((F.count_if(F.col("fixed")) % 2).alias("odd"), F.count_if(~F.col("fixed")).alias("sides"))
+    dealt = stored(quadtree.with_leaf(at, tree, "lon", "lat"), "dealt")
+    whole = dealt.join(parity.where("sides = 0 and odd = 1").select("leaf", "region"), "leaf").select("lat", "lon", "region")
+    tests = cover.where("not fixed").join(parity.where("sides > 0").select("leaf", "region", "odd"), ["leaf", "region"])
     spans = (F.col("lat1") > F.col("lat")) != (F.col("lat2") > F.col("lat"))
-    at = F.col("lon1") + (F.col("lat") - F.col("lat1")) / (F.col("lat2") - F.col("lat1")) * (F.col("lon2") - F.col("lon1"))
-    inside = met.where(spans & (at > F.col("lon"))).groupBy(key, region).agg(F.count("*").alias("_n")).where("_n % 2 = 1")
-    return points.select(key).join(inside.groupBy(key).agg(F.min(region).alias(region)), key, "left")
+    cut = F.col("lon1") + (F.col("lat") - F.col("lat1")) / (F.col("lat2") - F.col("lat1")) * (F.col("lon2") - F.col("lon1"))
+    crossed = F.coalesce((spans & (F.when(spans, cut) > F.col("lon"))).cast("int"), F.lit(0))
+    counted = dealt.join(tests, "leaf").groupBy("lat", "lon", "region").agg(((F.sum(crossed) + F.max("odd")) % 2).alias("odd")).where("odd = 1").select("lat", "lon", "region")
+    found = whole.unionByName(counted).groupBy("lat", "lon").agg(F.min("region").alias(region))
+    own = points.select(key, F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    return own.join(found, ["lat", "lon"], "left").select(key, region)
 
 
 def region_attributes(located: DataFrame, attributes: DataFrame, region: str, prefix: str, names: dict[str, str]) -> DataFrame:
@@ -84,31 +104,39 @@ def segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y
     return F.sqrt(F.pow(x - x1 - t * dx, F.lit(2)) + F.pow(y - y1 - t * dy, F.lit(2)))
 
 
-def nearest_line(points: DataFrame, lines: DataFrame, key: str, line: str, radius: float, attributes: tuple[str, ...] = ()) -> DataFrame:
+def nearest_line(points: DataFrame, lines: DataFrame, key: str, line: str, radius: float, attributes: tuple[str, ...] = (), draw: int = quadtree.DRAW) -> DataFrame:
     """Nearest segment within a radius in metres of the projected plane: distance, line and its attributes; infinity and null if none.
 
-    lines: one row a segment, (line, lat1, lon1, lat2, lon2, attributes). A segment is
-    first cut into stretches of one radius at most, and each stretch copied to the
-    cells, one radius wide, that it can be near: the copies grow with the
-    segment's length, not with its bounding box.
+    lines: one row a segment, (line, lat1, lon1, lat2, lon2, attributes). Different
+    places are dealt to the leaves of a quadtree that is fine where they are dense.
+    A segment is cut into stretches of one radius at most, and each meets the
+    leaves within a radius. Of those a leaf keeps the ones that can be nearest to
+    some place in it: in a dense town, whose leaves are small, a few.
     """
-    cell = lambda c: F.floor(c / radius)
     a, b = projected(F.col("lat1"), F.col("lon1")), projected(F.col("lat2"), F.col("lon2"))
-    flat = lines.select(line, *attributes, a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
+    flat = lines.select(F.struct(F.col(line).alias("line"), *attributes).alias("own"), a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
     length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), F.lit(2)) + F.pow(F.col("y2") - F.col("y1"), F.lit(2)))
-    parts = flat.withColumn("_n", F.greatest(F.ceil(length / radius), F.lit(1))).withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    for c, out in (("x", "_a"), ("y", "_b")):
-        end = lambda k: F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * k / F.col("_n")  # noqa: E731, B023
-        low, high = F.least(end(F.col("_k") - 1), end(F.col("_k"))), F.greatest(end(F.col("_k") - 1), end(F.col("_k")))
-        parts = parts.withColumn(out, F.explode(F.sequence(cell(low - radius), cell(high + radius))))
-    spread = parts.drop("_n", "_k").distinct()
+    parts = flat.withColumn("n", F.greatest(F.ceil(length / radius), F.lit(1))).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    end = lambda c, k: F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * k / F.col("n")
+    sides = [f(end(c, F.col("k") - 1), end(c, F.col("k"))) + d for c in "xy" for f, d in ((F.least, -radius), (F.greatest, radius))]
     p = projected(F.col("lat"), F.col("lon"))
-    at = points.where("lat is not null and lon is not null").select(key, p[0].alias("x"), p[1].alias("y"))
-    met = at.withColumn("_a", cell(F.col("x"))).withColumn("_b", cell(F.col("y"))).join(spread, ["_a", "_b"])
-    d = segment_distance(*map(F.col, ("x", "y", "x1", "y1", "x2", "y2")))
-    best = met.withColumn("distance", d).where(F.col("distance") <= radius).groupBy(key).agg(F.min(F.struct("distance", line, *attributes)).alias("_m"))
-    out = points.select(key).join(best, key, "left")
-    return out.select(key, F.coalesce("_m.distance", F.lit(float("inf"))).alias("distance"), *[F.col(f"_m.{c}").alias(c) for c in (line, *attributes)])
+    places = points.where("lat is not null and lon is not null").select("lat", "lon").distinct().withColumn("x", p[0]).withColumn("y", p[1])
+    at = stored(places, "locations")
+    tree = quadtree.fitted(at, "x", "y", draw)
+    if tree is None:
+        found = at.select("lat", "lon").crossJoin(flat.select("own").limit(0)).withColumn("m", F.struct(F.lit(None).cast("double").alias("distance"), "own")).select("lat", "lon", "m")
+    else:
+        met = quadtree.touched(parts, tree, *sides).select("leaf", "own", "x1", "y1", "x2", "y2", "west", "south", "east", "north").distinct()
+        half = F.sqrt(F.pow(F.col("east") - F.col("west"), F.lit(2)) + F.pow(F.col("north") - F.col("south"), F.lit(2))) / 2 * (1 + 1e-6) + 1e-3
+        off = segment_distance((F.col("west") + F.col("east")) / 2, (F.col("south") + F.col("north")) / 2, *map(F.col, ("x1", "y1", "x2", "y2")))
+        met = stored(met.select("leaf", "own", "x1", "y1", "x2", "y2", off.alias("off"), half.alias("half")), "lines-by-leaf")
+        least = met.groupBy("leaf").agg(F.min("off").alias("least"))
+        kept = met.join(least, "leaf").where((F.col("off") - F.col("half") <= F.col("least") + F.col("half")) & (F.col("off") - F.col("half") <= radius))
+        d = segment_distance(*map(F.col, ("x", "y", "x1", "y1", "x2", "y2")))
+        near = quadtree.with_leaf(at, tree, "x", "y").join(kept.drop("off", "half", "least"), "leaf").withColumn("distance", d).where(F.col("distance") <= radius)
+        found = near.groupBy("lat", "lon").agg(F.min(F.struct("distance", "own")).alias("m"))
+    out = points.select(key, "lat", "lon").join(found, ["lat", "lon"], "left")
+    return out.select(key, F.coalesce("m.distance", F.lit(float("inf"))).alias("distance"), F.col("m.own.line").alias(line), *[F.col(f"m.own.{c}").alias(c) for c in attributes])
 
 
 @F.pandas_udf(T.DoubleType())
