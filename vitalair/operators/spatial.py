@@ -233,14 +233,39 @@ def nearest_geodesic(points: DataFrame, places: DataFrame, key: str, place: str,
     return nearest_place(points, places, key, place, reaches=[reach])
 
 
+BLOCK = 8  # cells a side of a folder of the grid
+
+
+def cell_block(row: Column, col: Column) -> Column:
+    return (F.floor((row - 1) / BLOCK) * 1000 + F.floor((col - 1) / BLOCK)).cast("int")
+
+
+def write_grid_series(series: DataFrame, path: str) -> None:
+    """Series (year, row, col, ...) in folders by year and block of cells, rows and columns in order within a file; a block with very many rows has several writers."""
+    salt = F.pmod(F.xxhash64(*series.columns), F.lit(8))
+    dealt = series.withColumn("block", cell_block(F.col("row"), F.col("col"))).repartition("year", "block", salt)
+    dealt.sortWithinPartitions("year", "block", "row", "col").write.partitionBy("year", "block").parquet(path)
+
+
 def grid_series(points: DataFrame, series: DataFrame, key: str, years: list[int]) -> DataFrame:
     """The series (year, row, col, ...) of each point's cell in each year's grid; years without a grid and points outside it give no rows.
 
-    One table of all cells, in folders by year, stands for a file a cell: the years prune folders and the cell is an equi-join.
+    One table of all cells stands for a file a cell. Where it is laid out by
+    write_grid_series, the points' blocks (a grid has some hundreds, so the driver
+    may hold them) prune its folders, and the cell is an equi-join.
     """
     lat, lon = F.col("lat"), F.col("lon")
     cells = [F.struct(F.lit(y).alias("year"), grid_cell(lat, lon, y).alias("c")) for y in years if y in GRIDS]
     if not cells:
-        return points.select(key).join(series, F.lit(False))
+        return points.select(key).join(series.drop("block"), F.lit(False))
     at = points.select(key, F.explode(F.array(*cells)).alias("g")).where("g.c is not null").select(key, "g.year", "g.c.row", "g.c.col")
-    return at.join(series.where(F.col("year").isin([y for y in years if y in GRIDS])), ["year", "row", "col"])
+    if "block" not in series.columns:
+        return at.join(series.where(F.col("year").isin([y for y in years if y in GRIDS])), ["year", "row", "col"])
+    at = at.withColumn("block", cell_block(F.col("row"), F.col("col")))
+    blocks: dict[int, list[int]] = {}
+    for r in at.select("year", "block").distinct().collect():
+        blocks.setdefault(r["year"], []).append(r["block"])
+    wanted = F.lit(False)
+    for year, own in blocks.items():
+        wanted = wanted | ((F.col("year") == year) & F.col("block").isin(sorted(own)))
+    return at.join(series.where(wanted), ["year", "block", "row", "col"]).drop("block")

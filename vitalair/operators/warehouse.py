@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalair.operators.binning import ranked
 from vitalair.operators.quantiles import exact_quantiles
 from pyspark.sql import types as T
 
@@ -197,20 +198,30 @@ def through_name(codes: DataFrame, targets: DataFrame) -> DataFrame:
     return codes.join(targets, "name").select("code", "target").distinct()
 
 
-def wide_by_name(facts: DataFrame, keys: list[str], name: str, values: list[str], names: list[str]) -> DataFrame:
+def wide_by_name(facts: DataFrame, keys: list[str], name: str, values: list[str], names: DataFrame) -> DataFrame:
     """One array for each value column over the names in order (null where a name is absent); the first by instance counts.
 
-    Facts have instance_num. The names and their places are `names_table`.
+    Facts have instance_num. names is `names_table`; its places are joined to the
+    facts, and a key's cells, sorted by place, are laid out with the gaps between
+    them, so no name goes through the driver or the plan.
     """
-    first = facts.groupBy(*keys, name).agg(F.min_by(F.struct(*values), F.struct("instance_num", *values)).alias("_v"))
-    held = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, "_v"))).alias("_m"))  # no more entries than names
-    cell = lambda v: F.array(*[F.try_element_at("_m", F.lit(n))[v] for n in names]).alias(v)
-    return held.select(*keys, *[cell(v) for v in values])
+    placed = facts.join(names.select(name, F.col("place").alias("_place")), name)
+    first = placed.groupBy(*keys, "_place").agg(F.min_by(F.struct(*values), F.struct("instance_num", *values)).alias("_v"))
+    held = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_place", "_v"))).alias("_c"))  # no more cells than names
+    held = held.crossJoin(F.broadcast(names.agg(F.max("place").alias("_size"))))  # one row
+
+    def laid_out(v: str) -> Column:
+        empty = F.lit(None).cast(facts.schema[v].dataType)
+        gap = lambda x, i: (x["_place"] - 1 - F.when(i == 0, 0).otherwise(F.get("_c", i - 1)["_place"])).cast("int")
+        cells = F.flatten(F.transform("_c", lambda x, i: F.concat(F.array_repeat(empty, gap(x, i)), F.array(x["_v"][v]))))
+        return F.concat(cells, F.array_repeat(empty, (F.col("_size") - F.element_at("_c", -1)["_place"]).cast("int"))).alias(v)
+
+    return held.select(*keys, *[laid_out(v) for v in values])
 
 
 def names_table(facts: DataFrame, name: str) -> DataFrame:
-    """The sorted distinct names with their places from 1."""
-    return facts.select(name).distinct().select(F.row_number().over(Window.orderBy(name)).alias("place"), name)  # a row a name
+    """The sorted distinct names with their places from 1, numbered in ranges of the names."""
+    return ranked(facts.select(name).where(F.col(name).isNotNull()).distinct(), [name], "place").select((F.col("place") + 1).alias("place"), name)
 
 
 def joined_blocks(blocks: dict[str, DataFrame], keys: list[str], patients: DataFrame, patient: str) -> DataFrame:

@@ -153,7 +153,7 @@ def en_grid_series(spark, sf):
     cell = F.when(F.col("year") == 2010, spatial.grid_cell(F.col("lat"), F.col("lon"), 2010)).otherwise(spatial.grid_cell(F.col("lat"), F.col("lon"), 2011))
     at = d.join(p.withColumnRenamed("patient_num", "cell"), "cell").withColumn("c", cell).where("c is not null")
     path = tables.shared_folder(spark, "cells")
-    tables.write_by_key(at.groupBy("year", "c.row", "c.col", "day").agg(F.max("max").alias("m")), ["year"], path)
+    spatial.write_grid_series(at.groupBy("year", "c.row", "c.col", "day").agg(F.max("max").alias("m")), path)
     return spatial.grid_series(p, spark.read.parquet(path), "patient_num", [2009, 2010, 2011])
 
 

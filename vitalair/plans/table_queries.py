@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, exposure, mapping, names, spatial, visits, warehouse
+from vitalair.operators import binning, exposure, intervals, mapping, names, spatial, visits, warehouse
 from vitalair.plans import views
 from vitalair.plans.catalog import query, r
 from vitalair.sources import tables
@@ -65,6 +65,17 @@ def _daily(spark, sf) -> DataFrame:
     return exposure.daily(views.readings(spark, sf), ["cell"], "ts", "value").select("cell", "day", F.col("max").alias("m"))
 
 
+@query(""", p AS (SELECT o_orderkey AS period, o_orderdate::DATE AS a, o_orderdate::DATE + (1 + o_orderkey%90 + CASE WHEN o_orderkey%1000=0 THEN 2000 ELSE 0 END)::INT AS b FROM orders), d AS (SELECT DISTINCT l_shipdate::DATE AS day FROM lineitem)
+SELECT day, count(*) AS periods, min(period) AS least, max(period) AS largest, sum(period)::BIGINT AS total FROM d JOIN p ON day >= a AND day < b GROUP BY 1""", day="day")
+def en_open_periods(spark, sf):
+    """Each shipping day with the periods, one an order and of one day to six years, that hold it."""
+    k, a = F.col("o_orderkey"), F.to_date("o_orderdate")
+    p = views.table(spark, sf, "orders").select(k.alias("period"), a.alias("a"), F.date_add(a, (1 + k % 90 + F.when(k % 1000 == 0, 2000).otherwise(0)).cast("int")).alias("b"))
+    days = views.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
+    met = intervals.with_periods(days, "day", p, "period", "a", "b")
+    return met.groupBy("day").agg(F.count("*").alias("periods"), F.min("period").alias("least"), F.max("period").alias("largest"), F.sum("period").alias("total"))
+
+
 @query(f"{_DAILY} SELECT patient_num, cell, day, m FROM patients JOIN d ON cell = patient_num%1000", day="day")
 def en_region_series(spark, sf):
     p = views.patients(spark, sf).select("patient_num", (F.col("patient_num") % 1000).alias("cell"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vitalair.operators import mapping, spatial, visits, warehouse
 from vitalair.plans import views
 from vitalair.plans.catalog import grid_sql, query, r
+from vitalair.sources import tables
 
 
 @query("SELECT patient_num, gender, lat FROM patients WHERE lat IS NOT NULL")
@@ -95,10 +96,19 @@ SELECT encounter_num, any_value(x.v) FILTER (name='A') AS v1, any_value(x.v) FIL
 def wh_wide_by_name(spark, sf):
     """Arrays over the sorted names, with the table of names."""
     o = views.observations(spark, sf).withColumnRenamed("modifier_cd", "name")
-    table = warehouse.names_table(o, "name")
-    names = [x["name"] for x in table.orderBy("place").collect()]  # a row a name
-    w = warehouse.wide_by_name(o, ["encounter_num"], "name", ["nval_num", "concept_cd"], names)
-    return w.select("encounter_num", *[F.get("nval_num", F.lit(i)).alias(f"v{i + 1}") for i in range(3)], F.get("concept_cd", F.lit(2)).alias("c3"), F.lit(len(names)).cast("long").alias("names"))
+    w = warehouse.wide_by_name(o, ["encounter_num"], "name", ["nval_num", "concept_cd"], tables.stored(warehouse.names_table(o, "name"), "names"))
+    return w.select("encounter_num", *[F.get("nval_num", F.lit(i)).alias(f"v{i + 1}") for i in range(3)], F.get("concept_cd", F.lit(2)).alias("c3"), F.size("nval_num").cast("long").alias("names"))
+
+
+@query(""", n AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) AS place FROM (SELECT DISTINCT l_partkey FROM lineitem)), s AS (SELECT DISTINCT l_suppkey FROM lineitem),
+f AS (SELECT l_suppkey, l_partkey, arg_min(l_quantity, (l_linenumber, l_quantity)) AS v FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, count(*) AS names, count(v) AS held, md5(string_agg(coalesce(v::INT::VARCHAR, '-'), ',' ORDER BY place)) AS laid_out FROM s CROSS JOIN n LEFT JOIN f USING (l_suppkey, l_partkey) GROUP BY 1""")
+def wh_wide_many_names(spark, sf):
+    """An array over all parts for each supplier, as a digest of its cells in order."""
+    o = views.table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", F.col("l_linenumber").alias("instance_num"), "l_quantity")
+    w = warehouse.wide_by_name(o, ["l_suppkey"], "l_partkey", ["l_quantity"], tables.stored(warehouse.names_table(o, "l_partkey"), "names"))
+    text = F.array_join(F.transform("l_quantity", lambda x: x.cast("int").cast("string")), ",", "-")
+    return w.select("l_suppkey", F.size("l_quantity").cast("long").alias("names"), F.size(F.filter("l_quantity", lambda x: x.isNotNull())).cast("long").alias("held"), F.md5(text).alias("laid_out"))
 
 
 @query(""", v AS (SELECT patient_num, encounter_num, visit_type AS type FROM encounters WHERE encounter_num%3<>0), d AS (SELECT patient_num, encounter_num, count(*) AS n, max(nval_num) AS top FROM observations JOIN encounters USING (encounter_num) WHERE modifier_cd='A' GROUP BY ALL)
