@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vitalair.operators import binning, exposure, intervals, mapping, names, spatial, visits, warehouse
 from vitalair.plans import views
 from vitalair.plans.catalog import query, r
-from vitalair.sources import tables
+from vitalair.sources import sparse_format, tables
 
 
 @query("SELECT event_id, user_id::VARCHAR AS user_id, event_type, value, NULL::VARCHAR AS note FROM events")
@@ -51,6 +51,30 @@ def src_sparse_rows(spark, sf):
     return m.select("p_partkey", F.try_element_at("m", F.lit("brand")).alias("brand"), F.try_element_at("m", F.lit("size")).alias("size"))
 
 
+@query(""", n AS (SELECT DISTINCT p_brand FROM part), k AS (SELECT p_partkey, p_brand AS name, p_size::VARCHAR AS v FROM part UNION ALL SELECT p_partkey, (SELECT min(p_brand) FROM n), p_type||', '||p_size||'!' FROM part WHERE p_brand <> (SELECT min(p_brand) FROM n))
+SELECT p_partkey::VARCHAR AS p_partkey, p_name, count(*)::INT AS held, string_agg('size_of_'||name||'='||v, '|' ORDER BY name) AS cells FROM k JOIN part USING (p_partkey) GROUP BY ALL""")
+def src_sparse_format(spark, sf):
+    """Parts written in the sparse format with their meta files and read by the data source: entries of even keys are quoted and count from 0."""
+    part = views.table(spark, sf, "part")
+    names = tables.stored(warehouse.names_table(part, "p_brand"), "names")
+    path = tables.shared_folder(spark, "sparse")
+    listed = names.agg(F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "p_brand"))), lambda x: F.concat(F.lit('"'), x["p_brand"], F.lit('"'))), ","), F.lit("}")).alias("value"))
+    listed.coalesce(1).write.text(f"{path}/colmeta")
+    spark.range(1).select(F.lit("p_partkey!size_of!p_name").alias("value")).coalesce(1).write.text(f"{path}/filemeta")
+    first, even = F.when(F.col("p_partkey") % 2 == 0, 0).otherwise(1), F.col("p_partkey") % 2 == 0
+    note = F.concat(F.lit('"'), "p_type", F.lit(", "), F.col("p_size").cast("string"), F.lit('!"'))
+    more = F.col("place") > 1
+    places = F.concat_ws(",", (F.col("place") - 1 + first).cast("string"), F.when(more, first.cast("string")))
+    bare = F.concat(F.lit("({"), places, F.lit("},{"), F.concat_ws(",", F.col("p_size").cast("string"), F.when(more, note)), F.lit("})"))
+    entry = F.when(even, F.concat(F.lit('"'), F.replace(bare, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(bare)
+    rows = part.join(names, "p_brand").select(F.concat_ws("!", F.col("p_partkey").cast("string"), entry, F.concat(F.lit('"'), "p_name", F.lit('"'))).alias("value"))
+    rows.write.text(f"{path}/rows")
+    spark.dataSource.register(sparse_format.SparseTable)
+    read = spark.read.format("sparse_table").option("filemeta", f"{path}/filemeta").option("colmeta.size", f"{path}/colmeta").load(f"{path}/rows")
+    pairs = F.transform(F.array_sort(F.map_keys("size_of")), lambda k: F.concat(k, F.lit("="), F.element_at("size_of", k)))
+    return read.select("p_partkey", "p_name", F.size("size_of").alias("held"), F.array_join(pairs, "|").alias("cells"))
+
+
 @query("SELECT vec_id, len([x FOR x IN embedding IF abs(x::DOUBLE)>=0.1])::INT AS held, true AS same FROM embeddings")
 def src_sparse_arrays(spark, sf):
     cut = F.transform("embedding", lambda x: F.when(F.abs(x.cast("double")) >= 0.1, x.cast("double")).otherwise(0.0))
