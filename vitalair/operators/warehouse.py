@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vitalair.operators.binning import ranked
 from vitalair.operators.quantiles import exact_quantiles
+from vitalair.sources.tables import stored
 from pyspark.sql import types as T
 
 
@@ -32,9 +33,12 @@ def visit_periods(encounters: DataFrame) -> DataFrame:
     return encounters.select("patient_num", "encounter_num", "start_date", F.coalesce(F.lead("start_date").over(w), "start_date").alias("end_date"))
 
 
+PAIR_BLOCK = 256  # codes of a block; sets with more are cut into blocks
+
+
 def _code_sets(binned: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, codes): each key's different codes in order, no more than there are codes."""
-    return binned.groupBy(*keys).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    """(keys, codes): each key's different codes in order, no more than there are codes; stored."""
+    return stored(binned.groupBy(*keys).agg(F.array_sort(F.collect_set("code")).alias("codes")), "code-sets")
 
 
 def _ordered_pairs(codes: Column) -> Column:
@@ -43,6 +47,23 @@ def _ordered_pairs(codes: Column) -> Column:
     return F.flatten(F.transform(codes, lambda a, i: F.transform(after(i), lambda b: F.struct(a.alias("code1"), b.alias("code2")))))
 
 
+def _pairs(held: DataFrame, keys: list[str], block: int = PAIR_BLOCK) -> DataFrame:
+    """(keys, code1, code2) of stored code sets.
+
+    A set of more than one block goes out as the triangle of its pairs of blocks,
+    dealt over all tasks: no row holds more than block^2 pairs, and no task all
+    pairs of a key.
+    """
+    few = held.where(F.size("codes") <= block).select(*keys, F.inline(_ordered_pairs(F.col("codes"))))
+    many = held.where(F.size("codes") > block).withColumn("_k", F.ceil(F.size("codes") / block).cast("int") - 1)
+    many = many.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_k")))).withColumn("_j", F.explode(F.sequence("_i", "_k")))
+    part = lambda i: F.slice("codes", F.col(i) * block + 1, F.lit(block))
+    many = many.select(*keys, "_i", "_j", part("_i").alias("_a"), part("_j").alias("_b"))
+    many = many.repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_i", "_j")
+    across = F.flatten(F.transform("_a", lambda x: F.transform("_b", lambda y: F.struct(x.alias("code1"), y.alias("code2")))))
+    return few.unionByName(many.select(*keys, F.inline(F.when(F.col("_i") == F.col("_j"), _ordered_pairs(F.col("_a"))).otherwise(across))))
+
+
 def cooccurrence(codes: DataFrame, patient: str, code: str, day: Column, width: int, least: int) -> DataFrame:
     """Pairs of codes in one patient's time bin of `width` days: counts not under `least`, and pairs over singles.
 
@@ -51,7 +72,7 @@ def cooccurrence(codes: DataFrame, patient: str, code: str, day: Column, width:
     shift = F.pmod(F.conv(F.substring(F.md5(code), 1, 7), 16, 10).cast("long"), F.lit(width))
     held = _code_sets(codes.select(patient, F.floor((F.unix_date(day) + shift) / width).alias("bin"), F.col(code).alias("code")), [patient, "bin"])
     single = held.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
-    pairs = held.select(F.inline(_ordered_pairs(F.col("codes")))).groupBy("code1", "code2").agg(F.count("*").alias("n12"))
+    pairs = _pairs(held, [patient, "bin"]).groupBy("code1", "code2").agg(F.count("*").alias("n12"))
     scored = pairs.join(single.select(F.col("code").alias("code1"), F.col("n").alias("n1")), "code1").join(single.select(F.col("code").alias("code2"), F.col("n").alias("n2")), "code2")
     return scored.select("code1", "code2", F.greatest("n12", F.lit(least)).alias("n12"), (F.col("n12") / (F.col("n1") * F.col("n2"))).alias("score"))
 
@@ -146,7 +167,7 @@ def patient_pairs(codes: DataFrame, patient: str, code: str, day: Column, widths
     wide = codes.select(patient, F.col(code).alias("code"), day.alias("_day")).withColumn("width", F.explode(F.array(*map(F.lit, widths))))
     shift = F.pmod(F.conv(F.substring(F.md5("code"), 1, 7), 16, 10).cast("long"), F.col("width"))
     held = _code_sets(wide.select(patient, "width", "code", F.floor((F.unix_date("_day") + shift) / F.col("width")).alias("bin")), [patient, "width", "bin"])
-    met = held.select(patient, "width", F.inline(_ordered_pairs(F.col("codes"))))
+    met = _pairs(held, [patient, "width", "bin"])
     return met.groupBy("width", "code1", "code2").agg(F.count("*").alias("bins"), F.count_distinct(patient).alias("patients"))
 
 
