@@ -72,3 +72,16 @@ def test_long_segments_make_few_copies(spark):
     points = spark.createDataFrame([(1, 30.0, -100.0), (2, 40.001, -90.0), (3, 10.0, -90.0), (4, None, None)], "id long, lat double, lon double")
     got = {r.id: (r.distance, r.line, r.kind) for r in nearest_line(points, line, "id", "line", 500.0, ("kind",)).collect()}
     assert got[1] == (0.0, 1, "major") and 50 < got[2][0] < 150 and got[3] == got[4] == (math.inf, None, None)
+
+
+def test_quantiles_of_more_values_than_the_sketch_holds(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=60_000), np.full(30_000, 0.25), rng.integers(0, 5, 20_000).astype(float), rng.exponential(1e6, 90_000)])
+    df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(values)], "k int, v double").repartition(7)
+    shares = [0.0, 0.001, 0.2, 0.25, 0.4, 0.5, 0.75, 0.999, 1.0]
+    every = exact_quantiles(df, [], "v", shares).first()
+    assert every.n == len(values) and np.allclose(every.quantiles, np.quantile(values, shares), rtol=1e-12)
+    for r in exact_quantiles(df, ["k"], "v", shares).collect():
+        assert np.allclose(r.quantiles, np.quantile(values[r.k :: 2], shares), rtol=1e-12)

@@ -22,10 +22,10 @@ def _right_closed(value: Column, edges: list[Column]) -> Column:
 
 def quantile_bins(df: DataFrame, value: str, n: int, out: str) -> DataFrame:
     """n right-closed bins at exact quantiles, the lowest value included; all null if two edges agree."""
-    edges = exact_quantiles(df, [], value, [i / n for i in range(n + 1)]).select(F.col("quantiles").alias("_e"))
-    e = [F.col("_e")[i] for i in range(n + 1)]
-    same = sum((F.when(a == b, 1).otherwise(0) for a, b in zip(e, e[1:])), F.lit(0)) > 0
-    return df.crossJoin(F.broadcast(edges)).withColumn(out, F.when(~same, _right_closed(F.col(value), e))).drop("_e")  # edges are one row
+    found = exact_quantiles(df, [], value, [i / n for i in range(n + 1)]).first()  # one row
+    if found is None or len(set(found["quantiles"])) <= n:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    return df.withColumn(out, _right_closed(F.col(value), [F.lit(e) for e in found["quantiles"]]))
 
 
 def width_bins(df: DataFrame, value: str, n: int, out: str) -> DataFrame:

@@ -1,37 +1,55 @@
-"""Exact quantiles of values of any number: ranks in ranges of the values, no group in one task."""
+"""Exact quantiles in two narrow passes: a sketch brackets each of them, counts within the brackets decide."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalair.sources.tables import stored
+ACCURACY = 10_000  # the sketch's ranks are off by n / ACCURACY at most
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
     """(keys, n, quantiles): exact linearly interpolated quantiles of each key's values that aren't null.
 
-    Equal values are summed up first; then (key, value) is dealt to ranges, ranked
-    within them and lifted by the counts of the key's ranges before. The values are
-    read once; what follows works on their stored counts.
+    The first pass sketches each key's values and takes, around each share, a bracket
+    three times as wide as the sketch can be off; a key of few values has one bracket
+    from its least to its greatest. The second pass counts values within brackets
+    one by one and all others by the gap they fall in, summed up before the shuffle,
+    so some thousandths of the values are ranked. A bracket that should miss its
+    quantile, which the sketch's bound rules out, is an error.
     """
     own = keys or ["_all"]
-    spark = df.sparkSession
-    named = df if keys else df.withColumn("_all", F.lit(0))
-    counts = stored(named.where(F.col(value).isNotNull()).groupBy(*own, F.col(value).alias("_v")).agg(F.count("*").alias("_n")), "counts")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(counts.repartitionByRange(n, *own, "_v").withColumn("_b", F.spark_partition_id()), "ranges")
-    sizes = ranged.groupBy(*own, "_b").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy(*own).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
-    sizes = sizes.select(*own, "_b", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"), F.sum("_m").over(Window.partitionBy(*own)).alias("_total"))
-    within = Window.partitionBy(*own, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.withColumn("_to", F.sum("_n").over(within)).join(sizes, [*own, "_b"])
-    ranked = ranked.withColumn("_to", F.col("_to") + F.col("_before")).withColumn("_from", F.col("_to") - F.col("_n"))
+    rows = (df if keys else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull()).select(*own, F.col(value).alias("_v"))
+    order = sorted(set(shares))
+    ends = [(max(0.0, s - 3 / ACCURACY), min(1.0, s + 3 / ACCURACY)) for s in order]
+    points = sorted({p for e in ends for p in e})
+    sketch = rows.groupBy(*own).agg(F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.percentile_approx("_v", points, ACCURACY).alias("_q"))
+    few = F.col("_n") <= 3 * ACCURACY
+    low = [F.when(few | F.lit(a == 0), F.col("_least")).otherwise(F.col("_q")[points.index(a)]) for a, _ in ends]
+    high = [F.when(few | F.lit(b == 1), F.col("_most")).otherwise(F.col("_q")[points.index(b)]) for _, b in ends]
+    brackets = sketch.select(*own, F.array(*low).alias("_low"), F.array(*high).alias("_high"))
+    lows, highs = ([F.col(c)[i] for i in range(len(order))] for c in ("_low", "_high"))
+    if keys:
+        met = rows.join(brackets, own)
+    else:  # the brackets are one row
+        met, one = rows, brackets.first()
+        lows, highs = ([F.lit(v) for v in (one[c] if one else [None] * len(order))] for c in ("_low", "_high"))
+    gap = sum((F.when(F.col("_v") >= x, 1).otherwise(0) for x in lows), F.lit(0))
+    within = F.lit(False)
+    for x, y in zip(lows, highs):
+        within = within | ((F.col("_v") >= x) & (F.col("_v") <= y))
+    counts = met.select(*own, gap.alias("_gap"), (~within).alias("_out"), F.when(within, F.col("_v")).alias("_v")).groupBy(*own, "_gap", "_out", "_v").agg(F.count("*").alias("_n"))
+    # In a gap, values within brackets come before those beyond them.
+    so_far = Window.partitionBy(*own).orderBy("_gap", "_out", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_to", F.sum("_n").over(so_far)).withColumn("_total", F.sum("_n").over(Window.partitionBy(*own))).withColumn("_from", F.col("_to") - F.col("_n"))
     out = []
     for i, s in enumerate(shares):
         at = F.lit(float(s)) * (F.col("_total") - 1)
         holds = lambda r: F.max(F.when((F.col("_from") <= r) & (r < F.col("_to")), F.col("_v")))
         out += [holds(F.floor(at)).alias(f"_lo{i}"), holds(F.ceil(at)).alias(f"_hi{i}"), F.max(at - F.floor(at)).alias(f"_f{i}")]
     picked = ranked.groupBy(*own).agg(F.max("_total").alias("n"), *out)
+    whole = F.lit(True)
+    for i in range(len(shares)):
+        whole = whole & F.col(f"_lo{i}").isNotNull() & F.col(f"_hi{i}").isNotNull()
     q = F.array(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).cast("double") for i in range(len(shares))])
-    return picked.select(*keys, "n", q.alias("quantiles"))
+    return picked.select(*keys, "n", F.when(whole, q).otherwise(F.raise_error(F.lit("a bracket missed its quantile")).cast("array<double>")).alias("quantiles"))
