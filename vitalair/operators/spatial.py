@@ -174,10 +174,21 @@ def geodesic(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series)
         return pd.Series(np.where(settled, b * big * (sigma - off), np.nan)).replace({np.nan: None}).astype("Float64")
 
 
-REACHES = [100_000.0 * 4**i for i in range(4)] + [20_040_000.0]  # metres; the last one is half the globe
+HALF = 20_040_000.0  # metres, half the globe
 
 
-def _candidates(at: DataFrame, places: DataFrame, place: str, reach: float) -> DataFrame:
+def _reaches(places: DataFrame) -> list[float]:
+    """A first reach that holds about a dozen places, by their mean density; then four times as far until half the globe."""
+    ok = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    n, south, north, west, east = ok.agg(F.count("*"), F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
+    if not n:
+        return [HALF]
+    area = 6_371_000.0**2 * math.radians(east - west) * (math.sin(math.radians(north)) - math.sin(math.radians(south)))
+    first = min(HALF, max(1_000.0, math.sqrt(12 * area / (math.pi * n))))
+    return [first * 4**i for i in range(12) if first * 4**i < HALF] + [HALF]
+
+
+def _candidates(at: DataFrame, places: DataFrame, place: str, reach: float, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Rows of at (lat, lon) with the places that a circle of that radius can hold, and their distance `_sphere` on the sphere.
 
     Places are copied to the cells that the circle can touch, around the date line
@@ -191,7 +202,7 @@ def _candidates(at: DataFrame, places: DataFrame, place: str, reach: float) -> D
     half = F.when(F.abs("_lat") + height >= 90, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.01)
     band = lambda c: F.floor(c / height)
     slot = lambda c: F.floor(c / width)
-    ok = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(F.col(place).alias("_place"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    ok = places.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(F.struct(F.col(place).alias("id"), *attributes).alias("_place"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
     ok = ok.withColumn("_a", F.explode(F.sequence(band(F.col("_lat") - height), band(F.col("_lat") + height))))
     around = F.sequence(slot(F.col("_lon") - half), slot(F.col("_lon") + half))
     ok = ok.withColumn("_b", F.explode(F.array_distinct(F.transform(around, lambda x: F.pmod(x, F.lit(n))))))
@@ -199,19 +210,18 @@ def _candidates(at: DataFrame, places: DataFrame, place: str, reach: float) -> D
     return met.withColumn("_sphere", haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))).drop("_a", "_b")
 
 
-def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, exact: bool = True, attributes: tuple[str, ...] = (), reaches: list[float] = REACHES) -> DataFrame:
+def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, exact: bool = True, attributes: tuple[str, ...] = (), reaches: list[float] | None = None) -> DataFrame:
     """(key, distance, place, attributes of the place): the nearest place of each point, however far; null without coordinates or places.
 
     exact is along the ellipsoid, else on the sphere. Distinct locations are
-    searched up to the first reach; those without a hit within it go on to the
-    next one, on wider cells. The sphere's distance, never 0.6 % off, leaves few
-    places for the exact one. Ties go to the least place; places outside the
-    ranges of coordinates are left out.
+    searched up to the first reach, which the density of the places sets; those
+    without a hit within it go on to the next one, on wider cells. The sphere's
+    distance, never 0.6 % off, leaves few places for the exact one. Ties go to the
+    least place; places outside the ranges of coordinates are left out.
     """
     left, found = stored(points.where("lat is not null and lon is not null").select("lat", "lon").distinct(), "locations"), None
-    n_left = left.count()
-    for i, reach in enumerate(reaches):
-        met = _candidates(left, places, place, reach)
+    for reach in reaches or _reaches(places):
+        met = _candidates(left, places, place, reach, attributes)
         if exact:
             met = met.where(F.col("_sphere") <= reach * 1.006 + 1).withColumn("_least", F.min("_sphere").over(Window.partitionBy("lat", "lon"))).where("_sphere <= _least * 1.012 + 1")
             met = met.withColumn("distance", geodesic("lat", "lon", "_lat", "_lon"))
@@ -220,12 +230,11 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, place: str, ex
         best = met.where(F.col("distance") <= reach).groupBy("lat", "lon").agg(F.min(F.struct("distance", "_place")).alias("m")).select("lat", "lon", "m.*")
         best = stored(best, "nearest")
         found = best if found is None else found.unionByName(best)
-        n_left -= best.count()
-        if not n_left:
-            break
         left = left.join(best.select("lat", "lon"), ["lat", "lon"], "left_anti")
-    out = points.select(key, "lat", "lon").join(found, ["lat", "lon"], "left").select(key, "distance", F.col("_place").alias(place))
-    return out.join(places.select(place, *attributes).dropDuplicates([place]), place, "left") if attributes else out
+        if left.isEmpty():
+            break
+    out = points.select(key, "lat", "lon").join(found, ["lat", "lon"], "left")
+    return out.select(key, "distance", F.col("_place.id").alias(place), *[F.col(f"_place.{c}").alias(c) for c in attributes])
 
 
 def nearest_geodesic(points: DataFrame, places: DataFrame, key: str, place: str, reach: float) -> DataFrame:
