@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalair.operators import models, visits, warehouse
 from vitalair.plans import views
+from vitalair.sources import tables
 from vitalair.plans.catalog import query, r
 
 _COUNTS = """, c AS (SELECT e.encounter_num, count(o.encounter_num) FILTER (o.start_date::DATE < e.start_date::DATE) AS pre_ed, count(o.encounter_num) FILTER (o.start_date::DATE > e.start_date::DATE) AS post_ed
@@ -55,6 +56,16 @@ def ml_scoring_rows(spark, sf):
     return out.select("encounter_num", "pre_ed", "pm", "PROMO", "SMALL")
 
 
+@query(None)
+def ml_pruned_tree(spark, sf):
+    """All visits scored by a pruned tree on what ml_scoring_rows gives: the class of later emergency visits."""
+    after = warehouse.before_and_after(views.encounters(spark, sf)).select("encounter_num", models.visit_count_bin(F.col("post_ed")).cast("double").alias("post_bin"))
+    flags = [F.col(c).cast("int").alias(c) for c in ("PROMO", "SMALL")]
+    rows = tables.stored(ml_scoring_rows(spark, sf).select("encounter_num", "pre_ed", "pm", *flags).join(after, "encounter_num"), "scoring")
+    tree = models.fit_pruned(rows, ["pre_ed", "pm", "PROMO", "SMALL"], "post_bin", "encounter_num")
+    return rows.withColumn("predicted", models.tree_class(tree))
+
+
 @query(""", a AS (SELECT cell, ts::DATE AS day, max(value) AS pm FROM readings WHERE measure='click' GROUP BY ALL), b AS (SELECT cell, ts::DATE AS day, max(value) AS o3 FROM readings WHERE measure='view' GROUP BY ALL)
 SELECT encounter_num, pm, o3 FROM encounters e LEFT JOIN a ON a.cell = e.patient_num % 100 AND a.day = e.day LEFT JOIN b ON b.cell = e.patient_num % 100 AND b.day = e.day""")
 def in_two_exposures(spark, sf):
