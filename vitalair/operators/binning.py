@@ -100,3 +100,42 @@ def registry_periods(rows: DataFrame, survey: DataFrame, key: str, period: str,
     asked = survey.withColumn(period, F.explode(F.array(*map(F.lit, periods)))).withColumn("IN_EPR", F.lit(1))
     met = rows.where(F.col(period).isin(periods)).withColumn("IN_ICEES", F.lit(1)).join(asked, [key, period], "full")
     return met.fillna(0, ["IN_ICEES", "IN_EPR"])
+
+
+def appended_index(known: DataFrame | None, keys: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """(key, index): keys of `known` keep their index, those of `keys` (a row each) that are new are appended in order.
+
+    So an index given once holds over all later runs.
+    """
+    if known is None:
+        return ranked(keys, order, "index").select(key, "index")
+    fresh = ranked(keys.join(known.select(key), key, "left_anti"), order, "index")
+    first = known.agg(F.coalesce(F.max("index") + 1, F.lit(0)).alias("_first"))  # one row
+    return known.select(key, "index").unionByName(fresh.crossJoin(F.broadcast(first)).select(key, (F.col("index") + F.col("_first")).alias("index")))
+
+
+def person(survey_key: str, patient: str) -> Column:
+    """A patient, or a survey's row that belongs to none."""
+    return F.coalesce(F.concat(F.lit("p:"), F.col(patient).cast("string")), F.concat(F.lit("s:"), F.col(survey_key).cast("string")))
+
+
+def persons(survey: DataFrame, crosswalk: DataFrame, rows: DataFrame, survey_key: str, patient: str) -> DataFrame:
+    """A row a person of a survey and of patient or visit rows: person, survey_key (the least), patient."""
+    asked = survey.select(survey_key).join(crosswalk, survey_key, "left").select(survey_key, patient)
+    own = rows.select(F.lit(None).cast(survey.schema[survey_key].dataType).alias(survey_key), patient)
+    return asked.unionByName(own).groupBy(person(survey_key, patient).alias("person")).agg(F.min(survey_key).alias(survey_key), F.min(patient).alias(patient))
+
+
+def survey_tables(survey: DataFrame, crosswalk: DataFrame, rows: DataFrame, index: DataFrame, survey_key: str, patient: str, period: str, label: object) -> tuple[DataFrame, DataFrame]:
+    """A period's patient or visit rows with the survey, found by the crosswalk's survey key, and the de-identified copy.
+
+    Everyone of either side has a row (full outer on the patient), flags of
+    membership IN_EPR and IN_ICEES, the period filled in, and the index of the
+    person. Survey rows without a patient do not meet at all.
+    """
+    asked = survey.join(crosswalk, survey_key, "left").withColumn("IN_EPR", F.lit(1))
+    met = asked.where(F.col(patient).isNotNull()).join(rows.withColumn("IN_ICEES", F.lit(1)), patient, "full")
+    every = met.unionByName(asked.where(F.col(patient).isNull()), allowMissingColumns=True)
+    every = every.fillna(0, ["IN_EPR", "IN_ICEES"]).withColumn(period, F.coalesce(period, F.lit(label)))
+    named = every.withColumn("person", person(survey_key, patient)).join(index, "person").drop("person")
+    return named, named.drop(survey_key, patient)

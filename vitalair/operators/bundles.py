@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalair.sources.tables import stored
+
 #: Addresses of the extensions that hold race, ethnicity and coordinates.
 RACE_URLS = ["http://terminology.hl7.org/ValueSet/v3-Race", "http://hl7.org/fhir/v3/Race"]
 ETHNICITY_URLS = ["http://terminology.hl7.org/ValueSet/v3-Ethnicity", "http://hl7.org/fhir/v3/Ethnicity"]
@@ -145,6 +148,64 @@ def merged_patients(extracts: dict[int, DataFrame]) -> DataFrame:
     return rows.groupBy("id").agg(*first, *lists, conflict.alias("conflict"))
 
 
+FIELDS, LISTS = ("birth_date", "gender"), ("race", "ethnicity", "address")
+
+
+def _year_rows(extract: DataFrame, year: int) -> DataFrame:
+    """A row a patient of one extract: the different values of each field, and its lists one after the other."""
+    values = [F.array_sort(F.collect_set(c)).alias(f"_{c}") for c in FIELDS]
+    lists = [F.array_distinct(F.flatten(F.array_sort(F.collect_list(c)))).alias(f"_{c}") for c in LISTS]
+    return extract.groupBy("id").agg(*values, *lists).withColumn("_year", F.lit(year))
+
+
+def merged_year(known: DataFrame | None, extract: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
+    """(patients, conflicts) after one more yearly extract.
+
+    patients: id, fields with the year they come from (`<field>_year`), lists united
+    in order. The first value of a field stays; each later one that differs is a row
+    of conflicts: id, field, kept, other, kept_year, year. Years are merged in order.
+    """
+    own = _year_rows(extract, year)
+    if known is None:
+        none = {c: F.lit(None).cast(t) for f in FIELDS for c, t in ((f, extract.schema[f].dataType), (f"{f}_year", "int"))}
+        met = own.withColumns(none | {c: F.lit(None).cast(extract.schema[c].dataType) for c in LISTS})
+    else:
+        met = known.join(own, "id", "full")
+    kept = {c: F.coalesce(c, F.get(f"_{c}", F.lit(0))) for c in FIELDS}
+    since = {f"{c}_year": F.when(F.col(c).isNotNull(), F.col(f"{c}_year")).when(F.size(f"_{c}") > 0, F.col("_year")) for c in FIELDS}
+    united = {c: F.array_union(F.coalesce(c, F.array().cast(extract.schema[c].dataType)), F.coalesce(f"_{c}", F.array().cast(extract.schema[c].dataType))) for c in LISTS}
+    patients = met.select("id", *[x.alias(n) for n, x in (kept | since | united).items()])
+
+    def differing(c: str) -> Column:
+        row = lambda v: F.named_struct(F.lit("field"), F.lit(c), F.lit("kept"), kept[c].cast("string"), F.lit("other"), v.cast("string"), F.lit("kept_year"), since[f"{c}_year"])
+        return F.transform(F.filter(f"_{c}", lambda v: v != kept[c]), row)
+
+    rows = [differing(c) for c in FIELDS]
+    conflicts = met.where(F.col("_year").isNotNull()).select("id", F.explode(F.concat(*rows)).alias("c"), F.lit(year).alias("year")).select("id", "c.*", "year")
+    return patients, conflicts
+
+
+def merge_into(spark: SparkSession, path: str, extract: DataFrame, year: int, parts: int = 64) -> None:
+    """Merge one more year into the patients stored under path, and write the year's conflicts.
+
+    Patients lie in folders by a hash of their id. Only folders with patients of the
+    extract are read and replaced; the merged rows are stored before any is, so a
+    run that breaks off can be repeated.
+    """
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    try:
+        known = spark.read.parquet(f"{path}/patients")
+    except AnalysisException:  # the first year
+        known = None
+    if known is not None:
+        touched = [r[0] for r in extract.select(part.alias("part")).distinct().collect()]  # `parts` numbers at most
+        known = known.where(F.col("part").isin(touched)).drop("part")
+    patients, conflicts = merged_year(known, extract, year)
+    conflicts.write.mode("overwrite").parquet(f"{path}/conflicts/year={year}")
+    ready = stored(patients.withColumn("part", part), "merged")
+    ready.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{path}/patients")
+
+
 def address_reason(lats: Column, lons: Column) -> Column:
     """Why a patient's place is unusable; null if there is exactly one latitude and one longitude."""
     return (

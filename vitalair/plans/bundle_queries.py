@@ -96,6 +96,46 @@ def fh_merged_patients(spark, sf):
     return bundles.merged_patients(years).select("id", "birth_date", "gender", F.array_join("race", "|").alias("race"), "conflict")
 
 
+def _merged(spark, sf) -> str:
+    """The folder of patients merged year by year."""
+    path = tables.shared_folder(spark, "merged")
+    for y in (2010, 2011):
+        bundles.merge_into(spark, path, bundles.patients(bundles.resources(_patient_text(spark, sf, y))), y)
+    return path
+
+
+@query(f"""SELECT patient_num::VARCHAR AS id, birth_date::VARCHAR AS birth_date, gender, CASE WHEN race={_RACE11} THEN race ELSE race||'|'||{_RACE11} END AS race, 2010::INT AS since FROM patients WHERE patient_num%17<>0""")
+def fh_merged_by_year(spark, sf):
+    """Yearly extracts merged one after the other into stored patients."""
+    return spark.read.parquet(f"{_merged(spark, sf)}/patients").select("id", "birth_date", "gender", F.array_join("race", "|").alias("race"), F.col("gender_year").alias("since"))
+
+
+@query("SELECT patient_num::VARCHAR AS id, 'gender' AS field, gender AS kept, 'other' AS other, 2010::INT AS kept_year, 2011::INT AS year FROM patients WHERE patient_num%17<>0 AND patient_num%13=0 AND gender<>'other'")
+def fh_merge_conflicts(spark, sf):
+    """What extracts said of a patient beside what was kept."""
+    return spark.read.parquet(f"{_merged(spark, sf)}/conflicts").select("id", "field", "kept", "other", "kept_year", "year")
+
+
+@query("""SELECT CASE event_id%3 WHEN 0 THEN 'Condition' WHEN 1 THEN 'MedicationRequest' ELSE 'Procedure' END AS kind, event_id::VARCHAR AS id, user_id::VARCHAR AS patient, CASE WHEN event_id%11<>0 THEN event_type END AS code,
+CASE WHEN event_id%7<>0 THEN strftime(ts, '%Y-%m-%d') END AS time, (event_id%11<>0 AND (event_id%3=1 OR event_id%7<>0)) AS valid FROM events""")
+def fh_coded_kinds(spark, sf):
+    """Conditions, medications and procedures: some without system, some without their time."""
+    e, k = views.table(spark, sf, "events"), F.col("event_id")
+    ref = F.struct(F.concat(F.lit("Patient/"), F.col("user_id").cast("string")).alias("reference")).alias("subject")
+    coding = F.struct(F.array(F.struct(F.when(k % 11 != 0, "http://snomed.info/sct").alias("system"), F.col("event_type").alias("code"))).alias("coding"))
+    when = F.when(k % 7 != 0, F.date_format("ts", "yyyy-MM-dd"))
+    own = {
+        "Condition": [coding.alias("code"), when.alias("recordedDate")], "Procedure": [coding.alias("code"), when.alias("performedDateTime")],
+        "MedicationRequest": [coding.alias("medicationCodeableConcept"), F.struct(F.struct(when.alias("start")).alias("validityPeriod")).alias("dispenseRequest")],
+    }
+    out = None
+    for kind, at in (("Condition", 0), ("MedicationRequest", 1), ("Procedure", 2)):
+        text = e.where(k % 3 == at).select(_bundle(_json(kind, k.cast("string").alias("id"), ref, *own[kind])))
+        read = bundles.coded(bundles.resources(text), kind).select(F.lit(kind).alias("kind"), "id", "patient", F.get("codings", F.lit(0))["code"].alias("code"), "time", "valid")
+        out = read if out is None else out.unionByName(read)
+    return out
+
+
 @query("SELECT patient_num, CASE WHEN lat IS NULL THEN 'no address' WHEN patient_num%9=0 THEN 'several latitudes' WHEN patient_num%10=0 THEN 'no longitude' END AS reason FROM patients")
 def fh_address_reasons(spark, sf):
     k = F.col("patient_num")

@@ -229,6 +229,38 @@ def bn_survey(spark, sf):
     return binning.survey_rows(s, ["age"], ["c_name"])
 
 
+_SURVEY = """, l AS (SELECT doc_id, 'h'||doc_id AS hk, CASE WHEN doc_id%3<>0 THEN doc_id END AS p, max(quality) AS quality FROM labels GROUP BY doc_id), v AS (SELECT DISTINCT patient_num FROM encounters WHERE year(start_date)=1996),
+a AS (SELECT coalesce('p:'||p, 's:'||hk) AS person, min(hk) AS hk, min(p) AS p FROM (SELECT hk, p FROM l WHERE doc_id%2=0 UNION ALL SELECT NULL, patient_num FROM v) GROUP BY 1),
+b AS (SELECT coalesce('p:'||p, 's:'||hk) AS person, min(hk) AS hk, min(p) AS p FROM (SELECT hk, p FROM l UNION ALL SELECT NULL, patient_num FROM v) GROUP BY 1),
+i AS (SELECT person, row_number() OVER (ORDER BY hk NULLS LAST, p) - 1 AS index FROM a UNION ALL SELECT person, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY hk NULLS LAST, p) - 1 FROM b WHERE person NOT IN (SELECT person FROM a))"""
+
+
+def _survey(spark, sf, visit_columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Survey and visits of 1996 in a second run; the first knew half of the survey."""
+    labels = views.table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    survey = labels.select("doc_id", F.concat(F.lit("h"), F.col("doc_id").cast("string")).alias("survey_key"), "quality")
+    crosswalk = survey.where("doc_id % 3 != 0").select("survey_key", F.col("doc_id").alias("patient_num"))
+    rows = views.encounters(spark, sf).where("year(start_date) = 1996").select("patient_num", F.lit(1996).alias("year"), *visit_columns).distinct()
+    index, order = None, [F.asc_nulls_last("survey_key"), F.asc("patient_num")]
+    for own in (survey.where("doc_id % 2 = 0"), survey):
+        index = tables.stored(binning.appended_index(index, binning.persons(own, crosswalk, rows, "survey_key", "patient_num"), "person", order), "index")
+    return binning.survey_tables(survey.drop("doc_id"), crosswalk, rows, index, "survey_key", "patient_num", "year", 1996)
+
+
+@query(f"""{_SURVEY} SELECT hk AS survey_key, coalesce(p, patient_num) AS patient_num, i.index, (hk IS NOT NULL)::INT AS IN_EPR, (patient_num IS NOT NULL)::INT AS IN_ICEES, 1996::INT AS year, quality
+FROM l FULL JOIN v ON patient_num=p JOIN i ON person=coalesce('p:'||coalesce(p, patient_num), 's:'||hk)""")
+def bn_survey_patients(spark, sf):
+    """Patients with a survey under an index that two runs share."""
+    return _survey(spark, sf, [])[0]
+
+
+@query(f"""{_SURVEY}, e AS (SELECT patient_num, encounter_num FROM encounters WHERE year(start_date)=1996) SELECT encounter_num, i.index, (hk IS NOT NULL)::INT AS IN_EPR, (patient_num IS NOT NULL)::INT AS IN_ICEES, 1996::INT AS year, quality
+FROM l FULL JOIN e ON patient_num=p JOIN i ON person=coalesce('p:'||coalesce(p, patient_num), 's:'||hk)""")
+def bn_survey_visits(spark, sf):
+    """Visits with a survey, without patient and survey key."""
+    return _survey(spark, sf, ["encounter_num"])[1]
+
+
 @query(""", p AS (SELECT patient_num, 2010+patient_num%2 AS year FROM patients WHERE patient_num%3<>0), l AS (SELECT doc_id AS patient_num, max(quality) AS quality FROM labels GROUP BY 1)
 SELECT patient_num, coalesce(year,2010) AS year, (year IS NOT NULL)::INT AS IN_ICEES, (l.patient_num IS NOT NULL)::INT AS IN_EPR, quality FROM p FULL JOIN l USING (patient_num)""")
 def bn_registry(spark, sf):
