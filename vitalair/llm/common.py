@@ -55,3 +55,9 @@ def ascii_words(text: str | None) -> list[bytes]:
 
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
+
+
+def set_apart(docs: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with all columns but own under names that nothing else has, and the way back for withColumnsRenamed."""
+    names = {c: f"other column {i}" for i, c in enumerate(docs.columns) if c not in own}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalair.llm.common import materialise, table
+from vitalair.llm.common import materialise, set_apart, table
 
 DIVISOR = 2  # one line in so many ends a chunk
 LONG_WORDS = 50
@@ -174,7 +174,8 @@ def deduplicated(docs: DataFrame, bits: int = 64) -> DataFrame:
     no rows; a column n_removed of docs is replaced, other columns stay. Texts of
     any length are handled in time linear in their lines.
     """
-    columns = [c for c in docs.columns if c != "n_removed"]
+    docs, names = set_apart(docs.drop("n_removed"), "doc_id", "text")
+    columns = docs.columns
     known = docs.where("doc_id is not null").select(*columns, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"))
     gone = lost_lines(known.select(*ROW, "text").where("text is not null"), bits)
     gone = materialise(gone.groupBy(*ROW).agg(F.collect_list(F.struct("first", "last")).alias("_gone")), "gone")
@@ -187,7 +188,7 @@ def deduplicated(docs: DataFrame, bits: int = 64) -> DataFrame:
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(body).alias("text")
     out = met.select(*[text if c == "text" else F.col(c) for c in columns], n_removed)
     rest = docs.where("doc_id is null").select(*columns, F.lit(0).alias("n_removed"))
-    return out.unionByName(rest)
+    return out.unionByName(rest).withColumnsRenamed(names)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
