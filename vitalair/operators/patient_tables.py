@@ -45,6 +45,12 @@ def patient_table(visits: DataFrame, patient: str, period: str, order: list[str]
     return table.where(F.col("AgeStudyStart") < oldest)
 
 
+def published(patients: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Exposure columns under their published names, empty ones where the table has none; all other columns first, raw names go."""
+    own = [(F.col(c).cast("double") if c in patients.columns else F.lit(None).cast("double")).alias(n) for c, n in names.items()]
+    return patients.select(*[c for c in patients.columns if c not in names], *own)
+
+
 def bin_edges(df: DataFrame, period: str, columns: list[str], n: int) -> DataFrame:
     """(period, name, method, edges): edges of n bins by quantiles (qcut; null if two agree) and of equal width (cut; the first lowered by 0.1 % of the range).
 

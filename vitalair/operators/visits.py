@@ -47,6 +47,14 @@ def merged_visits(encounters: DataFrame) -> DataFrame:
     return encounters.groupBy("patient_num", "start_date").agg(join("encounter_num", F.collect_list).alias("encounter_num"), join("visit_type", F.collect_set).alias("visit_type"))
 
 
+def merged_classes(encounters: DataFrame, keys: list[str], key: str, classes: list[str], end: str) -> DataFrame:
+    """Encounters of one patient at one instant as one: ids in order and joined by bars, each class column as the sorted set of its bar-joined parts (null if none has it), the first end that is known."""
+    parts = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split(c, "[|]")))))
+    merged = [F.when(F.count(c) > 0, F.array_join(parts(c), "|")).alias(c) for c in classes]
+    ids = F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), "|").alias(key)
+    return encounters.groupBy(*keys).agg(ids, *merged, F.min_by(end, F.when(F.col(end).isNotNull(), F.col(key))).alias(end))
+
+
 def with_exposure(visits: DataFrame, exposure: DataFrame, on: list[str]) -> DataFrame:
     return visits.join(exposure, on, "left")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, bundles, patient_tables, visit_vectors, visits
+from vitalair.operators import binning, bundles, names, patient_tables, visit_vectors, visits
 from vitalair.plans import views
 from vitalair.plans.bundle_queries import visit_text
 from vitalair.plans.catalog import query
@@ -205,3 +205,41 @@ def bn_deidentified_visits(spark, sf):
 def fh_encounter_ids(spark, sf):
     """Ids of the encounters of bundles."""
     return bundles.encounters(bundles.resources(visit_text(spark, sf))).select(F.col("id").alias("encounter_num")).distinct()
+
+
+_RAW = {"pm25_avg": 7, "pm25_avg_avg": 11, "pm25_max": 13}
+_RAW_SQL = ", ".join(f"arg_min((encounter_num%{k})::DOUBLE, (start_date, encounter_num)) AS {c}" for c, k in _RAW.items())
+
+
+@query(f"""{_YEAR_VISITS}, g AS (SELECT patient_num, study_period, any_value(birth_date) AS birth_date, {_RAW_SQL} FROM y GROUP BY 1, 2)
+SELECT patient_num, study_period, {', '.join(f"{c if c in _RAW else 'NULL::DOUBLE'} AS {names.column_name(n)}" for c, n in names.PATIENT_NAMES.items())} FROM g WHERE date_sub('year', birth_date, date '1995-01-01') < 90""")
+def in_published_patients(spark, sf):
+    """The patient table's exposures under all published names; those without data are empty."""
+    v = _year_visits(spark, sf).withColumns({c: (F.col("encounter_num") % k).cast("double") for c, k in _RAW.items()})
+    p = patient_tables.patient_table(v, "patient_num", "study_period", ["start_date", "encounter_num"], list(_RAW), [], [], [], "1995-01-01")
+    out = patient_tables.published(p.select("patient_num", "study_period", *_RAW), names.PATIENT_NAMES)
+    return out.toDF(*map(names.column_name, out.columns))
+
+
+@query(f"""{_YEAR_VISITS}, e AS (SELECT study_period, quantile_cont(pm, [0,0.2,0.4,0.6,0.8,1.0]) AS pm, min(pm) AS lo_pm, max(pm) AS hi_pm FROM y GROUP BY 1)
+SELECT encounter_num, x.study_period, CASE WHEN len(list_distinct(e.pm))=6 AND x.pm IS NOT NULL THEN {_Q.format(c='pm')} END AS pm_qcut, CASE WHEN x.pm IS NOT NULL THEN {_W.format(c='pm')} END AS pm,
+(coalesce(promo,0)>=0.5)::INT AS promo, CASE x.Sex WHEN 'male' THEN 'Male' WHEN 'female' THEN 'Female' END AS Sex2 FROM y x JOIN e USING (study_period)""")
+def bn_visit_bins(spark, sf):
+    """The visit table binned per study period; intermediate columns go."""
+    v = _year_visits(spark, sf)
+    out = patient_tables.with_bins(v, "study_period", ["pm"], patient_tables.bin_edges(v, "study_period", ["pm"], 5), ["lab_first", "lab_last", "place"])
+    return out.select("encounter_num", "study_period", "pm_qcut", "pm", binning.binary(F.col("promo")).alias("promo"), visits.sex(F.col("Sex")).alias("Sex2"))
+
+
+@query(""", v AS (SELECT patient_num, date_trunc('month', start_date) AS month, encounter_num, CASE WHEN encounter_num%5<>0 THEN 'v3|s'||(encounter_num%3) END AS system, CASE WHEN encounter_num%5<>0 THEN visit_type END AS code, CASE WHEN encounter_num%2=0 THEN start_date END AS end_date FROM encounters)
+SELECT patient_num, strftime(month, '%Y-%m') AS month, string_agg(encounter_num::VARCHAR, '|' ORDER BY encounter_num::VARCHAR) AS encounter_num, nullif(array_to_string(list_sort(list_distinct(flatten(list(string_split(system, '|'))))), '|'), '') AS system,
+nullif(array_to_string(list_sort(list_distinct(list(code))), '|'), '') AS code, arg_min(end_date, encounter_num) FILTER (end_date IS NOT NULL) AS end_date FROM v GROUP BY patient_num, month""")
+def vv_merged_classes(spark, sf):
+    """Encounters of a patient and month as one, with the systems and codes of their classes."""
+    k = F.col("encounter_num")
+    known = lambda c: F.when(k % 5 != 0, c)
+    e = views.encounters(spark, sf).select(
+        "patient_num", F.date_format("start_date", "yyyy-MM").alias("month"), "encounter_num", known(F.concat(F.lit("v3|s"), (k % 3).cast("string"))).alias("system"),
+        known(F.col("visit_type")).alias("code"), F.when(k % 2 == 0, F.col("start_date")).alias("end_date"),
+    )
+    return visits.merged_classes(e, ["patient_num", "month"], "encounter_num", ["system", "code"], "end_date")
