@@ -141,6 +141,36 @@ def patient_series(encounters: DataFrame) -> DataFrame:
     return listed.select("patient_num", F.to_json(short).alias("visits"))
 
 
+def patient_documents(facts: DataFrame, encounters: DataFrame, patient: str, key: list[str], columns: list[str], visit: str, visit_columns: list[str], order: str) -> DataFrame:
+    """One row a patient that has both: `observation`, composed key -> {column: value}, and `visit`, encounter -> {column: value}, keys in order, and both as one JSON document.
+
+    Of facts of one key the last by order wins; nulls are left out. A patient's
+    facts come together in one row, as the document is the result.
+    """
+    seen = nested(facts, [patient], key, columns, [order])
+    seen = seen.select(patient, F.map_from_entries(F.transform(F.array_sort(F.map_keys("facts")), lambda k: F.struct(k, F.element_at("facts", k)))).alias("observation"))
+    own = encounters.select(patient, F.col(visit).cast("string").alias("_k"), *visit_columns)
+    held = F.map_filter(F.create_map(*[x for c in visit_columns for x in (F.lit(c), F.col(c).cast("string"))]), lambda _, v: v.isNotNull())
+    stays = own.groupBy(patient, "_k").agg(*[F.max(c).alias(c) for c in visit_columns]).groupBy(patient).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", F.to_json(held).alias("v"))))).alias("_v"))
+    stays = stays.select(patient, F.transform_values("_v", lambda _, v: F.from_json(v, "map<string,string>")).alias("visit"))
+    out = seen.join(stays, patient)
+    return out.withColumn("document", F.to_json(F.struct(patient, "observation", "visit")))
+
+
+def patient_year_keys(facts: DataFrame, genes: DataFrame, patient: str) -> DataFrame:
+    """(patient, year, key, n) of facts with patient, year and code: LOINC codes are counted, all others are 1.
+
+    A code `rxnorm:x` becomes medname_x and, through genes (drug, gene), one
+    genename_ a gene of the drug; drugs without genes have none.
+    """
+    drug = F.when(F.col("code").startswith("rxnorm:"), F.substring("code", 8, 1_000_000))
+    met = facts.groupBy(patient, "year", "code").agg(F.count("*").alias("n")).withColumn("drug", drug)
+    name = F.when(F.col("drug").isNotNull(), F.concat(F.lit("medname_"), F.col("drug"))).otherwise(F.col("code"))
+    named = met.select(patient, "year", name.alias("key"), F.when(F.col("code").startswith("LOINC:"), F.col("n")).otherwise(1).alias("n"))
+    active = met.where(F.col("drug").isNotNull()).join(genes.select("drug", "gene").distinct(), "drug").select(patient, "year", F.concat(F.lit("genename_"), F.col("gene")).alias("key"))
+    return named.unionByName(active.distinct().withColumn("n", F.lit(1).cast("long")))
+
+
 def one_hot(facts: DataFrame, keys: list[str], code: str, codes: list[str]) -> DataFrame:
     """One boolean column a code (an explicit list)."""
     return facts.groupBy(*keys).agg(*[F.coalesce(F.bool_or(F.col(code) == c), F.lit(False)).alias(c) for c in codes])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalair.operators import binning, bundles, exposure, profiles, spatial, visits, warehouse
+from vitalair.operators import binning, bundles, exposure, mapping, profiles, spatial, visits, warehouse
 from vitalair.plans import bundle_queries, model_queries, source_queries, table_queries, views, visit_queries, warehouse_queries  # noqa: F401  (each registers its queries)
 from vitalair.plans.catalog import grid_sql, oracle_sql, queries, query, r  # noqa: F401
 from vitalair.sources import tables
@@ -68,9 +68,12 @@ def vv_age(spark, sf):
 _RACE = "CASE WHEN race='Unknown' THEN 'Unknown' " + " ".join(f"WHEN race='{k}' THEN '{v}'" for k, v in visits.RACES.items()) + " ELSE 'Other('||race||')' END"
 
 
-@query(f"SELECT patient_num, birth_date, {_RACE} AS race, CASE gender WHEN 'male' THEN 'Male' WHEN 'female' THEN 'Female' END AS sex FROM patients", day="birth_date")
+@query(f"""SELECT patient_num, birth_date, {_RACE} AS race, CASE gender WHEN 'male' THEN 'Male' WHEN 'female' THEN 'Female' END AS sex,
+CASE patient_num%4 WHEN 0 THEN 'Hispanic' WHEN 1 THEN 'Not Hispanic' ELSE 'Unknown' END AS ethnicity FROM patients""", day="birth_date")
 def mp_demographics(spark, sf):
-    return views.patients(spark, sf).select("patient_num", "birth_date", visits.race(F.col("race")).alias("race"), visits.sex(F.col("gender")).alias("sex"))
+    k = F.col("patient_num") % 4
+    code = F.when(k == 0, "2135-2").when(k == 1, "2186-5").when(k == 2, "x")
+    return views.patients(spark, sf).select("patient_num", "birth_date", visits.race(F.col("race")).alias("race"), visits.sex(F.col("gender")).alias("sex"), mapping.ethnicity(code).alias("ethnicity"))
 
 
 _HITS = " UNION ALL ".join(f"SELECT encounter_num, '{f}' AS feature FROM observations WHERE " + (f"regexp_full_match(concept_cd, '{p}')" if x else f"concept_cd='{p}'") for p, x, f in PATTERNS)

@@ -21,12 +21,13 @@ def wh_prefixed_facts(spark, sf):
     return warehouse.facts_with_prefix(views.observations(spark, sf), ["encounter_num"], "ECONOMY", ["concept_cd", "instance_num", "modifier_cd"], ["nval_num"])
 
 
-_LOCATIONS = ", l AS (SELECT l_orderkey%1500+1 AS patient_num, CASE WHEN l_linenumber%2=0 THEN 'lat' ELSE 'lon' END AS name, l_quantity AS value FROM lineitem WHERE l_linenumber < 4)"
+_LOCATIONS = ", l AS (SELECT o_custkey AS patient_num, CASE WHEN l_linenumber%2=0 THEN 'lat' ELSE 'lon' END AS name, l_quantity AS value FROM lineitem JOIN orders ON l_orderkey=o_orderkey)"
 
 
 def _locations(spark, sf) -> DataFrame:
-    i = views.table(spark, sf, "lineitem").where("l_linenumber < 4")
-    return i.select((F.col("l_orderkey") % 1500 + 1).alias("patient_num"), F.when(F.col("l_linenumber") % 2 == 0, "lat").otherwise("lon").alias("name"), F.col("l_quantity").alias("value"))
+    o = views.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("patient_num"))
+    i = views.table(spark, sf, "lineitem").join(o, "l_orderkey")
+    return i.select("patient_num", F.when(F.col("l_linenumber") % 2 == 0, "lat").otherwise("lon").alias("name"), F.col("l_quantity").alias("value"))
 
 
 @query(f"{_LOCATIONS} SELECT p.patient_num, round(avg(value) FILTER (name='lat'),6) AS lat, round(avg(value) FILTER (name='lon'),6) AS lon FROM patients p LEFT JOIN l USING (patient_num) GROUP BY 1")
@@ -174,3 +175,39 @@ def st_labelled_groups(spark, sf):
 def st_cohort_by_diagnosis(spark, sf):
     o = views.observations(spark, sf).select("encounter_num", F.substring_index("concept_cd", ".", 1).alias("diagnosis")).join(views.encounters(spark, sf), "encounter_num")
     return warehouse.cohort_counts(o, ["visit_type", "diagnosis"], "patient_num", "encounter_num")
+
+
+_CODES = "CASE code WHEN 'ECONOMY' THEN 'LOINC:1-1' WHEN 'PROMO' THEN 'rxnorm:11' WHEN 'SMALL' THEN 'rxnorm:12' WHEN 'LARGE' THEN 'rxnorm:13' ELSE 'ICD9:'||code END"
+
+
+@query(f""", f AS (SELECT patient_num, year(e.start_date)::INT AS year, {_CODES.replace('code ', "split_part(concept_cd,'.',1) ").replace('||code', "||split_part(concept_cd,'.',1)")} AS code FROM observations JOIN encounters e USING (encounter_num)),
+g AS (SELECT DISTINCT (11+p_partkey%2)::VARCHAR AS drug, p_brand AS gene FROM part),
+n AS (SELECT patient_num, year, replace(code, 'rxnorm:', 'medname_') AS key, CASE WHEN code LIKE 'LOINC:%' THEN count(*) ELSE 1 END AS n FROM f GROUP BY patient_num, year, code)
+SELECT * FROM n UNION ALL SELECT DISTINCT patient_num, year, 'genename_'||gene, 1 FROM f JOIN g ON code='rxnorm:'||drug""")
+def py_medications_and_genes(spark, sf):
+    """Patient years with medication names and the genes of each drug; one drug has none."""
+    code, brand = F.substring_index("concept_cd", ".", 1), views.table(spark, sf, "part")
+    named = F.when(code == "ECONOMY", "LOINC:1-1").when(code == "PROMO", "rxnorm:11").when(code == "SMALL", "rxnorm:12").when(code == "LARGE", "rxnorm:13").otherwise(F.concat(F.lit("ICD9:"), code))
+    e = views.encounters(spark, sf).select("encounter_num", "patient_num", F.year("start_date").alias("year"))
+    facts = views.observations(spark, sf).select("encounter_num", named.alias("code")).join(e, "encounter_num")
+    genes = brand.select((11 + F.col("p_partkey") % 2).cast("string").alias("drug"), F.col("p_brand").alias("gene"))
+    return warehouse.patient_year_keys(facts, genes, "patient_num")
+
+
+@query(""", o AS (SELECT patient_num, concat_ws('_', encounter_num, concept_cd, instance_num, modifier_cd) AS k, nval_num, o.start_date FROM observations o JOIN encounters e USING (encounter_num)),
+w AS (SELECT patient_num, k, strftime(max(start_date), '%Y-%m-%d') AS s, arg_max(nval_num, start_date)::INT::VARCHAR AS v FROM o GROUP BY ALL),
+a AS (SELECT patient_num, count(*)::INT AS observations, md5(string_agg(k||'='||s||'/'||v, '|' ORDER BY k)) AS seen FROM w GROUP BY 1),
+b AS (SELECT patient_num, count(*)::INT AS visits, string_agg(encounter_num||'='||visit_type, '|' ORDER BY encounter_num::VARCHAR) AS stays FROM encounters GROUP BY 1) SELECT * FROM a JOIN b USING (patient_num)""")
+def wh_patient_documents(spark, sf):
+    """Documents of patients with their observation and visit maps, read back as digests of the maps in order."""
+    e = views.encounters(spark, sf)
+    o = views.observations(spark, sf).join(e.select("encounter_num", "patient_num"), "encounter_num").withColumn("day", F.date_format("start_date", "yyyy-MM-dd")).withColumn("n", F.col("nval_num").cast("int"))
+    docs = warehouse.patient_documents(o, e, "patient_num", ["encounter_num", "concept_cd", "instance_num", "modifier_cd"], ["day", "n"], "encounter_num", ["visit_type"], "day")
+    kind = "struct<observation map<string,map<string,string>>, visit map<string,map<string,string>>>"
+    d = docs.select("patient_num", F.from_json("document", kind).alias("d"))
+    listed = lambda c, f: F.array_join(F.transform(F.array_sort(F.map_entries(c)["key"]), lambda k: F.concat(k, F.lit("="), f(F.element_at(c, k)))), "|")
+    obs, visit = F.col("d.observation"), F.col("d.visit")
+    return d.select(
+        "patient_num", F.size(obs).alias("observations"), F.md5(listed(obs, lambda m: F.concat_ws("/", F.element_at(m, "day"), F.element_at(m, "n")))).alias("seen"),
+        F.size(visit).alias("visits"), listed(visit, lambda m: F.element_at(m, "visit_type")).alias("stays"),
+    )
