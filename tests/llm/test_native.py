@@ -135,8 +135,8 @@ def test_chats(spark):
     got = sorted(map(tuple, q5.reply_ordered(df).collect()), key=repr)
     want = [
         (1, 0, "user", "First point here.\nSecond  point.", None, None, 0, 0, 0), (1, 1, "assistant", "My answer.", 1, 0, 0, 1, 1), (1, 2, "user", "Thanks", 1, 1, 0, 2, 2),
-        (1, 3, "user", "no quote", None, None, 3, 0, 0), (1, 4, "assistant", "ok", None, None, 4, 0, 0), (2, 0, "user", "from elsewhere", 1, 2, 0, 0, 1), (2, 0, "user", "from elsewhere", 1, 2, 0, 0, 1),
-        (3, 0, "user", "", None, None, 0, 0, 0), (3, 1, "assistant", "", None, None, 1, 0, 0), (None, 2, "user", "", None, None, 2, 0, 0), (4, None, "user", "x", None, None, None, 0, 0),
+        (1, 3, "user", "no quote", None, None, 3, 0, 0), (1, 4, "assistant", "> nobody said this\nok", None, None, 4, 0, 0), (2, 0, "user", "from elsewhere", 1, 2, 0, 0, 1), (2, 0, "user", "from elsewhere", 1, 2, 0, 0, 1),
+        (3, 0, "user", "", None, None, 0, 0, 0), (3, 1, "assistant", "", None, None, 1, 0, 0), (None, 2, "user", "> Thanks", None, None, 2, 0, 0), (4, None, "user", "x", None, None, None, 0, 0),
     ]
     places = {(1, 1): 1, (1, 2): 2}  # second and third of the thread that begins at turn 0; the rows of (2, 0) are two places of one thread
     twice = iter((0, 1))

@@ -19,7 +19,7 @@ def parsed(text):
 
 
 def brute(rows):
-    """(conv, turn) -> (from conv, from turn, number of quoted lines with a source)."""
+    """(conv, turn) -> (from conv, from turn, number of quoted lines with a source), and (conv, turn) -> text without those lines."""
     own = {}
     for conv, turn, _, text in rows:
         own.setdefault((conv, turn), []).append([b for level, b in parsed(text) if not level])
@@ -27,7 +27,7 @@ def brute(rows):
     def holds(place, want):
         return any(o[i : i + len(want)] == want for o in own[place] for i in range(len(o) - len(want) + 1))
 
-    cache, out = {}, {}
+    cache, out, texts = {}, {}, {}
     for conv, turn, _, text in rows:
         lines, quotes = parsed(text), set()
         for i, (level, body) in enumerate(lines):
@@ -38,7 +38,7 @@ def brute(rows):
                     while j < len(lines) and lines[j][0] == level:
                         j += 1
                     quotes.add((level, tuple(b for _, b in lines[i:j])))
-        best, n = None, 0
+        best, n, gone = None, 0, set()
         for level, want in quotes:
             if want not in cache:
                 cache[want] = sorted(p for p in own if holds(p, list(want)))
@@ -48,9 +48,17 @@ def brute(rows):
                 rank = (0, level, -len(want), -near[-1], conv) if near else (1, level, -len(want), -far[0][1], far[0][0])
                 best = min(best or rank, rank)
                 n += len(want) == 1
+                gone |= set(want) if len(want) == 1 else set()
         if best:
             out[conv, turn] = (best[4], -best[3], n)
-    return out
+        kept = []
+        for x in re.split("\r?\n", text or ""):
+            said = parsed(x)
+            quoted = re.match(q5.MARK, x)
+            if not (quoted and (not said or said[0][1] in gone)):
+                kept.append(x)
+        texts[conv, turn] = "\n".join(kept).strip(" ") if gone else text
+    return out, texts
 
 
 def test_random_nested_quotes(spark):
@@ -65,22 +73,31 @@ def test_random_nested_quotes(spark):
                     source = rng.choice(said).split("\n")
                     a = rng.randrange(len(source))
                     lines += [("> " if rng.random() < 0.5 else ">") + x for x in source[a : a + rng.randint(1, 9)]]
+            if rng.random() < 0.15:
+                lines += [f"> said nowhere {rng.randrange(9)}", ">> > nor this", ">"][: rng.randint(1, 3)]
             lines += [rng.choice(["yes", "Thanks  a lot", "no"]) if rng.random() < 0.2 else f"line {rng.randrange(400)} {rng.randrange(3)}" for _ in range(rng.randint(1, 9))]
             said.append("\n".join(lines))
             rows.append((conv, turn, "user", said[-1]))
-    want = brute(rows)
+    want, texts = brute(rows)
     assert len(rows) > 2000 and len(want) > 800
     got = q5.reply_ordered(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.n_quotes) for r in got if r.reply_conv is not None} == want
     places = {}
     for r in got:
         places.setdefault((r.conv_id, r.root_turn), []).append((r.turn, r.place))
-        assert ">" not in r.text
+        assert r.text == texts[r.conv_id, r.turn]
         if r.reply_conv == r.conv_id:
             assert r.root_turn <= r.reply_turn < r.turn
     assert all([p for _, p in sorted(own)] == list(range(len(own))) for own in places.values())
 
 
+def test_quotes_without_a_source_stay(spark):
+    text = "Please run:\n>>> print(1)\n> to be or not to be\nthat is Shakespeare"
+    rows = [(1, 0, "user", text), (2, 0, "user", "print(2)"), (2, 1, "user", "> print(2)\n>\n> and more\n\nworks"), (3, 0, "user", "> only this"), (3, 1, "user", "only this"), (3, 2, "user", ">only this")]
+    got = {(r.conv_id, r.turn): r.text for r in q5.reply_ordered(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(1, 0): text, (2, 0): "print(2)", (2, 1): "> and more\n\nworks", (3, 0): "> only this", (3, 1): "only this", (3, 2): ""}
+
+
 def test_a_line_that_two_conversations_hold(spark):
     rows = [(1, 0, "user", "> shared words\nmine"), (1, 5, "user", "shared words"), (2, 0, "user", "Shared  words")]
     got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in q5.reply_ordered(spark.createDataFrame(rows, SCHEMA)).collect()}

@@ -23,16 +23,18 @@ WINDOWS = (1, 2, 4, 8)  # lines that a passage is first found by: as many of the
 MESSAGE = ["conv_id", "turn", "_t"]  # a message is known by its place and a hash of its text
 
 
+def _line(x: Column) -> Column:
+    """struct(level, body) of one line: how deep it is quoted, and what it says, normalised."""
+    mark = F.regexp_extract(x, MARK, 1)
+    body = F.lower(F.trim(F.regexp_replace(F.regexp_replace(x, MARK, ""), r"\s+", " ")))
+    return F.struct((F.length(mark) - F.length(F.replace(mark, F.lit(">")))).alias("level"), body.alias("body"))
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
     """Add `_lines`: array<struct<level, body>> of the lines that aren't blank, normalised."""
 
-    def line(x: Column) -> Column:
-        mark = F.regexp_extract(x, MARK, 1)
-        body = F.lower(F.trim(F.regexp_replace(F.regexp_replace(x, MARK, ""), r"\s+", " ")))
-        return F.struct((F.length(mark) - F.length(F.replace(mark, F.lit(">")))).alias("level"), body.alias("body"))
-
     known = messages.where("conv_id is not null and turn is not null and text is not null").select("conv_id", "turn", F.xxhash64("text").alias("_t"), "text")
-    return known.withColumn("_lines", F.filter(F.transform(F.split("text", NEWLINE), line), lambda x: x["body"] != ""))
+    return known.withColumn("_lines", F.filter(F.transform(F.split("text", NEWLINE), _line), lambda x: x["body"] != ""))
 
 
 def _let(value: Column, use) -> Column:
@@ -89,8 +91,8 @@ def _sources(messages: DataFrame, wanted: DataFrame) -> DataFrame:
     return bodies.join(same, ["key", "h", "body"]).select("conv_id", "turn", "h", "body")
 
 
-def parents(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, from_conv, from_turn, n_quotes) of each message with quotes that have a source; n_quotes counts different quoted lines with one."""
+def links(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, n_lines, h, body, from_conv, from_turn): the quoted passages that have a source, stored."""
     quoted = materialise(passages(messages).withColumn("h", F.xxhash64("body")).distinct(), "quoted")
     wanted = materialise(quoted.select("key", "window", "n_lines", "h", "body").distinct(), "wanted")
     held = materialise(_sources(messages, wanted).distinct(), "sources")
@@ -108,6 +110,11 @@ def parents(messages: DataFrame) -> DataFrame:
     is_near = F.col("near_turn").isNotNull()
     from_conv = F.when(is_near, F.col("conv_id")).otherwise(other["conv_id"])
     found = found.select("conv_id", "turn", "level", "n_lines", "h", "body", from_conv.alias("from_conv"), F.when(is_near, F.col("near_turn")).otherwise(other["turn"]).alias("from_turn")).where("from_turn is not null")
+    return materialise(found, "links")
+
+
+def parents(found: DataFrame) -> DataFrame:
+    """(conv_id, turn, from_conv, from_turn, n_quotes) of each message with links; n_quotes counts different quoted lines with a source."""
     best = F.struct(F.when(F.col("from_conv") == F.col("conv_id"), 0).otherwise(1), "level", (-F.col("n_lines")).alias("size"), (-F.col("from_turn")).alias("late"), "from_conv")
     first = found.groupBy("conv_id", "turn").agg(F.min(best).alias("b"), F.count_if(F.col("n_lines") == 1).alias("n_quotes"))
     return first.select("conv_id", "turn", F.col("b.from_conv").alias("from_conv"), (-F.col("b.late")).alias("from_turn"), "n_quotes")
@@ -126,10 +133,24 @@ def threads(replies: DataFrame) -> DataFrame:
     return step
 
 
+def without_quotes(messages: DataFrame, found: DataFrame) -> DataFrame:
+    """(conv_id, turn, _t, clean): texts of messages with links, without the quoted lines that have a source and without empty quoted lines; other quotes stay."""
+    gone = found.where("n_lines = 1").select("conv_id", "turn", "body", F.lit(True).alias("_gone")).distinct()
+    texts = messages.where(F.col("text").rlike("(?m)" + MARK)).select("conv_id", "turn", F.xxhash64("text").alias("_t"), "text").distinct()
+    texts = texts.join(gone.select("conv_id", "turn").distinct().hint("merge"), ["conv_id", "turn"], "left_semi")
+    lines = texts.select(*MESSAGE, F.posexplode(F.split("text", NEWLINE)).alias("at", "line")).withColumn("l", _line(F.col("line"))).select(*MESSAGE, "at", "line", "l.*")
+    quoted = lines.where("level > 0 and body != ''").join(gone.hint("merge"), ["conv_id", "turn", "body"], "left").where("_gone is null")
+    kept = lines.where("level = 0").select(*MESSAGE, "at", "line").unionByName(quoted.select(*MESSAGE, "at", "line"))
+    joined = kept.groupBy(*MESSAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("clean"))
+    return texts.select(*MESSAGE).join(joined.hint("merge"), MESSAGE, "left").select(*MESSAGE, F.trim(F.coalesce("clean", F.lit(""))).alias("clean"))
+
+
 def reply_ordered(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text without quotes, reply_conv, reply_turn, root_turn, depth, place, n_quotes for every row.
+    """conv_id, turn, role, text without linked quotes, reply_conv, reply_turn, root_turn, depth, place, n_quotes for every row.
 
-    A message without a linked quote is its own root at depth 0. place counts the
+    Quoted lines go only where they have a source; others, in a message with links
+    or without, are part of the text. A message without a linked quote is its own
+    root at depth 0. place counts the
     messages of a thread (conv_id, root_turn) from 0, replies after what they reply
     to: order by conv_id, root_turn, place to read a conversation. Rows with equal
     conv_id and turn share their links; null texts become empty; rows without
@@ -137,12 +158,12 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     any number of lines are handled whole; an empty table gives no rows; other
     columns are ignored.
     """
-    replies = materialise(parents(messages), "replies")
+    found = links(messages)
+    replies = materialise(parents(found), "replies")
     known = materialise(replies.join(threads(replies), ["conv_id", "turn"], "left"), "threads")
-    text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, NEWLINE), lambda x: ~x.rlike(MARK))
-    clean = F.when(text.rlike("(?m)" + MARK), F.trim(F.array_join(lines, "\n"))).otherwise(text)
-    said = messages.select("conv_id", "turn", "role", clean.alias("text")).join(known, ["conv_id", "turn"], "left")
+    clean = materialise(without_quotes(messages, found), "texts")
+    said = messages.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("_t")).join(clean.hint("merge"), MESSAGE, "left")
+    said = said.select("conv_id", "turn", "role", F.coalesce("clean", "text", F.lit("")).alias("text")).join(known, ["conv_id", "turn"], "left")
     said = said.withColumn("root_turn", F.coalesce("root_turn", "turn"))
     loose = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.monotonically_increasing_id())  # no thread holds them all
     in_thread = Window.partitionBy("conv_id", "root_turn", "_loose").orderBy("turn", "role", "text")
