@@ -92,3 +92,13 @@ def test_empty(spark):
     df = spark.createDataFrame([("a", "b")], "system string, code string")
     assert p.matched(df, F.col("system"), F.col("code"), p.indexed(none)).count() == 0
     assert p.matched(df.limit(0), F.col("system"), F.col("code"), p.indexed(spark.createDataFrame([("f", "*", None, "*", None)], p.SCHEMA))).count() == 0
+
+
+def test_a_table_of_code_patterns_is_the_list(spark):
+    from vitalair.operators.visits import feature_map
+
+    listed = [("A.*", True, "a"), ("B\\.[01]", True, "b"), ("C.1", False, "c"), (".*1", True, "one")]
+    codes = spark.createDataFrame([(x,) for x in ("A", "A.1", "B.1", "B.2", "C.1", "CX1", "Cx", None)], "code string")
+    table = spark.createDataFrame(listed, "code string, code_is_regex boolean, feature string")
+    want = sorted(map(tuple, feature_map(codes, "code", listed).collect()))
+    assert sorted(map(tuple, feature_map(codes, "code", table).collect())) == want and len(want) == 8

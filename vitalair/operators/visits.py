@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalair.operators.patterns import indexed, matched
+from vitalair.sources.tables import stored
+
 #: Race codes and their names.
 RACES = {"2106-3": "Caucasian", "2054-5": "African American", "2028-9": "Asian", "2076-8": "Native Hawaiian/Pacific Islander", "1002-5": "American/Alaskan Native"}
 
@@ -25,12 +28,17 @@ def age_years(birth: Column, at: Column) -> Column:
     return (F.months_between(F.to_date(at), birth) / 12).cast("int")
 
 
-def feature_map(codes: DataFrame, code: str, patterns: list[tuple[str, bool, str]]) -> DataFrame:
+def feature_map(codes: DataFrame, code: str, patterns: DataFrame | list[tuple[str, bool, str]]) -> DataFrame:
     """(code, feature) of distinct codes: patterns match whole codes, as regular expressions or as they stand.
 
-    Patterns are a short literal list, so each distinct code meets each pattern once.
+    A table of patterns (code, code_is_regex, feature), of any size, goes through the
+    pattern index. A short literal list is tried in place: each distinct code meets
+    each of its patterns once.
     """
     distinct = codes.select(code).distinct()
+    if isinstance(patterns, DataFrame):
+        every = patterns.withColumns({"system": F.lit("*"), "system_is_regex": F.lit(None).cast("boolean")})
+        return matched(distinct, F.lit(""), F.col(code), stored(indexed(every), "index"))
     hits = [F.when(F.col(code).rlike(f"^(?:{p})$") if is_regex else F.col(code) == p, F.lit(f)) for p, is_regex, f in patterns]
     return distinct.select(code, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("feature"))
 
