@@ -72,4 +72,4 @@ def test_patient_table_by_hand(spark):
 def test_names_of_wide_facts(spark):
     f = spark.createDataFrame([(1, "b", 2, 5.0), (1, "b", 1, 4.0), (1, "a", 1, 3.0), (2, "c", 1, 2.0)], "k int, name string, instance_num int, v double")
     assert [tuple(r) for r in warehouse.names_table(f, "name").orderBy("place").collect()] == [(1, "a"), (2, "b"), (3, "c")]
-    assert {r.k: r.v for r in warehouse.wide_by_name(f, ["k"], "name", ["v"], ["a", "b", "c"]).collect()} == {1: [3.0, 4.0, None], 2: [None, None, 2.0]}
+    assert {r.k: r.v for r in warehouse.wide_by_name(f, ["k"], "name", ["v"], warehouse.names_table(f, "name")).collect()} == {1: [3.0, 4.0, None], 2: [None, None, 2.0]}
