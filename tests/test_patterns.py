@@ -102,3 +102,12 @@ def test_a_table_of_code_patterns_is_the_list(spark):
     table = spark.createDataFrame(listed, "code string, code_is_regex boolean, feature string")
     want = sorted(map(tuple, feature_map(codes, "code", listed).collect()))
     assert sorted(map(tuple, feature_map(codes, "code", table).collect())) == want and len(want) == 8
+
+
+def test_small_files_are_not_broadcast(spark):
+    """A file's size says little of its rows: neither side may go through the driver."""
+    codings = spark.createDataFrame([("S", "A1")], "system string, code string")
+    patterns = spark.createDataFrame([("f", "S", False, "A*", None)], p.SCHEMA)
+    met = p.matched(codings, F.col("system"), F.col("code"), p.indexed(patterns))
+    assert [tuple(r) for r in met.collect()] == [("S", "A1", "f")]
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()

@@ -128,7 +128,8 @@ def matched(codings: DataFrame, system: Column, code: Column, index: DataFrame)
     """codings' columns and feature: one row for each coding and pattern that fit; codings without system or code fit none.
 
     index is `indexed`, stored if it is used again. Short starts, which very many codings share, are copied to
-    as many places as there are partitions and the codings dealt over them.
+    as many places as there are partitions and the codings dealt over them. Both sides are shuffled and sorted:
+    neither is broadcast, as their files' sizes say little of their rows.
     """
     spark = codings.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -145,4 +146,4 @@ def matched(codings: DataFrame, system: Column, code: Column, index: DataFrame)
     keyed = codings.where(system.isNotNull() & code.isNotNull()).select(row, system.alias("system"), code.alias("code"), F.explode(systems).alias("system_key"), F.array(*keys).alias("keys"))
     keyed = keyed.select("row", "system", "code", "system_key", F.explode(F.filter("keys", lambda k: k["code_key"].isNotNull())).alias("k")).select("row", "system", "code", "system_key", "k.*")
     fits = lambda c: F.col(f"{c}_regex").isNull() | F.rlike(F.col(c), F.col(f"{c}_regex"))
-    return keyed.join(spread, ["system_key", "code_key", "place"]).where(fits("code") & fits("system")).select("row.*", "feature")
+    return keyed.join(spread.hint("merge"), ["system_key", "code_key", "place"]).where(fits("code") & fits("system")).select("row.*", "feature")
