@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitalair.operators.quantiles import exact_quantiles
@@ -85,3 +86,21 @@ def test_quantiles_of_more_values_than_the_sketch_holds(spark):
     assert every.n == len(values) and np.allclose(every.quantiles, np.quantile(values, shares), rtol=1e-12)
     for r in exact_quantiles(df, ["k"], "v", shares).collect():
         assert np.allclose(r.quantiles, np.quantile(values[r.k :: 2], shares), rtol=1e-12)
+
+
+@pytest.mark.parametrize("few", [50_000, 1])
+def test_no_task_holds_all_rows_of_a_frequent_key(spark, few):
+    """Rows meet their brackets where they lie, or in parts of a key; by key they are never shuffled."""
+    from vitalair.operators import quantiles
+
+    rows = spark.range(0, 20_000, 1, 4).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("_v"))
+    brackets = spark.createDataFrame([(k, [1.0], [2.0]) for k in range(3)], "k long, _low array<double>, _high array<double>")
+    met = quantiles._with_brackets(rows, brackets, ["k"], few)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r.n for r in met.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 20_000 and len(sizes) == 4 and max(sizes) < 10_000
+    plan = exact_quantiles(rows.withColumnRenamed("_v", "v"), ["k"], "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalair.sources.tables import stored
+
 ACCURACY = 10_000  # the sketch's ranks are off by n / ACCURACY at most
+FEW_KEYS = 50_000  # brackets of so many keys are sent to every task; those of more are joined
+SALTS = 16  # parts of a key's rows in that join
+
+
+def _with_brackets(rows: DataFrame, brackets: DataFrame, own: list[str], few: int) -> DataFrame:
+    if brackets.count() <= few:
+        return rows.join(F.broadcast(brackets), own)
+    salted = brackets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")).join(salted.hint("merge"), [*own, "_salt"]).drop("_salt")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
@@ -16,7 +27,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[flo
     from its least to its greatest. The second pass counts values within brackets
     one by one and all others by the gap they fall in, summed up before the shuffle,
     so some thousandths of the values are ranked. A bracket that should miss its
-    quantile, which the sketch's bound rules out, is an error.
+    quantile, which the sketch's bound rules out, is an error. Rows meet the
+    brackets where they are, or, with very many keys, in SALTS parts a key, so a key
+    of very many rows isn't held by one task.
     """
     own = keys or ["_all"]
     rows = (df if keys else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull()).select(*own, F.col(value).alias("_v"))
@@ -30,7 +43,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[flo
     brackets = sketch.select(*own, F.array(*low).alias("_low"), F.array(*high).alias("_high"))
     lows, highs = ([F.col(c)[i] for i in range(len(order))] for c in ("_low", "_high"))
     if keys:
-        met = rows.join(brackets, own)
+        brackets = stored(brackets, "brackets")
+        met = _with_brackets(rows, brackets, own, FEW_KEYS)
     else:  # the brackets are one row
         met, one = rows, brackets.first()
         lows, highs = ([F.lit(v) for v in (one[c] if one else [None] * len(order))] for c in ("_low", "_high"))
