@@ -82,3 +82,21 @@ def test_survey_rows_without_a_patient_stay_alone(spark):
     got = sorted((tuple(r[c] for c in ("hk", "p", "visit", "q", "IN_EPR", "IN_ICEES", "year", "index")) for r in named.collect()), key=repr)
     want = [("h1", 1, "v1", 5, 1, 1, 1996, 0), ("h1", 1, "v2", 5, 1, 1, 1996, 0), ("h2", None, None, 6, 1, 0, 1996, 1), ("h3", None, None, 7, 1, 0, 1996, 2), (None, 2, "v3", None, 0, 1, 1996, 3)]
     assert got == sorted(want, key=repr) and not {"hk", "p"} & set(bare.columns)
+
+
+def test_an_extract_is_read_once(spark, tmp_path):
+    from vitalair.operators import bundles
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    schema = "id string, birth_date string, gender string, race array<string>, ethnicity array<string>, address array<string>"
+    for year, gender in ((2010, "male"), (2011, "other")):
+        rows = spark.createDataFrame([(str(i), "2000-01-01", gender, ["a"], [], []) for i in range(50)], schema)
+        bundles.merge_into(spark, str(tmp_path / "m"), rows.mapInPandas(counted, schema), year)
+    assert read.value == 100
+    assert spark.read.parquet(f"{tmp_path}/m/patients").where("gender = 'male' and gender_year = 2010").count() == spark.read.parquet(f"{tmp_path}/m/conflicts").count() == 50

@@ -165,12 +165,18 @@ def merged_year(known: DataFrame | None, extract: DataFrame, year: int) -> tuple
     in order. The first value of a field stays; each later one that differs is a row
     of conflicts: id, field, kept, other, kept_year, year. Years are merged in order.
     """
-    own = _year_rows(extract, year)
-    if known is None:
-        none = {c: F.lit(None).cast(t) for f in FIELDS for c, t in ((f, extract.schema[f].dataType), (f"{f}_year", "int"))}
-        met = own.withColumns(none | {c: F.lit(None).cast(extract.schema[c].dataType) for c in LISTS})
-    else:
-        met = known.join(own, "id", "full")
+    return _merged(_met(known, _year_rows(extract, year), extract), extract, year)
+
+
+def _met(known: DataFrame | None, own: DataFrame, extract: DataFrame) -> DataFrame:
+    """Known patients and a year's rows, side by side."""
+    if known is not None:
+        return known.join(own, "id", "full")
+    none = {c: F.lit(None).cast(t) for f in FIELDS for c, t in ((f, extract.schema[f].dataType), (f"{f}_year", "int"))}
+    return own.withColumns(none | {c: F.lit(None).cast(extract.schema[c].dataType) for c in LISTS})
+
+
+def _merged(met: DataFrame, extract: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
     kept = {c: F.coalesce(c, F.get(f"_{c}", F.lit(0))) for c in FIELDS}
     since = {f"{c}_year": F.when(F.col(c).isNotNull(), F.col(f"{c}_year")).when(F.size(f"_{c}") > 0, F.col("_year")) for c in FIELDS}
     united = {c: F.array_union(F.coalesce(c, F.array().cast(extract.schema[c].dataType)), F.coalesce(f"_{c}", F.array().cast(extract.schema[c].dataType))) for c in LISTS}
@@ -189,21 +195,22 @@ def merge_into(spark: SparkSession, path: str, extract: DataFrame, year: int, pa
     """Merge one more year into the patients stored under path, and write the year's conflicts.
 
     Patients lie in folders by a hash of their id. Only folders with patients of the
-    extract are read and replaced; the merged rows are stored before any is, so a
-    run that breaks off can be repeated.
+    extract are read and replaced. The extract is read once, and the rows that meet
+    are stored before any folder is replaced, so a run that breaks off can be repeated.
     """
-    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part")
+    own = stored(_year_rows(extract, year).select("*", part), "year")  # the extract is read once
     try:
         known = spark.read.parquet(f"{path}/patients")
     except AnalysisException:  # the first year
         known = None
     if known is not None:
-        touched = [r[0] for r in extract.select(part.alias("part")).distinct().collect()]  # `parts` numbers at most
+        touched = [r[0] for r in own.select("part").distinct().collect()]  # `parts` numbers at most
         known = known.where(F.col("part").isin(touched)).drop("part")
-    patients, conflicts = merged_year(known, extract, year)
+    met = stored(_met(known, own.drop("part"), extract), "met")
+    patients, conflicts = _merged(met, extract, year)
     conflicts.write.mode("overwrite").parquet(f"{path}/conflicts/year={year}")
-    ready = stored(patients.withColumn("part", part), "merged")
-    ready.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{path}/patients")
+    patients.select("*", part).repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{path}/patients")
 
 
 def address_reason(lats: Column, lons: Column) -> Column:

@@ -17,7 +17,7 @@ def _json(kind: str, *fields) -> F.Column:
 
 def _patient_text(spark, sf, year: int = 2010) -> DataFrame:
     """One bare resource a patient; in 2011 some have another gender and a further race."""
-    p, k = views.patients(spark, sf), F.col("patient_num")
+    p, k = views.patients(spark, sf).repartition("patient_num"), F.col("patient_num")  # few splits hold many patients; texts are made in many tasks
     gender = F.when((k % 13 == 0) & F.lit(year == 2011), "other").otherwise(F.col("gender"))
     race = F.when((k % 5 == 0) & F.lit(year == 2011), "2028-9").otherwise(F.col("race"))
     direct = k % 2 == 0
