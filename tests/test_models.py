@@ -91,3 +91,15 @@ def test_cross_validation_counts_what_is_held_out(spark):
     assert scores[0.01] < scores[10.0] - 0.2
     best = models.fit_pruned(df, ["a", "b", "c"], "label", "id", (0.01, 10.0), depth=4)
     assert 1 < models.leaves(best) < 16
+
+
+def test_pruned_tree_counts_visits_once(spark, sf, monkeypatch):
+    from vitalair.operators import warehouse
+    from vitalair.plans import model_queries
+
+    calls, count = [], warehouse.before_and_after
+    monkeypatch.setattr(warehouse, "before_and_after", lambda e, *a: calls.append(1) or count(e, *a))
+    got = model_queries.ml_pruned_tree(spark, sf)
+    want = count(model_queries.views.encounters(spark, sf)).selectExpr("encounter_num", "pre_ed", "cast(least(post_ed, 3) as double) post_bin")
+    assert len(calls) == 1 and got.columns == ["encounter_num", "pre_ed", "pm", "PROMO", "SMALL", "post_bin", "predicted"]
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))

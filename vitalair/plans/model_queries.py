@@ -44,24 +44,29 @@ def ml_network(spark, sf):
     return models.scored(models.fit_network(rows, ["l_quantity", "l_discount", "day"], ["kept", "returned"], [6], epochs=20), rows)
 
 
+def _scoring(spark, sf) -> DataFrame:
+    """All visits with visits of the year before and after from one window, exposure or its default, code flags."""
+    e = views.encounters(spark, sf).withColumn("cell", F.col("patient_num") % 100)
+    x = views.readings(spark, sf).where("value > 30").groupBy("cell", F.to_date("ts").alias("day")).agg(r(F.avg("value")).alias("pm"))
+    o = views.observations(spark, sf).where("modifier_cd = 'A'").withColumn("code", F.substring_index("concept_cd", ".", 1))
+    around = warehouse.before_and_after(views.encounters(spark, sf))
+    out = models.scoring_rows(e, around, x, warehouse.one_hot(o, ["encounter_num"], "code", ["PROMO", "SMALL"]), "encounter_num", ["cell", "day"], "pm", 2.5)
+    return out.select("encounter_num", "pre_ed", "post_ed", "pm", "PROMO", "SMALL")
+
+
 @query(f"""{_COUNTS}, x AS (SELECT cell, ts::DATE AS day, round(avg(value),6) AS pm FROM readings WHERE value > 30 GROUP BY ALL), f AS (SELECT encounter_num, bool_or(concept_cd LIKE 'PROMO%') AS PROMO, bool_or(concept_cd LIKE 'SMALL%') AS SMALL FROM observations WHERE modifier_cd='A' GROUP BY 1)
 SELECT encounter_num, pre_ed, coalesce(pm, 2.5) AS pm, coalesce(PROMO, false) AS PROMO, coalesce(SMALL, false) AS SMALL FROM encounters e JOIN c USING (encounter_num) LEFT JOIN x ON x.cell = e.patient_num % 100 AND x.day = e.day LEFT JOIN f USING (encounter_num)""")
 def ml_scoring_rows(spark, sf):
     """All visits with what the tree scores: visits of the year before, exposure or its default, code flags."""
-    e = views.encounters(spark, sf).withColumn("cell", F.col("patient_num") % 100)
-    x = views.readings(spark, sf).where("value > 30").groupBy("cell", F.to_date("ts").alias("day")).agg(r(F.avg("value")).alias("pm"))
-    o = views.observations(spark, sf).where("modifier_cd = 'A'").withColumn("code", F.substring_index("concept_cd", ".", 1))
-    before = warehouse.before_and_after(views.encounters(spark, sf)).drop("post_ed")
-    out = models.scoring_rows(e, before, x, warehouse.one_hot(o, ["encounter_num"], "code", ["PROMO", "SMALL"]), "encounter_num", ["cell", "day"], "pm", 2.5)
-    return out.select("encounter_num", "pre_ed", "pm", "PROMO", "SMALL")
+    return _scoring(spark, sf).drop("post_ed")
 
 
 @query(None)
 def ml_pruned_tree(spark, sf):
     """All visits scored by a pruned tree on what ml_scoring_rows gives: the class of later emergency visits."""
-    after = warehouse.before_and_after(views.encounters(spark, sf)).select("encounter_num", models.visit_count_bin(F.col("post_ed")).cast("double").alias("post_bin"))
     flags = [F.col(c).cast("int").alias(c) for c in ("PROMO", "SMALL")]
-    rows = tables.stored(ml_scoring_rows(spark, sf).select("encounter_num", "pre_ed", "pm", *flags).join(after, "encounter_num"), "scoring")
+    after = models.visit_count_bin(F.col("post_ed")).cast("double").alias("post_bin")
+    rows = tables.stored(_scoring(spark, sf).select("encounter_num", "pre_ed", "pm", *flags, after), "scoring")
     tree = models.fit_pruned(rows, ["pre_ed", "pm", "PROMO", "SMALL"], "post_bin", "encounter_num")
     return rows.withColumn("predicted", models.tree_class(tree))
 
