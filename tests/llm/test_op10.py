@@ -1,8 +1,11 @@
+import json
 import random
 import time
 
+from pyspark.sql import functions as F
+
 from vitalair.llm import wrapper as wr
-from vitalair.llm.q10_extraction import main_texts
+from vitalair.llm.q10_extraction import main_texts, wrappers
 
 SHELL = "<html><head><title>t</title></head><body><div class='nav'><a>Home</a></div><div id=top>Site of ours</div><div id=c>{}</div><div class='footer'>(c)</div></body></html>"
 NONE = wr.NONE
@@ -115,3 +118,65 @@ def test_very_many_siblings():
     began = time.time()
     wrapper = wr.loaded(wr.induce(pages))
     assert all(wr.extract(p, wrapper) for p in pages) and time.time() - began < 30
+
+
+def parts_of(i, n=3):
+    rng = random.Random(1000 + i)
+    return [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(9999)}" for _ in range(9)) for _ in range(n)]
+
+
+def rare_pages():
+    """A host of 90 pages: a notice that eight of them have in a slot of their own, and an article that was published five times with other words here and there in a block named after it."""
+    out = []
+    for i in range(90):
+        own = parts_of(i)
+        notice = "<div class=k31>Offered to you by the society of friends</div>" if i % 12 == 5 else ""
+        body = "<p>" + "</p><p>".join(own) + "</p>"
+        if i >= 85:
+            own = [t if k else f"{t} again{i}" for k, t in enumerate(parts_of(85))]
+            body = "<div id=post-85><p>" + "</p><p>".join(own) + "</p></div>"
+        out.append((f"<div class=q>Our name</div><article>{notice}{body}</article>", own))
+    return out
+
+
+def test_constant_texts_are_counted_over_all_pages(spark):
+    """A text of eight pages in ninety is template; copies of an article are not, though they are alike in a slot of their own."""
+    pages = rare_pages()
+    df = spark.createDataFrame([(i, f"https://x.net/{i}", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    for most in (10**6, 0):
+        got = {r.page_id: r.text for r in main_texts(df, to_broadcast=most).collect()}
+        assert got == {i: "\n".join(own) for i, (_, own) in enumerate(pages)}
+
+
+def test_counts_over_spark_are_those_of_pages_at_hand(spark):
+    """Without copies the wrappers are those that all pages of a host, taken one by one, give; also where pages have slots in another order."""
+    hosts = {"x.net": [invented(i, "div")[0] for i in range(20)], "y.net": [h for h, _ in rare_pages()[:85]]}
+    ends = [f"<div id=a{k}>fixed {k}</div>" for k in range(4)]
+    hosts["z.net"] = ["".join([*(ends if i % 9 else ends[::-1]), f"<p>{parts_of(i)[0]}</p>"]) for i in range(30)]
+    rows = [(i, f"http://{h}/{i}", p) for h, pages in hosts.items() for i, p in enumerate(pages)]
+    got = {(r.url.split("/")[2], r.page_id): r.text for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for h, pages in hosts.items():
+        wrapper = wr.loaded(wr.induce(pages))
+        assert [got[h, i] for i in range(len(pages))] == [wr.extract(p, wrapper) for p in pages]
+
+
+def test_siblings_stand_in_the_order_of_the_pages():
+    root = wr.path(None, "r")
+    own = {k: wr.path(root, k) for k in "abc"}
+    rows = [(root, 0, "r", 0, 9), (own["c"], root, "c", 0, 5), (own["a"], root, "a", 0, 4), (own["b"], root, "b", own["a"], 4), (own["c"], root, "c", own["b"], 2)]
+    n, top = wr.loaded(wr.frame(rows, {p: [1] for p in own.values()}))
+    assert n == 0 and list(top.children) == ["a", "b", "c"]
+
+
+def test_pages_among_very_many_copies_are_found(spark):
+    """Of 60 pages 57 are copies of one: their paragraphs stay, and the name that all have goes, as four are no copies of each other."""
+    pages = []
+    for i in range(60):
+        own = parts_of(i if i in (3, 17, 29) else 0)
+        own[i % 3] += f" edited{i}"
+        pages.append((f"<div class=q>Our name</div><div><p>{'</p><p>'.join(own)}</p></div>", own))
+    df = spark.createDataFrame([(i, f"https://x.net/{i}", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    assert got == {i: "\n".join(own) for i, (_, own) in enumerate(pages)}
+    known = wrappers(df.where("page_id not in (3, 17)").withColumn("host", F.lit("x.net"))).collect()
+    assert [json.loads(r.wrapper) for r in known] == [{"n": 2, "w": []}]  # two that are no copies of each other tell nothing

@@ -17,6 +17,8 @@ import sys
 from bisect import bisect_right
 from collections import Counter
 from contextlib import contextmanager
+from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import xxhash
 
@@ -143,10 +145,10 @@ def parse(page: str) -> Node:
 class Slot:
     """Blocks of one kind below the same slot."""
 
-    __slots__ = ("key", "children", "texts", "n")
+    __slots__ = ("key", "children", "texts", "n", "place")
 
     def __init__(self, key: str):
-        self.key, self.children, self.texts, self.n = key, {}, Counter(), 1
+        self.key, self.children, self.texts, self.n, self.place = key, {}, Counter(), 1, None
 
     def child(self, key: str) -> Slot:
         found = self.children.get(key)
@@ -155,8 +157,9 @@ class Slot:
         return found
 
 
-def name(text: str) -> str:
-    return xxhash.xxh3_128_hexdigest(text)
+def name(text: str) -> int:
+    """64 bits, signed; texts are only told apart within one slot, slots within one host."""
+    return xxhash.xxh3_64_intdigest(text) - 2**63
 
 
 def blocks(root: Node) -> tuple[Slot, list[tuple[Node, Slot, str]]]:
@@ -196,7 +199,7 @@ def match(a: Slot, b: Slot, pairs: list) -> int:
     """Simple tree matching: the most slots that map with their order and ancestry kept; adds the pairs that do."""
     if a.key != b.key:
         return 0
-    place = {k: i for i, k in enumerate(a.children)}
+    place = {k: i for i, k in enumerate(a.children)} if a.place is None else a.place
     # Heaviest increasing subsequence: `ends` and `sums` grow together; a heavier one that ends sooner ousts the rest.
     ends: list[int] = []
     sums: list[int] = []
@@ -268,28 +271,59 @@ def _constant(wrapper: Slot) -> list[list]:
     every, todo = [], [(-1, wrapper)]
     while todo:
         above, slot = todo.pop()
-        every.append((above, slot, sorted(t for t, n in slot.texts.items() if n >= LEAST_PAGES and n >= CONSTANT * slot.n)))
+        every.append((above, slot.key, sorted(t for t, n in slot.texts.items() if n >= LEAST_PAGES and n >= CONSTANT * slot.n)))
         todo += [(len(every) - 1, c) for c in reversed(slot.children.values())]
-    needed = [bool(texts) for *_, texts in every]
-    for i in range(len(every) - 1, 0, -1):
-        needed[every[i][0]] |= needed[i]
+    return _with_texts(every)
+
+
+def _needed(above: list[int], own: list[bool]) -> list[bool]:
+    """Which slots (parents first) are wanted themselves or are above some."""
+    out = list(own)
+    for i in range(len(out) - 1, 0, -1):
+        out[above[i]] |= out[i]
+    return out
+
+
+def _with_texts(every: list[tuple]) -> list[list]:
+    needed = _needed([above for above, _, _ in every], [bool(texts) for *_, texts in every])
     place = {}
     for i, need in enumerate(needed):
         if need:
             place[i] = len(place)
-    return [[place.get(above, -1), slot.key, texts] for i, (above, slot, texts) in enumerate(every) if needed[i]]
+    return [[place.get(above, -1), key, texts] for i, (above, key, texts) in enumerate(every) if needed[i]]
+
+
+@lru_cache(maxsize=64)
+def _page_texts(page: str) -> list[str]:
+    return [t for _, _, t in blocks(parse(page))[1]]
 
 
 @deep_trees()
-def induce(pages: list[str]) -> str:
-    """The wrapper of some pages of a host as JSON: how many pages it comes from (copies tell nothing and are left out) and the constant texts of its slots."""
-    wrapper, seen = None, []
+def different(pages: list[str], most: int | None = None) -> list[str]:
+    """The pages, `most` at most, in order of their html, that are no copies of one before."""
+    out: list[str] = []
     for page in sorted(set(p for p in pages if p)):
-        slots, found = blocks(parse(page))
-        texts = [t for _, _, t in found]
-        if any(copies(texts, other) for other in seen):
-            continue
-        seen.append(texts)
+        if not is_copy(page, out):
+            out.append(page)
+            if len(out) == most:
+                break
+    return out
+
+
+@deep_trees()
+def is_copy(page: str, others: list[str]) -> bool:
+    return any(copies(_page_texts(page), _page_texts(o)) for o in others)
+
+
+@deep_trees()
+def induce(pages: list[str]) -> str:
+    """The wrapper of the pages of a host as JSON: how many pages it comes from (copies tell nothing and are left out) and the constant texts of its slots.
+
+    For pages at hand; q10_extraction counts over all pages of a table.
+    """
+    wrapper, seen = None, different(pages)
+    for page in seen:
+        slots, _ = blocks(parse(page))
         if wrapper is None:
             wrapper = slots
         else:
@@ -304,9 +338,110 @@ def loaded(text: str | None) -> tuple[int, Slot | None]:
     for above, key, texts in d["w"]:
         slots.append(slots[above].child(key) if slots else Slot(key))
         slots[-1].texts = frozenset(texts)
+    for slot in slots:
+        slot.place = {k: i for i, k in enumerate(slot.children)}
     return d["n"], slots[0] if slots else None
 
 
+def path(above: int | None, key: str) -> int:
+    """The name of a slot in all pages of its host."""
+    return name(f"{above}/{key}")
+
+
+@deep_trees()
+def outline(page: str) -> tuple[int, list[int], list[str], list[int], list[int], list[int]]:
+    """Name of a page (that of all that follows), its slots, parents first (place of the parent, key, path), and its texts (place of the slot, name)."""
+    above, keys, paths, at, texts = [], [], [], [], []
+    todo = [(-1, blocks(parse(page))[0])]
+    while todo:
+        up, slot = todo.pop()
+        here = len(keys)
+        above.append(up)
+        keys.append(slot.key)
+        paths.append(path(paths[up] if here else None, slot.key))
+        at += [here] * len(slot.texts)
+        texts += slot.texts
+        todo += [(here, c) for c in reversed(slot.children.values())]
+    return name(json.dumps([paths, at, texts])), above, keys, paths, at, texts
+
+
+def steps(above: list[int], keys: list[str], paths: list[int], wanted: set[int]) -> list[tuple]:
+    """(path, parent's path, key, path before it below the parent; 0 if none) of the slots of a page that are wanted or above such, and of the root."""
+    needed = _needed(above, [i == 0 or p in wanted for i, p in enumerate(paths)])
+    last: dict[int, int] = {}
+    out = []
+    for i, need in enumerate(needed):
+        if need:
+            up = above[i]
+            out.append((paths[i], paths[up] if i else 0, keys[i], last.get(up, 0)))
+            last[up] = paths[i]
+    return out
+
+
+def frame(rows: list[tuple], texts: dict[int, list[int]]) -> str:
+    """The slots of all pages of a host as JSON (see loaded), from how often each step (path, parent's path, key, path before) was taken, with the texts given.
+
+    Siblings stand as the pages have them; where pages contradict each other, the fewest steps are broken at each place.
+    """
+    below: dict[int, dict[int, str]] = {}
+    after: dict[int, list[tuple[int, int]]] = {}
+    before: Counter = Counter()
+    for own, up, key, previous, n in rows:
+        below.setdefault(up, {})[own] = key
+        if previous:
+            after.setdefault(previous, []).append((own, n))
+            before[own] += n
+    every: list[tuple] = []
+    todo: list[tuple] = [(-1, own, key) for own, key in below[0].items()]
+    while todo:
+        above, own, key = todo.pop()
+        here = len(every)
+        every.append((above, key, sorted(texts.get(own, ()))))
+        children = below.get(own, {})
+        heap, done, order = [(before[c], c) for c in children], set(), []
+        heapify(heap)
+        while heap:
+            c = heappop(heap)[1]
+            if c in done:
+                continue
+            done.add(c)
+            order.append(c)
+            for following, n in after.get(c, ()):
+                before[following] -= n
+                if following not in done:
+                    heappush(heap, (before[following], following))
+        todo += [(here, c, children[c]) for c in reversed(order)]
+    return json.dumps({"n": 0, "w": [list(x) for x in every]})
+
+
+@deep_trees()
+def aligned(above: list[int], keys: list[str], paths: list[int], at: list[int], texts: list[int], template: Slot) -> list[tuple[int, int | None]]:
+    """(path, null) of the slots of a page that simple tree matching aligns with the template's, and (path, text) of the template's texts in them."""
+    slots: list[Slot] = []
+    for up, key in zip(above, keys):
+        slots.append(slots[up].child(key) if slots else Slot(key))
+    for i, t in zip(at, texts):
+        slots[i].texts[t] = 1
+    places = {id(s): i for i, s in enumerate(slots)}
+    pairs: list = []
+    match(template, slots[0], pairs)
+    out: list[tuple[int, int | None]] = []
+    for w, p in pairs:
+        own = paths[places[id(p)]]
+        out.append((own, None))
+        out += [(own, t) for t in p.texts if t in w.texts]
+    return out
+
+
+def pruned(text: str, n: int, constant: dict[int, set[int]]) -> str:
+    """The wrapper that is left of a frame when only the constant texts of each path stay."""
+    every, paths = [], []
+    for above, key, texts in json.loads(text)["w"]:
+        paths.append(path(paths[above] if paths else None, key))
+        every.append((above, key, sorted(constant.get(paths[-1], set()) & set(texts))))
+    return json.dumps({"n": n, "w": _with_texts(every)})
+
+
 NONE = (0, None)
 
 
