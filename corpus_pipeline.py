@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more): the least doc_id; rows that share it stay once per set of shingles."""
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more; SimHash under Golay keys, MinHash for what differs in more bits): the least doc_id; rows that share it stay once per set of shingles."""
     columns = docs.columns
     docs, names = set_apart(docs, "doc_id", "text")
     found = near_copies(docs)

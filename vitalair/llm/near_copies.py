@@ -1,12 +1,15 @@
-"""Near copies by the likeness of their word shingles: MinHash bands, then the exact Jaccard measure.
-
-Texts with one set of shingles are one class.  Of each class, ROWS minima of its
-hashed shingles make a band's key.  At a likeness of 0.8 two classes share one
-of the BANDS keys in 99.98 % of cases.  Under each key all classes are first
-compared with one of them, so a group of copies that are all like it is held
-together by as many links as it has members.  Only where a key still holds
-classes that no link connects are those compared, in blocks of bounded size.
-Comparisons are of whole sets, so no pair below the likeness is linked.
+"""Near copies by the likeness of their word shingles: SimHash under Golay keys, MinHash bands for the rest, then the exact Jaccard measure.
+
+Texts with one set of shingles are one class.  Each class has op6's fingerprint
+of its shingles, and fingerprints at four or fewer differing bits meet on op6's
+Golay keys.  That finds every pair so near, but at a likeness of 0.8 some ten
+bits of 64 differ, so of each class ROWS minima of its hashed shingles make a
+band's key, too: at a likeness of 0.8 two classes share one of the BANDS keys in
+99.98 % of cases.  Under each key all classes are first compared with one of
+them, so a group of copies that are all like it is held together by as many
+links as it has members.  Only where a key still holds classes that no link
+connects are those compared, in blocks of bounded size.  Comparisons are of
+whole sets, so no pair below the likeness is linked by either.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql.types import LongType
 
 from vitalair.llm.common import materialise, partitions
 from vitalair.llm.components import components
-from vitalair.llm.q06_simhash import LOWER
+from vitalair.llm.q06_simhash import LOWER, links, majority
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -105,6 +108,21 @@ def _linked(similarity: float):
     return run
 
 
+def fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """(fp, pivot): classes (fp, size, sim) whose fingerprints differ in at most op6's four bits, enough pairs to connect all such.
+
+    Classes of one fingerprint hang on their least; the least ones of two
+    fingerprints meet as op6's Golay keys link these.
+    """
+    own = classes.where("size > 0").select("fp", "sim")
+    least = materialise(own.groupBy("sim").agg(F.min("fp").alias("pivot")), "fingerprints")
+    same = own.join(least.hint("merge"), "sim").where("fp != pivot").select("fp", "pivot")
+    met = links(least.select(F.col("sim").alias("fp")))
+    ends = least.select(F.col("sim").alias("a"), F.col("pivot").alias("fp")), least.select(F.col("sim").alias("b"), "pivot")
+    between = met.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b").select("fp", "pivot")
+    return materialise(same.unionByName(between), "fingerprint-pairs")
+
+
 def _sets(classes: DataFrame, members: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(fp, own): the sorted shingles of the classes among members, from their texts."""
     wanted = members.select("fp").distinct()
@@ -121,18 +139,20 @@ def _sets(classes: DataFrame, members: DataFrame, docs: DataFrame, shingle: int)
 
 
 def rooted(classes: DataFrame, docs: DataFrame, shingle: int, similarity: float, room: int = ROOM) -> DataFrame:
-    """(node, root) of classes (fp, size, least, keys) that links connect, except of each component's least."""
+    """(node, root) of classes (fp, size, least, keys, sim) that links connect, except of each component's least."""
     n = partitions(docs.sparkSession)
     keyed = classes.select("fp", "size", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("s"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
     met = materialise(met.groupBy("n", "s", "lo", "hi").agg(F.min("key").alias("key")).select("key"), "met")  # keys with the same members once
     members = materialise(keyed.join(met.hint("merge"), "key"), "members")
-    sets = _sets(classes, members, docs, shingle)
+    near = fingerprint_pairs(classes)
+    sets = _sets(classes, members.select("fp").union(near.select("fp")).union(near.select("pivot")), docs, shingle)
 
     # Stored, so that a key of very many members is a join's skewed side, which Spark can split.
     pivots = materialise(members.groupBy("key").agg(F.min(F.struct("fp", "size")).alias("p")), "pivots")
     alike = (F.col("size") >= similarity * F.col("p.size") - 1e-9) & (F.col("p.size") >= similarity * F.col("size") - 1e-9)
-    pairs = members.join(pivots.hint("merge"), "key").where((F.col("fp") != F.col("p.fp")) & alike).select("fp", F.col("p.fp").alias("pivot")).distinct()
+    pairs = members.join(pivots.hint("merge"), "key").where((F.col("fp") != F.col("p.fp")) & alike).select("fp", F.col("p.fp").alias("pivot"))
+    pairs = pairs.unionByName(near).distinct()
     pairs = pairs.join(sets.hint("merge"), "fp").join(sets.select(F.col("fp").alias("pivot"), F.col("own").alias("other")).hint("merge"), "pivot")
     both = F.size(F.array_intersect("own", "other"))
     stars = materialise(pairs.where(both >= similarity * (F.size("own") + F.size("other") - both) - 1e-9).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "stars")
@@ -162,10 +182,10 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     def run(batches):
         for pdf in batches:
             sets = [shingles(t, shingle) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": np.array([set_id(s) for s in sets], dtype=np.int64), "size": np.array([len(s) for s in sets], dtype=np.int64), "keys": [band_keys(s) for s in sets]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": np.array([set_id(s) for s in sets], dtype=np.int64), "size": np.array([len(s) for s in sets], dtype=np.int64), "keys": [band_keys(s) for s in sets], "sim": np.array([majority(s) for s in sets], dtype=np.int64)})
 
-    rows = materialise(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long, size long, keys array<long>"), "shingled")
-    classes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
+    rows = materialise(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long, size long, keys array<long>, sim long"), "shingled")
+    classes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sim").alias("sim")), "classes")
     roots = rooted(classes, docs, shingle, similarity, room).withColumnRenamed("node", "fp")
     known = materialise(classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     ids = materialise(known.groupBy("root").agg(F.min("least").alias("component_id")), "ids")

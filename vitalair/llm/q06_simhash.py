@@ -30,6 +30,12 @@ RUN = 20_000  # fingerprints of one key that are compared directly; longer runs
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, signed, each 1 if set in over half the hashes; of none: 0."""
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(len(hashes), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     """64-bit fingerprint as a signed integer; no words: 0."""
     words = text.encode().translate(LOWER).split() if text else []
@@ -41,9 +47,7 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     starts = np.concatenate([[0], gaps + 1])[:n].tolist()
     ends = np.append(gaps, len(joined))[shingle - 1 :].tolist() if len(words) >= shingle else [len(joined)]
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(joined[a:b], 42) for a, b in zip(starts, ends)], dtype=np.uint64)
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
+    return majority(np.array([h(joined[a:b], 42) for a, b in zip(starts, ends)], dtype=np.uint64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
